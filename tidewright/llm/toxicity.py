@@ -5,7 +5,7 @@ of it, is a mark if enough different toxic training texts hold it and hardly any
 TOXIC if a mark fits it, all others are CLEAN. The field has two states; a token's score is a sum of weights of its word,
 openings and ending (hashed), plus transition weights. It is trained by gradient steps on the exact likelihood, with
 marginals from forward-backward. Both passes run over all tokens of a block of texts at once: products of 2 x 2 matrices,
-scanned in lanes, with a matrix that forgets the past at the start of each text.
+scanned in lanes, with a step that forgets the past at the start of each text.
 A document's score is the calibrated probability that any token is toxic; its spans are the tokens whose marginal is 0.5 or
 more, as code-point offsets. Training reads at most MAX_TRAIN labelled rows; scoring reads every whole text.
 """
@@ -26,10 +26,10 @@ from tidewright.llm.common import bucket_of, table, text_of
 from tidewright.llm.quality import training_rows
 
 #: Bound of the training sample, in labelled rows.
-MAX_TRAIN = 6_000
-#: Toxic texts that must hold a mark, at least and as a share, and the largest share of the mark's texts that are clean.
-MARK_LEAST, MARK_SHARE, MARK_CLEAN = 3, 0.004, 0.05
-SLOTS, STEPS, RATE, DECAY = 1 << 16, 40, 0.3, 1e-4
+MAX_TRAIN = 4_000
+#: How unlikely a mark must be by chance (odds against, for all words together), and the largest share of its texts that are clean.
+MARK_ODDS, MARK_CLEAN = 20, 0.05
+SLOTS, STEPS, RATE, DECAY = 1 << 16, 30, 0.6, 1e-4
 #: Tokens of one block of the field; texts are never cut, a longer text is a block of its own.
 BLOCK = 200_000
 TOXIC_FROM = 0.7
@@ -41,73 +41,80 @@ def openings(word: str) -> list[str]:
 
 
 def features(word: str) -> list[int]:
-    """Slots of a lower-case word: itself, its openings, its ending."""
-    names = ["w" + word, *("p" + p for p in openings(word)), "s" + word[-3:]]
+    """Slots of a lower-case word: one that all words share, itself, its openings, its ending."""
+    names = ["any", "w" + word, *("p" + p for p in openings(word)), "s" + word[-3:]]
     return [zlib.crc32(n.encode("utf-8", "surrogatepass")) % SLOTS for n in names]
 
 
 def marks(texts: list[list[str]], labels: np.ndarray) -> set[str]:
-    """Words (as 'w...') and openings ('p...') that mark toxic texts; equal texts count once."""
-    toxic, clean, seen = Counter(), Counter(), set()
-    n_toxic = 0
-    for words, y in zip(texts, labels, strict=True):
-        key = (y > 0.5, tuple(words))
-        if key in seen:
-            continue
-        seen.add(key)
-        n_toxic += y > 0.5
-        (toxic if y > 0.5 else clean).update({x for w in set(words) for x in ("w" + w, *("p" + p for p in openings(w)))})
-    least = max(MARK_LEAST, MARK_SHARE * n_toxic)
-    return {x for x, n in toxic.items() if n >= least and clean[x] <= MARK_CLEAN * (n + clean[x])}
-
-
-def _scan(m: np.ndarray) -> np.ndarray:
-    """Running products of positive 2 x 2 matrices m (n, 2, 2) from the left, applied to (1, 1), each scaled to sum 1: (n, 2)."""
-    n = len(m)
+    """Words (as 'w...') and openings ('p...') that mark toxic texts; equal texts count once.
+
+    A mark's texts are nearly all toxic, and so many that chance would not make one such word among all of them. Toxic texts
+    with a mark are then set aside and the search goes on among the others, where rarer marks stand out.
+    """
+    sets = {(y > 0.5, tuple(words)): frozenset(x for w in set(words) for x in ("w" + w, *("p" + p for p in openings(w)))) for words, y in zip(texts, labels, strict=True)}
+    toxic = [names for (bad, _), names in sets.items() if bad]
+    clean = Counter(x for (bad, _), names in sets.items() if not bad for x in names)
+    n_clean, found = len(sets) - len(toxic), set()
+    while toxic:
+        held = Counter(x for names in toxic for x in names)
+        share = min(0.9, len(toxic) / (len(toxic) + n_clean))
+        least = np.log(MARK_ODDS * (len(held) + 1)) / -np.log(share)
+        new = {x for x, n in held.items() if n >= least and clean[x] <= MARK_CLEAN * (n + clean[x])}
+        if not new:
+            break
+        found |= new
+        toxic = [names for names in toxic if names.isdisjoint(new)]
+    return found
+
+
+def _scan(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """y / x after each of n steps (x, y) -> (a x + b y, c x + d y) from (1, 1); all numbers positive.
+
+    The steps are laid out in lanes: the product of each lane's steps comes first, then the state at the start of each lane,
+    then all lanes run at once. Two passes of sqrt(n) array operations instead of n scalar ones.
+    """
+    n = len(a)
     lanes = max(1, int(np.sqrt(n)))
     length = -(-n // lanes)
-    padded = np.concatenate([m, np.broadcast_to(np.eye(2), (lanes * length - n, 2, 2))]).reshape(lanes, length, 2, 2)
-    whole = np.broadcast_to(np.eye(2), (lanes, 2, 2)).copy()
+    a, b, c, d = (np.ascontiguousarray(np.concatenate([x, np.full(lanes * length - n, fill)]).reshape(lanes, length).T) for x, fill in ((a, 1.0), (b, 0.0), (c, 0.0), (d, 1.0)))
+    p, q, r, s = np.ones(lanes), np.zeros(lanes), np.zeros(lanes), np.ones(lanes)
     for k in range(length):
-        whole = whole @ padded[:, k]
-        whole /= whole.sum((1, 2), keepdims=True)
-    start = np.empty((lanes, 2))
-    v = np.full(2, 0.5)
+        p, q, r, s = a[k] * p + b[k] * r, a[k] * q + b[k] * s, c[k] * p + d[k] * r, c[k] * q + d[k] * s
+        if k % 8 == 7:
+            z = p + q + r + s
+            p, q, r, s = p / z, q / z, r / z, s / z
+    start = np.empty(lanes)
+    y = 1.0
     for k in range(lanes):
-        start[k] = v
-        v = v @ whole[k]
-        v = v / v.sum()
-    out = np.empty((lanes, length, 2))
+        start[k] = y
+        y = (r[k] + s[k] * y) / (p[k] + q[k] * y)
+    out = np.empty((length, lanes))
+    y = start
     for k in range(length):
-        start = (start[:, :, None] * padded[:, k]).sum(1)
-        start /= start.sum(1, keepdims=True)
-        out[:, k] = start
-    return out.reshape(-1, 2)[:n]
+        y = (c[k] + d[k] * y) / (a[k] + b[k] * y)
+        out[k] = y
+    return out.T.ravel()[:n]
 
 
 def marginals(emit: np.ndarray, first: np.ndarray, trans: np.ndarray, start: np.ndarray, want_pairs: bool = False):
     """P(state 1) of every token; emit: score of state 1 over state 0, first: True at the start of each text. With want_pairs
     also the summed pair marginals (2, 2) within texts and the summed marginals of first tokens (2,)."""
-    n = len(emit)
-    e = np.empty((n, 2))
-    e[:, 0], e[:, 1] = 1.0, np.exp(np.clip(emit, -30, 30))
-    e /= e.sum(1, keepdims=True)
+    e = np.exp(np.clip(emit, -25, 25))
     t, s = np.exp(trans), np.exp(start)
-    step = np.where(first[:, None, None], s[None, None, :], t[None])
-    alpha = _scan(step * e[:, None, :])
-    back = np.empty((n, 2, 2))  # from token i + 1 back to i
-    back[:-1] = np.where(first[1:, None, None], 1.0, (t[None] * e[1:, None, :]))
-    back[-1] = 1.0
-    beta = _scan(back[::-1].transpose(0, 2, 1))[::-1]
-    both = alpha * beta
-    p = both[:, 1] / both.sum(1)
+    forward = _scan(np.where(first, s[0], t[0, 0]), np.where(first, s[0], t[1, 0]), e * np.where(first, s[1], t[0, 1]), e * np.where(first, s[1], t[1, 1]))
+    last = np.append(first[1:], True)[::-1]
+    e_next = np.append(e[1:], 1.0)[::-1]
+    backward = _scan(np.where(last, 1.0, t[0, 0]), np.where(last, 1.0, t[0, 1] * e_next), np.where(last, 1.0, t[1, 0]), np.where(last, 1.0, t[1, 1] * e_next))[::-1]
+    odds = forward * backward
+    p = odds / (1 + odds)
     if not want_pairs:
         return p
     inner = np.flatnonzero(~first[1:])
-    joint = alpha[inner][:, :, None] * t[None] * (e[inner + 1] * beta[inner + 1])[:, None, :]
-    joint /= joint.sum((1, 2), keepdims=True)
+    x, y = forward[inner], e[inner + 1] * backward[inner + 1]
+    joint = np.stack([np.full(len(inner), t[0, 0]), t[0, 1] * y, t[1, 0] * x, t[1, 1] * x * y])
     p1 = p[first]
-    return p, joint.sum(0), np.array([(1 - p1).sum(), p1.sum()])
+    return p, (joint / joint.sum(0)).sum(1).reshape(2, 2), np.array([(1 - p1).sum(), p1.sum()])
 
 
 def fit_field(texts: list[list[str]], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -126,7 +133,6 @@ def fit_field(texts: list[list[str]], labels: np.ndarray) -> tuple[np.ndarray, n
     first = np.zeros(len(ids), bool)
     first[np.cumsum(sizes) - sizes] = True
     truth = marked[ids] & np.repeat(labels[order] > 0.5, sizes)
-    weights, trans, start = np.zeros(SLOTS), np.zeros((2, 2)), np.zeros(2)
     squares, squares_t, squares_s = np.full(SLOTS, 1e-8), np.full((2, 2), 1e-8), np.full(2, 1e-8)
     word_truth = np.bincount(ids, weights=truth, minlength=len(words))
     y = truth.astype(int)
@@ -134,6 +140,9 @@ def fit_field(texts: list[list[str]], labels: np.ndarray) -> tuple[np.ndarray, n
     pairs_true = np.bincount(y[inner] * 2 + y[inner + 1], minlength=4).reshape(2, 2)
     first_true = np.array([(1 - y[first]).sum(), y[first].sum()])
     n = len(ids)
+    weights = np.zeros(SLOTS)
+    trans = np.log(pairs_true + 1.0) - np.log((pairs_true + 1.0).sum(1, keepdims=True))
+    start = np.log(first_true + 1.0) - np.log((first_true + 1.0).sum())
     for _ in range(STEPS):
         emit = np.bincount(owner, weights=weights[slots], minlength=len(words))[ids]
         p, pairs, firsts = marginals(emit, first, trans, start, True)
