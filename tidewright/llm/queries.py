@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from tidewright.llm import exact_dedup, quality, simhash, toxicity
+from tidewright.llm import bpe, exact_dedup, mixing, quality, simhash, toxicity
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_simhash": simhash.op3_simhash,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op8_mixing": mixing.op8_mixing,
+    "op10_bpe": bpe.op10_bpe,
 }
 
 SQL = {"op4_exact_dedup": exact_dedup.SQL}
