@@ -21,6 +21,8 @@ from tidewright.llm.common import bucket_of, table, text_of
 
 #: Bound of the training sample, in labelled rows.
 MAX_TRAIN = 20_000
+#: Partitions that hold the training statistics, so the sums to add up do not grow with the input's partitions.
+TRAIN_PARTS = 16
 FEATURES, FOLDS, SEED, RIDGE, GAMMA = 160, 4, 7, 1.0, 0.06
 KEEP_FROM = 0.3
 SPACES = np.frombuffer(b" \t\n\x0b\x0c\r", np.uint8)
@@ -153,7 +155,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, is_train: Colu
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = MAX_TRAIN) -> QualityModel:
     """The model from labelled documents whose bucket of five is not 0; without any, every score is 1."""
     x = training_rows(docs, labels, "quality", bucket_of(F.col("doc_id"), 5) != 0, id_col, text_col, limit)
-    x = x.select("y", F.pmod("order", F.lit(FOLDS)).cast("int").alias("fold"), "__text").mapInArrow(_statistics_of, "y double, fold int, x array<double>").persist()
+    x = x.select("y", F.pmod("order", F.lit(FOLDS)).cast("int").alias("fold"), "__text").mapInArrow(_statistics_of, "y double, fold int, x array<double>").repartition(TRAIN_PARTS, "x").persist()
     moments = [(r.n, np.frombuffer(r.sums).reshape(2, STATISTICS)) for r in x.mapInArrow(_moments, "n long, sums binary").where("n > 0").collect()]
     n = sum(m for m, _ in moments)
     if not n:
