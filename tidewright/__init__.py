@@ -1,0 +1 @@
+"""Along-track and gridded sea-level analytics as DataFrame operators."""
