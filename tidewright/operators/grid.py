@@ -106,9 +106,10 @@ def fill_and_diffuse(grid: DataFrame, stencil: list[tuple[int, int, float]], ste
 
 def fill_gaps_of_one(df: DataFrame, keys: list[str], axis: str, value: str) -> DataFrame:
     """The first unknown place of each run between known values along an axis gets the linear value; the others stay."""
-    w = Window.partitionBy(*keys).orderBy(axis)
-    before = F.lag(F.when(F.col(value).isNotNull(), F.struct(F.col(axis).alias("at"), F.col(value).alias("v")))).over(w)
-    after = F.first(F.when(F.col(value).isNotNull(), F.struct(F.col(axis).alias("at"), F.col(value).alias("v"))), True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    w = Window.partitionBy(*keys)
+    point = F.when(F.col(value).isNotNull(), F.struct(F.col(axis).alias("at"), F.col(value).alias("v")))
+    before = F.lag(point).over(w.orderBy(axis))
+    after = F.last(point, True).over(w.orderBy(F.desc(axis)).rowsBetween(Window.unboundedPreceding, 0))
     df = df.withColumn("_a", before).withColumn("_b", after)
     a, b = F.col("_a"), F.col("_b")
     line = a.v + (b.v - a.v) * F.try_divide(F.col(axis) - a["at"], b["at"] - a["at"])

@@ -18,13 +18,14 @@ def rolling_median(x: Column, keys: list[str | Column], order: list[str], half:
 
 
 def neighbours(value: Column, position: Column, keys: list[str], order: list[str]) -> tuple[Column, Column]:
-    """The nearest known (at, v) at or before and at or after a row."""
-    w = Window.partitionBy(*keys).orderBy(*order)
+    """The nearest known (at, v) at or before and at or after a row; order is total within keys.
+
+    Both look back, one of them in descending order: a frame that ends at the current row grows with it, while one from the
+    current row to the end is computed anew for each row.
+    """
     point = F.when(value.isNotNull(), F.struct(position.cast("double").alias("at"), value.cast("double").alias("v")))
-    return (
-        F.last(point, True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
-        F.first(point, True).over(w.rowsBetween(0, Window.unboundedFollowing)),
-    )
+    up, down = (Window.partitionBy(*keys).orderBy(*[f(c) for c in order]).rowsBetween(Window.unboundedPreceding, 0) for f in (F.asc, F.desc))
+    return F.last(point, True).over(up), F.last(point, True).over(down)
 
 
 def interpolated(df: DataFrame, name: str, value: str, position: str, keys: list[str], order: list[str], clamp: bool = True) -> DataFrame:

@@ -2,9 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
+
+_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "long": T.LongType(), "double": T.DoubleType(), "timestamp": T.TimestampType(), "date": T.DateType(), "byte": T.ByteType()}
+
+
+def _fields(text: str) -> list[str]:
+    """Parts between commas that are not inside angle brackets."""
+    parts, depth = [""], 0
+    for c in text:
+        depth += (c == "<") - (c == ">")
+        if c == "," and not depth:
+            parts.append("")
+        else:
+            parts[-1] += c
+    return [p.strip() for p in parts]
+
+
+def _type(text: str) -> T.DataType:
+    if text.startswith("array<"):
+        return T.ArrayType(_type(text[6:-1]))
+    if text.startswith("struct<"):
+        return T.StructType([T.StructField(*f.split(":", 1)[:1], _type(f.split(":", 1)[1])) for f in _fields(text[7:-1])])
+    return _TYPES[text]
+
+
+def _ddl(text: str) -> T.StructType:
+    """A schema from 'name type, ...', without a session, which Spark's own parser wants."""
+    return T.StructType([T.StructField(f.split(" ", 1)[0], _type(f.split(" ", 1)[1])) for f in _fields(text)])
 
-_ddl = StructType.fromDDL
 
 GRANULE_MERGED = _ddl("granule_id string, merged_cycle int, time timestamp, lat double, lon double, ssha double, reference_orbit int, index int, flag int, surface_type int")
 GRANULE_NOIB = _ddl("granule_id string, row_index long, ssha_noib double")
