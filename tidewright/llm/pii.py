@@ -2,8 +2,8 @@
 
 The fixed patterns find e-mail addresses, IP addresses, card and phone numbers. These seed a bootstrap over candidate tokens,
 those that hold a digit: each occurrence has lexical patterns (the word before it, its own opening up to the first digit, its
-shape). Rounds score the graph of patterns and token values: a pattern's confidence is the share of its values that are
-believed, with SMOOTH added below, where at least SUPPORT values use it; a value that is no seed is believed as far as the
+shape). Rounds score the graph of patterns and token values: a pattern's confidence is the share of its uses whose values
+are believed, with SMOOTH added below, where it has at least SUPPORT uses; a value that is no seed is believed as far as the
 noisy-or of its patterns of CONFIDENT or more says. Values believed to ACCEPT or more are identifiers, and their occurrences
 outside of the fixed patterns' spans are added as spans of kind 'ctx'. Equal texts count once in the graph.
 
@@ -12,7 +12,7 @@ Patterns run with possessive loops and look-behind where that cannot change the
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewright.llm.common import SPACE, table, text_of, written
@@ -65,15 +65,15 @@ def base_spans(kind: str, text: str = "text") -> str:
 
 
 def candidates(text: str = "text") -> str:
-    """SQL for the candidate tokens of a text as (a, b, token, left): left is the word before, where white space alone is between."""
+    """SQL for the candidate tokens of a text, in order, as (token, piece, left): piece is the length of the text since the one
+    before, left the last word of it, NULL where it is white space alone."""
     p = _literal(CANDIDATE)
-    kind = "array<struct<a:int,b:int,token:string,left:string>>"
+    kind = "array<struct<token:string,piece:int,left:string>>"
     matches = f"regexp_extract_all({text}, {p}, 0)"
-    near = f"substring(x.piece, greatest(1, length(x.piece) - {2 * LOOK}), {2 * LOOK} + 1)"
-    left = f"CASE WHEN x.piece rlike r'[^{SPACE}]' THEN regexp_extract({near}, r'([^{SPACE}]+)[{SPACE}]*$', 1) ELSE s.prior END"
-    step = f"named_struct('at', s.at + length(x.piece) + length(x.m), 'prior', x.m, 'out', concat(s.out, array(named_struct('a', s.at + length(x.piece), 'b', s.at + length(x.piece) + length(x.m), 'token', x.m, 'left', {left}))))"
-    zipped = f"zip_with({matches}, slice(split({text}, {p}, -1), 1, size({matches})), (m, piece) -> named_struct('m', m, 'piece', piece))"
-    return f"CASE WHEN {text} rlike '[0-9]' THEN cast(aggregate({zipped}, named_struct('at', 0, 'prior', '', 'out', cast(array() AS {kind})), (s, x) -> {step}, s -> s.out) AS {kind}) ELSE cast(array() AS {kind}) END"
+    near = f"substring(piece, greatest(1, length(piece) - {2 * LOOK}), {2 * LOOK} + 1)"
+    left = f"CASE WHEN piece rlike r'[^{SPACE}]' THEN regexp_extract({near}, r'([^{SPACE}]+)[{SPACE}]*$', 1) END"
+    zipped = f"zip_with({matches}, slice(split({text}, {p}, -1), 1, size({matches})), (m, piece) -> named_struct('token', m, 'piece', length(piece), 'left', {left}))"
+    return f"CASE WHEN {text} rlike '[0-9]' THEN cast({zipped} AS {kind}) ELSE cast(array() AS {kind}) END"
 
 
 def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -86,7 +86,10 @@ def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 def occurrences(rows: DataFrame) -> DataFrame:
     """proof, a, b, value, seed and patterns of each candidate of each distinct text."""
     texts = rows.where(F.size("cands") > 0).groupBy("proof").agg(F.first("base").alias("base"), F.first("cands").alias("cands"))
-    one = texts.select("proof", "base", F.explode("cands").alias("c")).select("proof", "base", "c.*")
+    place = Window.partitionBy("proof").orderBy("at")
+    end = F.sum(F.col("piece") + F.length("token")).over(place.rowsBetween(Window.unboundedPreceding, 0)).cast("int")
+    one = texts.select("proof", "base", F.posexplode("cands").alias("at", "c")).select("proof", "base", "at", "c.*").withColumn("b", end)
+    one = one.withColumn("a", F.col("b") - F.length("token")).withColumn("left", F.coalesce("left", F.lag("token").over(place), F.lit("")))
     seed = F.exists("base", lambda s: (s.a < F.col("b")) & (s.b > F.col("a")))
     head = F.substring("token", 1, LOOK)
     opening = F.lower(F.regexp_extract(head, r"^([^0-9]+)", 1))
@@ -102,15 +105,16 @@ def occurrences(rows: DataFrame) -> DataFrame:
 def believed(occ: DataFrame) -> DataFrame:
     """value and belief of the values that no seed covers but confident patterns hold for identifiers, after the rounds.
 
-    Sums by pattern are taken in two steps, first by pattern and a salt of the value, so a common pattern has no hot task.
+    The edges are one row for each pattern and value, and sums by pattern are taken in part before they are dealt, so a common
+    pattern has no hot task.
     """
-    edges = written(occ.select("value", "seed", F.explode("patterns").alias("pattern")).groupBy("pattern", "value").agg(F.max("seed").alias("seed")), "pii-edges")
+    edges = written(occ.select("value", "seed", F.explode("patterns").alias("pattern")).groupBy("pattern", "value").agg(F.max("seed").alias("seed"), F.count(F.lit(1)).alias("uses")), "pii-edges")
     belief = None
     for _ in range(ROUNDS):
         known = edges.withColumn("s", F.col("seed").cast("double"))
         if belief is not None:
             known = edges.join(belief, "value", "left").withColumn("s", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("belief", F.lit(0.0))))
-        conf = known.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.sum("s").alias("s")).where(f"n >= {SUPPORT}").select("pattern", (F.col("s") / (F.col("n") + SMOOTH)).alias("conf")).where(f"conf >= {CONFIDENT}")
+        conf = known.groupBy("pattern").agg(F.sum("uses").alias("n"), F.sum(F.col("s") * F.col("uses")).alias("s")).where(f"n >= {SUPPORT}").select("pattern", (F.col("s") / (F.col("n") + SMOOTH)).alias("conf")).where(f"conf >= {CONFIDENT}")
         held = edges.join(written(conf, "pii-patterns"), "pattern").where("NOT seed")
         belief = written(held.groupBy("value").agg((1 - F.exp(F.sum(F.log(1 - F.least("conf", F.lit(1 - 1e-9)))))).alias("belief")), "pii-belief")
     return belief.where(f"belief >= {ACCEPT}")

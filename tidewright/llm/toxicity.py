@@ -34,6 +34,8 @@ SLOTS, STEPS, RATE, DECAY = 1 << 16, 30, 0.6, 1e-4
 BLOCK = 200_000
 TOXIC_FROM = 0.7
 TOKEN = re.compile(r"[^\W_]+")
+#: A field without training: no token is toxic.
+QUIET = (np.zeros(SLOTS), np.array([[0.0, -20.0], [0.0, -20.0]]), np.array([0.0, -20.0]), (-30.0, 1e-3))
 
 
 def openings(word: str) -> list[str]:
@@ -227,7 +229,7 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw = np.array([field.raw(p) for block in _blocks(texts) for p in field.tags(block)])
         bend = _calibrate(raw, y)
     else:
-        weights, trans, start, bend = np.zeros(SLOTS), np.zeros((2, 2)), np.zeros(2), (-30.0, 1e-3)
+        weights, trans, start, bend = QUIET
     yield pa.RecordBatch.from_pydict({"model": [np.concatenate([weights, trans.ravel(), start, bend]).tobytes()]})
 
 
@@ -253,7 +255,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     clean = training_rows(docs, labels.where("toxic = 0"), "toxic", in_train, id_col, text_col, limit // 2)
     rows = toxic.unionByName(clean).select("order", "y", "__text").repartition(1).sortWithinPartitions("order", "y", "__text")
     blob = rows.mapInArrow(_train, "model binary").first()
-    m = np.frombuffer(blob.model) if blob else np.concatenate([np.zeros(SLOTS + 6), [-30.0, 1e-3]])
+    m = np.frombuffer(blob.model) if blob else np.concatenate([np.ravel(x) for x in QUIET])
     return Field(m[:SLOTS], m[SLOTS : SLOTS + 4].reshape(2, 2), m[SLOTS + 4 : SLOTS + 6], (float(m[-2]), float(m[-1])))
 
 
