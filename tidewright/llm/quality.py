@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewright.llm.common import bucket_of, table, text_of
 
@@ -193,18 +194,13 @@ def scored(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_co
     Null and empty texts are scored as the empty text. Repeated rows get equal scores; no rows give no rows; columns other
     than id and text have no influence.
     """
-    rows = docs.select(docs[id_col].alias("doc_id"), (bucket_of(docs[id_col], 5) == 0).alias("held_out"), *([F.struct(*[docs[c] for c in docs.columns]).alias("row")] if carry else []), text_of(docs, text_col).alias("__text"))
-    schema = rows.drop("__text").withColumns({"score": F.lit(0.0), "predicted": F.lit(0)}).schema
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = [i for i, name in enumerate(batch.schema.names) if name != "__text"]
-            texts = batch.column("__text")
-            x = np.array([statistics(t.as_py()) for t in texts]).reshape(-1, STATISTICS)
-            score = model.score(x)
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), pa.array(score), pa.array((score >= KEEP_FROM).astype(np.int32))], names=[*(batch.schema.names[i] for i in keep), "score", "predicted"])
+    @F.arrow_udf(T.DoubleType())
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array(model.score(np.array([statistics(t.as_py()) for t in texts]).reshape(-1, STATISTICS)))
 
-    return rows.mapInArrow(run, schema)
+    columns = [docs[id_col].alias("doc_id"), (bucket_of(docs[id_col], 5) == 0).alias("held_out"), *([F.struct(*[docs[c] for c in docs.columns]).alias("row")] if carry else [])]
+    return docs.select(*columns, score(text_of(docs, text_col)).alias("score")).withColumn("predicted", F.when(F.col("score") >= KEEP_FROM, 1).otherwise(0))
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -20,6 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewright.llm.common import table, text_of, written
 
@@ -51,19 +52,15 @@ def fingerprint(text: str) -> int:
     return int.from_bytes(np.packbits(2 * counts > n).tobytes(), "big")
 
 
-def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = batch.column("__text")
-        prints = np.fromiter((fingerprint(t.as_py()) for t in texts), np.uint64, len(texts)).view(np.int64)
-        keep = [i for i, name in enumerate(batch.schema.names) if name != "__text"]
-        yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), pa.array(prints)], names=[*(batch.schema.names[i] for i in keep), "fp"])
+@F.arrow_udf(T.LongType())
+def _fingerprint(texts: pa.Array) -> pa.Array:
+    return pa.array(np.fromiter((fingerprint(t.as_py()) for t in texts), np.uint64, len(texts)).view(np.int64))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """doc_id and fp, the fingerprint's 64 bits as a signed long; with carry the input row as a struct."""
-    rows = docs.select(docs[id_col].alias("doc_id"), *([F.struct(*[docs[c] for c in docs.columns]).alias("row")] if carry else []), text_of(docs, text_col).alias("__text"))
-    schema = rows.drop("__text").withColumn("fp", F.lit(0).cast("long")).schema
-    return rows.mapInArrow(_fingerprints, schema)
+    row = [F.struct(*[docs[c] for c in docs.columns]).alias("row")] if carry else []
+    return docs.select(docs[id_col].alias("doc_id"), *row, _fingerprint(text_of(docs, text_col)).alias("fp"))
 
 
 def _star(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
