@@ -1,9 +1,9 @@
 """Byte-level BPE: encoding by recursive DuckDB queries in each partition, decoding by ordered aggregation.
 
 Texts are cut by the tokenizer's pattern. Each partition keeps a table of the words it has seen, up to a bound; words new in
-a batch go to an in-process DuckDB in blocks. There a recursive query holds one row for each token position, joins
+a batch go to an in-process DuckDB in blocks. There a recursive query unfolds each word to one row for each token position, joins
 neighbouring tokens with the merge table, contracts in each word the leftmost pair of least rank and goes on until no word
-has a pair left; ordered aggregations of the last rows give the ids, and of the ids' bytes the decoded word. Encoding and
+has a pair left; the last round of each word gives its ids, and an ordered aggregation of the ids' bytes the decoded word. Encoding and
 decoding of a text are the sequence of those of its words. The merge table lists every pair of tokens whose bytes together
 are a token, as the rank of the joined bytes decides. Words of over LONG bytes, for which one contraction a round would be
 slow, run the same contraction over a heap of pairs.
@@ -29,24 +29,18 @@ from tidewright.llm.common import table, text_of
 BLOCK, REMEMBER, LONG = 20_000, 400_000, 256
 
 ENCODE = """
-WITH RECURSIVE state(round, word, pos, tok) AS (
-    SELECT 0, word, pos, tok FROM letters
+WITH RECURSIVE state(round, word, toks) AS (
+    SELECT 0, word, toks FROM letters
   UNION ALL
-    SELECT round + 1, word, pos, CASE WHEN code = best THEN rank ELSE tok END
-    FROM (
-      SELECT *, lag(code) OVER (PARTITION BY word ORDER BY pos) AS before
-      FROM (
-        SELECT *, min(code) OVER (PARTITION BY word) AS best
-        FROM (
-          SELECT s.round, s.word, s.pos, s.tok, m.rank, m.rank::BIGINT * 65536 + s.pos AS code
-          FROM (SELECT *, lead(tok) OVER (PARTITION BY word ORDER BY pos) AS nxt FROM state) s
-          LEFT JOIN merges m ON m.l = s.tok AND m.r = s.nxt)))
-    WHERE best IS NOT NULL AND before IS DISTINCT FROM best
+    SELECT s.round + 1, s.word, s.toks[:(b.best & 65535) - 1] || [(b.best >> 16)::INT] || s.toks[(b.best & 65535) + 2:]
+    FROM state s JOIN (
+      SELECT p.word, min(m.rank::BIGINT * 65536 + p.pos) AS best
+      FROM (SELECT word, unnest(toks[:-2]) AS l, unnest(toks[2:]) AS r, unnest(range(1, len(toks))) AS pos FROM state WHERE len(toks) > 1) p
+      JOIN merges m ON m.l = p.l AND m.r = p.r GROUP BY p.word) b ON b.word = s.word
 ), ended AS (
-    SELECT word, pos, tok FROM (SELECT *, max(round) OVER (PARTITION BY word) AS last FROM state) WHERE round = last
-)
-SELECT e.word, list(e.tok ORDER BY e.pos) AS ids, string_agg(v.hex, '' ORDER BY e.pos) AS hex
-FROM ended e JOIN vocab v ON v.tok = e.tok GROUP BY e.word
+    SELECT word, arg_max(toks, round) AS ids FROM state GROUP BY word)
+SELECT e.word, any_value(e.ids) AS ids, string_agg(v.hex, '' ORDER BY e.pos) AS hex
+FROM (SELECT word, ids, unnest(ids) AS tok, unnest(range(1, len(ids) + 1)) AS pos FROM ended) e JOIN vocab v ON v.tok = e.tok GROUP BY e.word
 """
 
 
@@ -105,7 +99,7 @@ def encode_words(words: list[bytes], path: str) -> list[tuple[bytes, bytes]]:
     known = ranks(path)
     out: list[tuple[bytes, bytes]] = [(b"", b"")] * len(words)
     by_rank = None
-    rows_w, rows_p, rows_t = [], [], []
+    numbers, letters = [], []
     for k, word in enumerate(words):
         if word in known:
             out[k] = (known[word].to_bytes(4, "little"), word)
@@ -114,12 +108,11 @@ def encode_words(words: list[bytes], path: str) -> list[tuple[bytes, bytes]]:
             ids = _contract(word, known)
             out[k] = (_pack(ids), b"".join(by_rank[i] for i in ids))
         else:
-            rows_w += [k] * len(word)
-            rows_p += range(len(word))
-            rows_t += [known[bytes((b,))] for b in word]
-    if rows_w:
+            numbers.append(k)
+            letters.append([known[bytes((b,))] for b in word])
+    if numbers:
         con = _database(path)
-        con.register("letters", pa.table({"word": pa.array(rows_w, pa.int32()), "pos": pa.array(rows_p, pa.int32()), "tok": pa.array(rows_t, pa.int32())}))
+        con.register("letters", pa.table({"word": pa.array(numbers, pa.int32()), "toks": pa.array(letters, pa.list_(pa.int32()))}))
         for k, ids, hexed in con.execute(ENCODE).fetchall():
             out[k] = (_pack(ids), bytes.fromhex(hexed))
         con.unregister("letters")
