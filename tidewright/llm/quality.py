@@ -106,7 +106,7 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _statistics_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         x = [statistics(t.as_py()).tolist() for t in batch.column("__text")]
-        yield pa.RecordBatch.from_arrays([batch.column("y"), batch.column("fold"), pa.array(x, pa.list_(pa.float64()))], names=["y", "fold", "x"])
+        yield pa.RecordBatch.from_arrays([batch.column("y"), batch.column("order"), batch.column("fold"), pa.array(x, pa.list_(pa.float64()))], names=["y", "order", "fold", "x"])
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -156,7 +156,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, is_train: Colu
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = MAX_TRAIN) -> QualityModel:
     """The model from labelled documents whose bucket of five is not 0; without any, every score is 1."""
     x = training_rows(docs, labels, "quality", bucket_of(F.col("doc_id"), 5) != 0, id_col, text_col, limit)
-    x = x.select("y", F.pmod("order", F.lit(FOLDS)).cast("int").alias("fold"), "__text").mapInArrow(_statistics_of, "y double, fold int, x array<double>").repartition(TRAIN_PARTS, "x").persist()
+    x = x.select("y", "order", F.pmod("order", F.lit(FOLDS)).cast("int").alias("fold"), "__text").mapInArrow(_statistics_of, "y double, order long, fold int, x array<double>")
+    x = x.repartition(TRAIN_PARTS, "order").persist()  # dealt by the hash of the id, so equal texts spread
     moments = [(r.n, np.frombuffer(r.sums).reshape(2, STATISTICS)) for r in x.mapInArrow(_moments, "n long, sums binary").where("n > 0").collect()]
     n = sum(m for m, _ in moments)
     if not n:
