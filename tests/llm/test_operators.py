@@ -267,6 +267,27 @@ def test_substring_repeats(spark, docs, none):
     assert substring_dedup.repeated(docs).count() == len(rows()) and substring_dedup.repeated(none).count() == 0
 
 
+def test_substring_recall_of_passages_just_over_fifty_words():
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choice("etaoinshrdlcu") for _ in range(rng.choice([2, 3, 4, 5, 6, 7, 8, 9]))) for _ in range(3000)]
+    some = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+
+    def pieces(text):
+        ends = substring_dedup.chunk_ends(text)
+        return [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    missed = 0
+    for k in range(2000):
+        passage = some(51 + k % 10)
+        one, two = (f"{some(30)} {passage} {some(30)}".encode() for _ in range(2))
+        other, most, run = set(pieces(two)), 0, 0
+        for p in pieces(one):
+            run = run + len(p) if p in other else 0
+            most = max(most, run)
+        missed += most < substring_dedup.SPAN_BYTES
+    assert missed <= 2  # 0.1 %
+
+
 def test_targets_and_apportionment():
     got = mixing.targets([100, 10, 1000])
     assert sum(got) == pytest.approx(1.5 * 1110) and got[:2] == [200, 20] and got[2] == pytest.approx(1665 - 220)
