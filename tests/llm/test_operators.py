@@ -288,6 +288,19 @@ def test_substring_recall_of_passages_just_over_fifty_words():
     assert missed <= 2  # 0.1 %
 
 
+def test_substring_repeats_among_rows_without_an_id(spark):
+    rng = random.Random(10)
+    passage = words(rng, 80)
+    texts = [f"{words(rng, 30)} {passage} {words(rng, 30)}" for _ in range(4)]
+    frame = spark.createDataFrame([(None, t) for t in [*texts, texts[0], words(rng, 100)]] + [(7, words(rng, 100))], "doc_id long, text string")
+    got = substring_dedup.repeated(frame).collect()
+    assert len(got) == 7 and sum(r.n_spans > 0 for r in got) == 5
+    kept = {r.proof for r in got if r.n_spans and not r.removable}
+    assert len(kept) == 1 and len({r.proof for r in got if r.removable}) == 3
+    copies = spark.createDataFrame([(None, texts[0]), (None, texts[0])], "doc_id long, text string")
+    assert not any(r.n_spans for r in substring_dedup.repeated(copies).collect())
+
+
 def test_targets_and_apportionment():
     got = mixing.targets([100, 10, 1000])
     assert sum(got) == pytest.approx(1.5 * 1110) and got[:2] == [200, 20] and got[2] == pytest.approx(1665 - 220)
