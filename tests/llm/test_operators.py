@@ -406,6 +406,14 @@ def test_audit_finds_faults(spark, none):
     assert {r.status for r in warc.audit(left, empty).collect()} == {"missing"} and warc.audit(empty, empty).count() == 0
 
 
+def test_audit_of_a_shard_of_more_records_than_three_levels_hold(spark, tmp_path):
+    hot = [(3, f"http://h/{i}", "x" * (i % 9)) for i in range(5000)]
+    spark.createDataFrame([*hot, *[(i, "u", "y") for i in range(50)]], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = warc.op5_warc_fixity(spark, str(tmp_path)).collect()
+    assert len(got) == 5050 == len({(r.shard, r.ordinal) for r in got})
+    assert len({(r.shard, r.root) for r in got}) == len({r.shard for r in got})
+
+
 def test_warc_files(spark, tmp_path):
     pages = spark.createDataFrame([(i, "u", "body ü" * i) for i in range(5)], "page_id long, url string, html string")
     body = b"".join(r.b.encode() for r in pages.orderBy("page_id").select(warc.record(F.col("page_id"), F.col("url"), F.col("html")).alias("b")).collect())

@@ -146,7 +146,7 @@ def pages_replicas(pages: DataFrame) -> DataFrame:
 def op5_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     both = written(manifest(pages_replicas(pages), shard_count(pages.count())), "warc-manifest")
-    return audit(both.drop("other_sha256"), both.where("other_sha256 IS NOT NULL").withColumn("record_sha256", F.col("other_sha256")).drop("other_sha256"), LEVELS)
+    return audit(both.drop("other_sha256"), both.where("other_sha256 IS NOT NULL").withColumn("record_sha256", F.col("other_sha256")).drop("other_sha256"))
 
 
 SQL = r"""
