@@ -238,6 +238,15 @@ def test_pii_bootstrap_finds_unseen_identifiers(spark):
     assert all(got[i] == 1 for i in range(40, 44)) and all(got[i] == 0 for i in range(50, 80))
 
 
+def test_pii_addresses_without_digits_are_seeds(spark):
+    rng = random.Random(6)
+    some = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    rows = [(i, f"{words(rng, 5)} account: {some(4)}.{some(5)}@example.org {words(rng, 5)}") for i in range(40)]
+    rows += [(i, f"{words(rng, 5)} account: {rng.randint(10**14, 10**15)}x {words(rng, 5)}") for i in range(40, 44)]
+    got = {r.doc_id: r for r in pii.extracted(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i].n_email == 1 and got[i].n_ctx == 0 for i in range(40)) and all(got[i].n_ctx == 1 for i in range(40, 44))
+
+
 def test_substring_chunks_are_the_text_and_survive_insertions():
     rng = random.Random(4)
     text = (words(rng, 800) + " üß🙂 " * 5 + "z" * 2000).encode()

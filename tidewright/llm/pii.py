@@ -1,8 +1,8 @@
 """Personal data by fixed patterns and bootstrapped contextual extraction, in DataFrame functions only.
 
 The fixed patterns find e-mail addresses, IP addresses, card and phone numbers. These seed a bootstrap over candidate tokens,
-those that hold a digit: each occurrence has lexical patterns (the word before it, its own opening up to the first digit, its
-shape). Rounds score the graph of patterns and token values: a pattern's confidence is the share of its uses whose values
+those that hold a digit or an at sign, as all addresses do: each occurrence has lexical patterns (the word before it, its own
+opening up to the first digit, its shape). Rounds score the graph of patterns and token values: a pattern's confidence is the share of its uses whose values
 are believed, with SMOOTH added below, where it has at least SUPPORT uses; a value that is no seed is believed as far as the
 noisy-or of its patterns of CONFIDENT or more says. Values believed to ACCEPT or more are identifiers, and their occurrences
 outside of the fixed patterns' spans are added as spans of kind 'ctx'. Equal texts count once in the graph.
@@ -28,7 +28,7 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-CANDIDATE = rf"(?<![^{SPACE}])[^{SPACE}0-9]*+[0-9][^{SPACE}]*+"
+CANDIDATE = rf"(?<![^{SPACE}])[^{SPACE}0-9@]*+[0-9@][^{SPACE}]*+"
 SPANS = "array<struct<a:int,k:int,b:int>>"
 
 
@@ -73,7 +73,7 @@ def candidates(text: str = "text") -> str:
     near = f"substring(piece, greatest(1, length(piece) - {2 * LOOK}), {2 * LOOK} + 1)"
     left = f"CASE WHEN piece rlike r'[^{SPACE}]' THEN regexp_extract({near}, r'([^{SPACE}]+)[{SPACE}]*$', 1) END"
     zipped = f"zip_with({matches}, slice(split({text}, {p}, -1), 1, size({matches})), (m, piece) -> named_struct('token', m, 'piece', length(piece), 'left', {left}))"
-    return f"CASE WHEN {text} rlike '[0-9]' THEN cast({zipped} AS {kind}) ELSE cast(array() AS {kind}) END"
+    return f"CASE WHEN {text} rlike '[0-9@]' THEN cast({zipped} AS {kind}) ELSE cast(array() AS {kind}) END"
 
 
 def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
