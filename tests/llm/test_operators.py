@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+import regex
 import tiktoken
 import xxhash
 from pyspark.sql import functions as F
@@ -247,6 +248,106 @@ def test_pii_addresses_without_digits_are_seeds(spark):
     assert all(got[i].n_email == 1 and got[i].n_ctx == 0 for i in range(40)) and all(got[i].n_ctx == 1 for i in range(40, 44))
 
 
+def brute_bootstrap(texts):
+    """The bootstrap over distinct texts with dictionaries: text -> sorted spans as listed, base ones too."""
+    between = r"\x20\x09-\x0D\x22\x27\x60=:;,|<>(){}\[\]"
+    occ, values, held, seeds = [], {}, {}, {}
+    for t in sorted(set(texts)):
+        base = [(int(s.split(":")[1]), s.split(":")[0], int(s.split(":")[2])) for s in brute_base(t).split(",") if s]
+        at, before = 0, ""
+        for m in regex.finditer(rf"[^{between}]+", t):
+            gap, word = t[at : m.start()], before
+            at, before = m.end(), m[0]
+            label = None
+            if regex.search(r"[=:]", gap):
+                label = word.lower() + regex.sub(r"[\x20\x09-\x0D]+", " ", gap)
+                label = label if len(label) <= 64 else hashlib.md5(label.encode()).hexdigest()
+            follows = regex.search(r"[=:][\x20\x22\x27\x60]{0,2}$", gap)
+            if not follows and not regex.search("[0-9@]", m[0]):
+                continue
+            lead = len(m[0]) - len(regex.sub(r"^[^\p{L}\p{N}]+", "", m[0]))
+            core = regex.sub(r"[^\p{L}\p{N}]+$", "", m[0][lead:])
+            if not core:
+                continue
+            a, b = m.start() + lead, m.start() + lead + len(core)
+            loose = not any(x < b and y > a for x, _, y in base)
+            strong = (loose or any(x >= a and y <= b for x, _, y in base)) and len(core) >= 8 and bool(regex.search("[0-9@]", core))
+            random_like = regex.fullmatch(r"[A-Za-z0-9+/_-]{16,}", core) and len(regex.findall(r"[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])", core)) >= 4
+            kinds = "hex" if regex.fullmatch("[0-9a-f]+", core) and regex.search("[a-f]", core) else "".join(k for k, c in (("a", r"\p{Ll}"), ("A", r"\p{Lu}"), ("9", "[0-9]")) if regex.search(c, core)) + "".join(sorted(set(regex.sub(r"[\p{L}\p{N}]", "", core))))
+            form = f"{kinds}|{len(core)}"
+            patterns = {"label:" + label} if label else set()
+            if strong:
+                patterns.add("form:" + form)
+                if regex.search(r"[^\p{L}\p{N}]", core):
+                    outline = regex.sub("[0-9]+", "9", regex.sub(r"\p{L}+", "a", core))
+                    patterns.add("outline:" + (outline if len(outline) <= 64 else hashlib.md5(outline.encode()).hexdigest()))
+                if regex.match("[A-Za-z]{4}", core):
+                    patterns.add(f"head:{core[:4]}|{form}")
+            if not patterns:
+                continue
+            entity = max(((y, ("email", "ip", "card", "phone").index(k), t[x:y]) for x, k, y in base if x < b and y > a), default=(0, 0, None))[2]
+            value = core if strong else f"{label} {entity or core}"
+            occ.append((t, a, b, value, loose))
+            for q in patterns:
+                held.setdefault(q, set()).add(value)
+                values.setdefault(value, set()).add(q)
+                seeds[q, value] = seeds.get((q, value), False) or not loose or bool(random_like)
+    belief = {}
+    for _ in range(3):
+        conf = {}
+        for q, own in held.items():
+            s = sum(1.0 if seeds[q, v] else belief.get(v, 0.0) for v in own)
+            if s >= 3 and s / (s + 0.2 * (len(own) - s) + 0.5) >= 0.8:
+                conf[q] = s / (s + 0.2 * (len(own) - s) + 0.5)
+        belief = {v: 1 - np.prod([1 - conf[q] for q in qs if q in conf]) for v, qs in values.items() if any(q in conf for q in qs)}
+    out = {}
+    for t in set(texts):
+        spans = [(int(s.split(":")[1]), k, int(s.split(":")[2])) for s in brute_base(t).split(",") if s for k in [("email", "ip", "card", "phone").index(s.split(":")[0])]]
+        spans += [(a, 4, b) for u, a, b, v, loose in occ if u == t and loose and belief.get(v, 0) >= 0.85]
+        out[t] = ",".join(f"{('email', 'ip', 'card', 'phone', 'ctx')[k]}:{a}:{b}" for a, k, b in sorted(spans))
+    return out
+
+
+def test_pii_bootstrap_by_brute_force(spark, docs):
+    rng = random.Random(15)
+    some = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    kinds = [
+        lambda: f'token = "{some(40, "0123456789abcdef")}"',
+        lambda: f"password={some(18, '0123456789abcdef')}",
+        lambda: f"password={words(rng, 1)}",
+        lambda: f"AKIA{some(16, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')}",
+        lambda: f"+1 ({rng.randint(100, 999)}) 555-{rng.randint(1000, 9999)}",
+        lambda: f"account: {rng.randint(10**14, 10**15)}, note: {words(rng, 1)} version 4.{rng.randint(0, 9)}.",
+        lambda: f"account: a.{some(3, 'abc')}@mail.example.com!!",
+        lambda: f"{rng.randint(10**15, 10**16 - 1)} {rng.randint(0, 400)}.{rng.randint(0, 255)}.1.2",
+        lambda: f"[{some(70, 'a-9')}] id:\n '{some(9, 'xyz')}'=:",
+        lambda: "x" * 900 + "1" + "!" * 900 + " " * 900 + ":" + " " * 900 + "9" * 9,
+        lambda: "=" + some(60, "0123456789 .:=+-@a"),
+    ]
+    texts = [f"{words(rng, 4)} {rng.choice(kinds)()} {words(rng, 3)}" + (f", {rng.choice(kinds)()}" if rng.random() < 0.4 else "") for _ in range(400)]
+    frame = docs.select("doc_id", "text").union(spark.createDataFrame([(2000 + i, t) for i, t in enumerate([*texts, *texts[:50]])], "doc_id long, text string"))
+    rows_in = [(r.doc_id, r.text or "") for r in frame.collect()]
+    want = brute_bootstrap([t for _, t in rows_in])
+    got = pii.extracted(frame).collect()
+    assert sorted((str(r.doc_id), r.spans) for r in got) == sorted((str(i), want[t]) for i, t in rows_in)
+    assert sum(r.n_ctx > 0 for r in got) > 150 and all(r.n_spans == len([s for s in r.spans.split(",") if s]) for r in got)
+
+
+def test_pii_finds_planted_secrets_and_leaves_clean_documents_alone(spark):
+    d = "/root/testdata/sf0.1"
+    got = pii.op7_pii(spark, d).join(spark.read.parquet(f"{d}/documents.parquet"), "doc_id")
+    secret = F.col("text").rlike('(?i)token = "[0-9a-f]{40}|password=|AKIA[A-Z0-9]{16}')
+    other = F.col("text").rlike(r"[0-9]{1,3}(\.[0-9]{1,3}){3}|[0-9]{12,}|\+[0-9] ?\(|@")
+    r = got.agg(*[F.count_if(c).alias(n) for n, c in {"secret": secret, "caught": secret & (F.col("n_ctx") > 0), "clean": ~(secret | other), "left": ~(secret | other) & (F.col("n_spans") == 0)}.items()]).first()
+    assert r.secret > 100 and r.caught >= 0.9 * r.secret and r.left >= 0.99 * r.clean
+
+
+def test_pii_many_matches_of_one_text(spark):
+    text = " ".join(f"a{i}@b{i}.cd" for i in range(30_000))
+    r = pii.extracted(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert r.n_email == 30_000 and r.spans.endswith(f"email:{len(text) - len('a29999@b29999.cd')}:{len(text)}")
+
+
 def test_substring_chunks_are_the_text_and_survive_insertions():
     rng = random.Random(4)
     text = (words(rng, 800) + " üß🙂 " * 5 + "z" * 2000).encode()

@@ -1,13 +1,25 @@
 """Personal data by fixed patterns and bootstrapped contextual extraction, in DataFrame functions only.
 
-The fixed patterns find e-mail addresses, IP addresses, card and phone numbers. These seed a bootstrap over candidate tokens,
-those that hold a digit or an at sign, as all addresses do: each occurrence has lexical patterns (the word before it, its own
-opening up to the first digit, its shape). Rounds score the graph of patterns and token values: a pattern's confidence is the share of its uses whose values
-are believed, with SMOOTH added below, where it has at least SUPPORT uses; a value that is no seed is believed as far as the
-noisy-or of its patterns of CONFIDENT or more says. Values believed to ACCEPT or more are identifiers, and their occurrences
-outside of the fixed patterns' spans are added as spans of kind 'ctx'. Equal texts count once in the graph.
-
-Patterns run with possessive loops and look-behind where that cannot change the matches, so that every pass is linear.
+The fixed patterns find e-mail addresses, IP addresses, card and phone numbers. The bootstrap adds identifiers that they miss:
+keys, tokens, passwords, accounts. A text is read as runs, which end at white space, quotes, brackets and the marks =:;,|. A
+candidate is a strong run (eight characters or more between its outer marks, a digit or an at sign among them) or any run
+behind a label, a word with = or : after it. Seed entities are the runs that hold a base span and random strings, of
+RANDOM_LENGTH letters and digits or more that change between these at least SWITCHES times.
+
+Each candidate induces lexical patterns: its label ('password='), its outline ('9.9.9.9'), its form (kinds of characters and
+length: 'hex|40') and its head (first four letters and form: 'AKIA|A9|20'). All see the whole run; long outlines count by
+their hash. Weak runs have their label alone and are values of that label only, so that a word that once was a password stays
+a word elsewhere; where they begin a base span, as '+1' does, the value is what that holds. Words without a mark behind them are no labels: what else follows them would have to be counted to judge them.
+
+Rounds score the graph of patterns and values, in which a value of a pattern is one edge however often it occurs and equal texts count
+once. A pattern's confidence is pos / (pos + UNKNOWN * rest + SMOOTH), pos being the belief in its values, where pos is
+SUPPORT at least: values that no seed covers are unknown rather than benign, and UNKNOWN holds down what seeds by chance give,
+as the tenth of all numbers that pass Luhn. A value that is no seed is believed as far as the noisy-or of its patterns of
+CONFIDENT or more says. Values so believed to ACCEPT or more are identifiers, random strings among them, and their
+occurrences outside of the base spans are added as spans of kind 'ctx'.
+
+Patterns run with possessive loops and look-behind where that cannot change the matches, and offsets are summed in blocks, so
+that the time hardly grows faster than the text.
 """
 
 from __future__ import annotations
@@ -17,9 +29,11 @@ from pyspark.sql import functions as F
 
 from tidewright.llm.common import SPACE, table, text_of, written
 
-ROUNDS, SUPPORT, SMOOTH, CONFIDENT, ACCEPT = 3, 5, 1.0, 0.8, 0.85
-#: Most characters of a token value, opening or left word that patterns look at; longer ones take part by hash.
-LOOK = 40
+ROUNDS, SUPPORT, SMOOTH, UNKNOWN, CONFIDENT, ACCEPT = 3, 3, 0.5, 0.2, 0.8, 0.85
+#: Characters of a strong run at least; letters and digits of a random string at least, and its changes between them.
+STRONG_LENGTH, RANDOM_LENGTH, SWITCHES = 8, 16, 4
+#: Characters of an outline or label that is not replaced by its hash.
+PLAIN = 64
 
 KINDS = ("email", "ip", "card", "phone")
 PATTERNS = {
@@ -28,8 +42,19 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-CANDIDATE = rf"(?<![^{SPACE}])[^{SPACE}0-9@]*+[0-9@][^{SPACE}]*+"
-SPANS = "array<struct<a:int,k:int,b:int>>"
+#: What a text must hold for a kind's pattern to be worth running.
+GATES = {
+    "email": "contains({t}, '@')",
+    "ip": r"{t} rlike r'[0-9]\.[0-9]++\.[0-9]++\.[0-9]'",
+    "card": r"{t} rlike r'[0-9](?:[\x20-]?[0-9]){{11}}'",
+    "phone": "contains({t}, '+')",
+}
+#: Characters between runs, as a regular-expression class body, and the label's marks, after which blanks and quotes may follow.
+BETWEEN = SPACE + r"\x22\x27\x60=:;,|<>(){}\[\]"
+_LABELLED = r"(?<=[=:]|[=:][\x20\x22\x27\x60]|[=:][\x20\x22\x27\x60]{2})"
+CANDIDATE = rf"(?<![^{BETWEEN}])(?:[^{BETWEEN}0-9@]*+[0-9@][^{BETWEEN}]*+|{_LABELLED}[^{BETWEEN}]++)"
+#: Start, kind, end and, for base spans, a hash of what they hold.
+SPANS = "array<struct<a:int,k:int,b:int,h:bigint>>"
 
 
 def _digits(x: str) -> str:
@@ -53,69 +78,111 @@ def _literal(pattern: str) -> str:
     return "r'" + pattern + "'"
 
 
+def _ends(steps: str) -> str:
+    """SQL for the running sums of an array of ints: within blocks of the cube root of its size and over the blocks, since a
+    list that grows by one is copied each time."""
+    none = "cast(array() AS array<int>)"
+    sums = "aggregate({x}, named_struct('at', {at}, 'out', " + none + "), (s, v) -> named_struct('at', s.at + v, 'out', array_append(s.out, {kept})), s -> s.out)"
+    starts = sums.format(x="transform(blocks, b -> aggregate(b, 0, (s, v) -> s + v))", at="0", kept="s.at")
+    inside = sums.format(x="b", at="p", kept="s.at + v")
+    by_block = f"transform(array(transform(sequence(0, size(x) - 1, cast(ceil(cbrt(size(x))) AS int)), i -> slice(x, i + 1, cast(ceil(cbrt(size(x))) AS int)))), blocks -> flatten(zip_with({starts}, blocks, (p, b) -> {inside})))[0]"
+    return f"transform(array({steps}), x -> CASE WHEN size(x) > 0 THEN {by_block} ELSE {none} END)[0]"
+
+
+def _matches(pattern: str, text: str) -> str:
+    """SQL for the matches of a pattern as array<struct<m, piece, b>>: piece is the text since the match before, b the end."""
+    p = _literal(pattern)
+    pairs = f"zip_with(regexp_extract_all({text}, {p}, 0), split({text}, {p}, -1), (m, piece) -> named_struct('m', m, 'piece', piece))"
+    placed = f"zip_with(z, {_ends('transform(z, y -> length(y.piece) + length(y.m))')}, (y, b) -> named_struct('m', y.m, 'piece', y.piece, 'b', b))"
+    return f"transform(array(filter({pairs}, y -> y.m IS NOT NULL)), z -> {placed})[0]"
+
+
 def base_spans(kind: str, text: str = "text") -> str:
-    """SQL for the spans (a, k, b) of a kind in a text: match lengths and the lengths of the pieces between give offsets."""
-    p = _literal(PATTERNS[kind])
-    gate = {"email": "contains({t}, '@')", "phone": "contains({t}, '+')"}.get(kind, "{t} rlike '[0-9]'").format(t=text)
-    k = KINDS.index(kind)
-    step = f"named_struct('at', s.at + length(x.piece) + length(x.m), 'out', CASE WHEN x.ok THEN concat(s.out, array(named_struct('a', s.at + length(x.piece), 'k', {k}, 'b', s.at + length(x.piece) + length(x.m)))) ELSE s.out END)"
-    matches = f"regexp_extract_all({text}, {p}, 0)"
-    zipped = f"transform(zip_with({matches}, slice(split({text}, {p}, -1), 1, size({matches})), (m, piece) -> named_struct('m', m, 'piece', piece)), y -> named_struct('m', y.m, 'piece', y.piece, 'ok', transform(array(y.m), m -> {_valid(kind)})[0]))"
-    return f"CASE WHEN {gate} THEN cast(aggregate({zipped}, named_struct('at', 0, 'out', cast(array() AS {SPANS})), (s, x) -> {step}, s -> s.out) AS {SPANS}) ELSE cast(array() AS {SPANS}) END"
+    """SQL for the spans of a kind in a text."""
+    k, none = KINDS.index(kind), f"cast(array() AS {SPANS})"
+    held = f"filter({_matches(PATTERNS[kind], text)}, y -> transform(array(y.m), m -> {_valid(kind)})[0])"
+    return f"CASE WHEN {GATES[kind].format(t=text)} THEN cast(transform({held}, y -> named_struct('a', y.b - length(y.m), 'k', {k}, 'b', y.b, 'h', xxhash64(y.m))) AS {SPANS}) ELSE {none} END"
 
 
 def candidates(text: str = "text") -> str:
-    """SQL for the candidate tokens of a text, in order, as (token, piece, left): piece is the length of the text since the one
-    before, left the last word of it, NULL where it is white space alone."""
-    p = _literal(CANDIDATE)
-    kind = "array<struct<token:string,piece:int,left:string>>"
-    matches = f"regexp_extract_all({text}, {p}, 0)"
-    near = f"substring(piece, greatest(1, length(piece) - {2 * LOOK}), {2 * LOOK} + 1)"
-    left = f"CASE WHEN piece rlike r'[^{SPACE}]' THEN regexp_extract({near}, r'([^{SPACE}]+)[{SPACE}]*$', 1) END"
-    zipped = f"zip_with({matches}, slice(split({text}, {p}, -1), 1, size({matches})), (m, piece) -> named_struct('token', m, 'piece', length(piece), 'left', {left}))"
-    return f"CASE WHEN {text} rlike '[0-9@]' THEN cast({zipped} AS {kind}) ELSE cast(array() AS {kind}) END"
+    """SQL for the candidate runs of a text, in order, as (run, b, tail): the run, its end and, where a mark of a label is in
+    it, what stands between it and the run before, else ''. The run before is the piece's last or, in a piece without one,
+    the candidate before."""
+    kind = "array<struct<run:string,b:int,word:string,tail:string>>"
+    # Reversed, so that the expressions start where the text between ends.
+    tail = rf"reverse(regexp_extract(reverse(y.piece), r'^[{BETWEEN}]*+', 0))"
+    word = rf"reverse(regexp_extract(reverse(y.piece), r'^[{BETWEEN}]*+([^{BETWEEN}]*+)', 1))"
+    before = f"transform({_matches(CANDIDATE, text)}, y -> named_struct('run', y.m, 'b', y.b, 'word', {word}, 'tail', {tail}))"
+    whole = "transform(array(" + before + "), q -> transform(q, (y, i) -> named_struct('run', y.run, 'b', y.b, 'word', CASE WHEN y.word = '' AND i > 0 THEN q[i - 1].run ELSE y.word END, 'tail', CASE WHEN y.tail rlike '[=:]' THEN y.tail ELSE '' END)))[0]"
+    return f"CASE WHEN {text} rlike '[0-9@=:]' THEN cast({whole} AS {kind}) ELSE cast(array() AS {kind}) END"
 
 
 def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, proof (of the text), base (all kinds' spans, sorted) and candidates of every document."""
+    """doc_id, proof (of the text), base (all kinds' spans, sorted) and cands of every document."""
     rows = docs.select(docs[id_col].alias("doc_id"), text_of(docs, text_col).alias("text"))
     spans = ", ".join(base_spans(k) for k in KINDS)
     return rows.select("doc_id", F.md5(F.col("text").cast("binary")).alias("proof"), F.expr(f"array_sort(concat({spans}))").alias("base"), F.expr(candidates()).alias("cands"))
 
 
+def _bounded(x: Column) -> Column:
+    return F.when(F.length(x) <= PLAIN, x).otherwise(F.md5(x.cast("binary")))
+
+
 def occurrences(rows: DataFrame) -> DataFrame:
-    """proof, a, b, value, seed and patterns of each candidate of each distinct text."""
+    """proof, a, b, value, seed, loose (outside of all base spans) and patterns of each candidate of each distinct text."""
     texts = rows.where(F.size("cands") > 0).groupBy("proof").agg(F.first("base").alias("base"), F.first("cands").alias("cands"))
-    place = Window.partitionBy("proof").orderBy("at")
-    end = F.sum(F.col("piece") + F.length("token")).over(place.rowsBetween(Window.unboundedPreceding, 0)).cast("int")
-    one = texts.select("proof", "base", F.posexplode("cands").alias("at", "c")).select("proof", "base", "at", "c.*").withColumn("b", end)
-    one = one.withColumn("a", F.col("b") - F.length("token")).withColumn("left", F.coalesce("left", F.lag("token").over(place), F.lit("")))
-    seed = F.exists("base", lambda s: (s.a < F.col("b")) & (s.b > F.col("a")))
-    head = F.substring("token", 1, LOOK)
-    opening = F.lower(F.regexp_extract(head, r"^([^0-9]+)", 1))
-    shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(head, r"\p{Lu}+", "A"), r"\p{Ll}+", "a"), "[0-9]+", "9")
+    texts = written(texts, "pii-texts")
+    one = texts.select("proof", F.explode("cands").alias("c")).select("proof", "c.*")
+    begun = F.regexp_replace("run", r"^[^\p{L}\p{N}]++", "")
+    one = one.select("proof", "run", "b", "word", "tail", begun.alias("begun"))
+    one = one.withColumn("core", F.regexp_replace("begun", r"(?<=[\p{L}\p{N}])[^\p{L}\p{N}]++$", ""))
+    one = one.withColumn("a", F.col("b") - F.length("begun")).withColumn("b", F.col("a") + F.length("core")).where("core <> ''")
+    # Base spans take their places among the candidates: of those that start before a candidate's end the one that ends last
+    # overlaps it if any does; of those that do not start before it the one that ends first lies in it if any does.
+    spans = texts.select("proof", F.explode("base").alias("s")).select("proof", F.col("s.a").alias("a"), F.col("s.b").alias("b"), "s")
+    both = one.unionByName(spans, allowMissingColumns=True)
+    upto = Window.partitionBy("proof").orderBy(F.when(F.col("s").isNull(), F.col("b") - 1).otherwise(F.col("a")), F.col("s").isNull())
+    onward = Window.partitionBy("proof").orderBy(F.col("a").desc(), F.col("s").isNull())
+    most = F.max(F.struct("s.b", "s.k", "s.h")).over(upto.rowsBetween(Window.unboundedPreceding, 0))
+    least = F.min("s.b").over(onward.rowsBetween(Window.unboundedPreceding, 0))
+    one = both.withColumns({"most": F.when(most.b.isNotNull(), most), "least": least}).where("s IS NULL").drop("s")
+    one = one.withColumn("loose", ~F.coalesce(F.col("most.b") > F.col("a"), F.lit(False))).withColumn("whole", F.coalesce(F.col("least") <= F.col("b"), F.lit(False)))
+    switches = F.size(F.regexp_extract_all("core", F.lit(r"[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])"), F.lit(0)))
+    random = F.col("core").rlike(rf"^[A-Za-z0-9+/_-]{{{RANDOM_LENGTH},}}+$") & (switches >= SWITCHES)
+    one = one.withColumn("strong", (F.col("loose") | F.col("whole")) & (F.length("core") >= STRONG_LENGTH) & F.col("core").rlike("[0-9@]"))
+    one = one.withColumn("label", F.when(F.col("tail") != "", _bounded(F.concat(F.lower("word"), F.regexp_replace("tail", f"[{SPACE}]+", " ")))))
+    marks = F.array_join(F.array_sort(F.array_distinct(F.split(F.regexp_replace("core", r"[\p{L}\p{N}]+", ""), ""))), "")
+    has = lambda cls, name: F.when(F.col("core").rlike(cls), name).otherwise("")
+    kinds = F.when(F.col("core").rlike("^[0-9a-f]++$") & F.col("core").rlike("[a-f]"), "hex").otherwise(F.concat(has(r"\p{Ll}", "a"), has(r"\p{Lu}", "A"), has("[0-9]", "9"), marks))
+    one = one.withColumn("form", F.concat(kinds, F.lit("|"), F.length("core")))
+    outline = F.regexp_replace(F.regexp_replace("core", r"\p{L}+", "a"), "[0-9]+", "9")
     patterns = F.array(
-        F.concat(F.lit("before:"), F.lower(F.substring("left", 1, LOOK))),
-        F.when(F.length(opening) >= 3, F.concat(F.lit("opens:"), opening)),
-        F.when(F.length("token") >= 6, F.concat(F.lit("shape:"), shape)),
+        F.concat(F.lit("label:"), F.col("label")),
+        F.when(F.col("strong") & F.col("core").rlike(r"[^\p{L}\p{N}]"), F.concat(F.lit("outline:"), _bounded(outline))),
+        F.when(F.col("strong"), F.concat(F.lit("form:"), F.col("form"))),
+        F.when(F.col("strong") & F.col("core").rlike("^[A-Za-z]{4}"), F.concat(F.lit("head:"), F.left("core", F.lit(4)), F.lit("|"), F.col("form"))),
     )
-    return one.select("proof", "a", "b", F.md5(F.col("token").cast("binary")).alias("value"), seed.alias("seed"), F.array_compact(patterns).alias("patterns"))
+    entity = F.when(~F.col("loose"), F.col("most.h").cast("string"))
+    value = F.md5(F.when(F.col("strong"), F.col("core")).otherwise(F.concat_ws(" ", "label", F.coalesce(entity, "core"))).cast("binary"))
+    out = one.select("proof", "a", "b", value.alias("value"), (~F.col("loose") | random).alias("seed"), "loose", F.array_compact(patterns).alias("patterns"))
+    return out.where(F.size("patterns") > 0)
 
 
 def believed(occ: DataFrame) -> DataFrame:
-    """value and belief of the values that no seed covers but confident patterns hold for identifiers, after the rounds.
+    """value and belief of the values that confident patterns hold for identifiers, after the rounds.
 
     The edges are one row for each pattern and value, and sums by pattern are taken in part before they are dealt, so a common
     pattern has no hot task.
     """
-    edges = written(occ.select("value", "seed", F.explode("patterns").alias("pattern")).groupBy("pattern", "value").agg(F.max("seed").alias("seed"), F.count(F.lit(1)).alias("uses")), "pii-edges")
+    edges = written(occ.select("value", "seed", F.explode("patterns").alias("pattern")).groupBy("pattern", "value").agg(F.max("seed").alias("seed")), "pii-edges")
     belief = None
     for _ in range(ROUNDS):
         known = edges.withColumn("s", F.col("seed").cast("double"))
         if belief is not None:
             known = edges.join(belief, "value", "left").withColumn("s", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("belief", F.lit(0.0))))
-        conf = known.groupBy("pattern").agg(F.sum("uses").alias("n"), F.sum(F.col("s") * F.col("uses")).alias("s")).where(f"n >= {SUPPORT}").select("pattern", (F.col("s") / (F.col("n") + SMOOTH)).alias("conf")).where(f"conf >= {CONFIDENT}")
-        held = edges.join(written(conf, "pii-patterns"), "pattern").where("NOT seed")
+        sums = known.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.sum("s").alias("s")).where(f"s >= {SUPPORT}")
+        conf = sums.select("pattern", (F.col("s") / (F.col("s") + UNKNOWN * (F.col("n") - F.col("s")) + SMOOTH)).alias("conf")).where(f"conf >= {CONFIDENT}")
+        held = edges.join(written(conf, "pii-patterns"), "pattern")
         belief = written(held.groupBy("value").agg((1 - F.exp(F.sum(F.log(1 - F.least("conf", F.lit(1 - 1e-9)))))).alias("belief")), "pii-belief")
     return belief.where(f"belief >= {ACCEPT}")
 
@@ -125,23 +192,27 @@ def _listed(spans: str, names: str) -> Column:
 
 
 def extracted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans and n_ctx.
+    """One row for each document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_ctx and n_spans.
 
     Null texts count as empty; texts without a match have the hash of no spans. Repeated rows get equal results; no rows give
-    no rows; further columns are ignored. A token of any length takes part whole, by its hash.
+    no rows; further columns are ignored. A run of any length takes part whole.
     """
     rows = written(found(docs, id_col, text_col), "pii-found")
     occ = written(occurrences(rows), "pii-occurrences")
-    extra = occ.where("NOT seed").join(believed(occ), "value").groupBy("proof").agg(F.collect_list(F.struct("a", F.lit(len(KINDS)).alias("k"), "b")).alias("extra"))
+    extra = occ.where("loose").join(believed(occ), "value").groupBy("proof").agg(F.collect_list(F.struct("a", F.lit(len(KINDS)).alias("k"), "b", F.lit(0).alias("h"))).cast(SPANS).alias("extra"))
     names = "array(" + ", ".join(f"'{k}'" for k in (*KINDS, "ctx")) + ")"
-    all_rows = rows.select("doc_id", "proof", "base").join(extra, "proof", "left")
-    both = all_rows.withColumn("spans", F.when(F.col("extra").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", F.coalesce(F.col("extra").cast(SPANS), F.expr(f"cast(array() AS {SPANS})"))))))
+    none = F.expr(f"cast(array() AS {SPANS})")
+    # Rows without a candidate have nothing to join; a text that many rows repeat is one row of extra.
+    plain = rows.where(F.size("cands") == 0).select("doc_id", "base", none.alias("extra"))
+    joined = rows.where(F.size("cands") > 0).select("doc_id", "proof", "base").join(extra, "proof", "left").select("doc_id", "base", F.coalesce("extra", none).alias("extra"))
+    both = plain.union(joined).withColumn("spans", F.array_sort(F.concat("base", "extra")))
     return both.select(
         "doc_id",
         *[F.expr(f"size(filter(base, s -> s.k = {i}))").cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)],
         F.sha2(_listed("base", names), 256).alias("base_sha256"),
         _listed("spans", names).alias("spans"),
-        F.coalesce(F.size("extra"), F.lit(0)).cast("long").alias("n_ctx"),
+        F.size("extra").cast("long").alias("n_ctx"),
+        F.size("spans").cast("long").alias("n_spans"),
     )
 
 
