@@ -4,7 +4,9 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 import regex
@@ -502,26 +504,53 @@ def test_bpe_contraction_is_the_same_in_both_forms():
             assert bpe._contract(word, known) == want
 
 
-def test_audit_finds_faults(spark, none):
-    pages = spark.createDataFrame([(i, f"http://h/{i % 3}", None if i % 11 == 0 else "ü" * (i % 50)) for i in range(700)] + [(None, None, None), (5, "twice", "x")], "page_id long, url string, html string")
-    both = warc.manifest(warc.pages_replicas(pages), 3).cache()
-    left, right = both.drop("other_sha256"), both.where("other_sha256 IS NOT NULL").withColumn("record_sha256", F.col("other_sha256")).drop("other_sha256")
-    got = warc.audit(left, right)
+PAGES = "page_id long, url string, html string, shard long, key string, copy int"
+
+
+def page_rows():
+    rows = [(i, f"http://h/{i % 3}", None if i % 11 == 0 else "ü" * (i % 50)) for i in range(3000)]
+    return [(*r, 9, "k", 2) for r in [*rows, *[(None, "u", "n")] * 5000, (None, None, None), (5, "twice", "x"), (5, "twice", "x"), (6, "long", "é" * 300_000)]]
+
+
+def test_audit_finds_faults(spark, tmp_path):
+    """Against the SQL, over skewed and null ids, repeated rows, long pages and clashing columns."""
+    spark.createDataFrame(page_rows(), PAGES).repartition(5).write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    columns = ["shard", "ordinal", "page_id", "rec_offset", "length", "record_sha256", "root", "status", "other_offset"]
+    frame = warc.op5_warc_fixity(spark, str(tmp_path))
+    assert frame.columns == columns
+    got, want = (sorted(map(str, (tuple(r) for r in x))) for x in (frame.collect(), con.sql(warc.SQL).select(*columns).fetchall()))
+    assert got == want
+    rows = frame.collect()
+    left = [r for r in rows if r.status != "surplus"]
+    assert len(left) == len(page_rows()) == len({(r.shard, r.ordinal) for r in left}) and len({(r.shard, r.root) for r in rows}) == len({r.shard for r in rows})
+    assert Counter(r.shard for r in rows).most_common(1)[0][1] < 1000  # no shard for the id or the row that most share
     kinds = {7: "changed", 77: "changed", 777: "missing"}
-    assert got.count() == 702
-    assert all(r.status == kinds.get(-1 if r.page_id is None else r.page_id * 7919 % 1000, "same") for r in got.collect())
-    assert {r.status for r in warc.audit(right, left).collect()} == {"same", "changed", "surplus"}
-    assert {r.status for r in warc.audit(left, left).collect()} == {"same"}
+    for r in left:
+        kind = kinds.get(-1 if r.page_id is None else r.page_id * 7919 % 1000)
+        assert r.status == kind if kind else r.status in ("same", "moved")
+    assert {r.page_id * 7919 % 1000 for r in rows if r.status == "surplus"} == {333} and any(r.status == "moved" for r in rows)
+
+
+def test_audit_of_any_two_manifests(spark):
+    rows = [(s, f"d{s}.{k}", 10 + k) for s in range(3) for k in range(5000 if s == 1 else 40)]
+    frame = lambda x: warc.manifest(spark.createDataFrame([(s, None, n, d, i) for i, (s, d, n) in enumerate(x)], "shard long, page_id long, length long, record_sha256 string, at long"), ["at"])
+    left = frame(rows)
+    status = lambda a, b: Counter(r.status for r in warc.audit(a, b).collect())
+    assert status(left, left) == {"same": len(rows)}
+    assert status(left, frame(rows[:2] + rows[3:])) == {"same": len(rows) - 38, "missing": 1, "moved": 37}
+    assert status(frame(rows[:2] + rows[3:]), left) == {"same": len(rows) - 38, "surplus": 1, "moved": 37}
+    deep = [(s, "flipped" if d == "d1.4321" else d, n) for s, d, n in rows]
+    found = [r for r in warc.audit(left, frame(deep)).collect() if r.status != "same"]
+    assert [(r.shard, r.ordinal, r.status, r.other_offset == r.rec_offset) for r in found] == [(1, 4321, "changed", True)]
     empty = left.where("1 = 0")
-    assert {r.status for r in warc.audit(left, empty).collect()} == {"missing"} and warc.audit(empty, empty).count() == 0
+    assert status(left, empty) == {"missing": len(rows)} and status(empty, left) == {"surplus": len(rows)} and warc.audit(empty, empty).count() == 0
 
 
-def test_audit_of_a_shard_of_more_records_than_three_levels_hold(spark, tmp_path):
-    hot = [(3, f"http://h/{i}", "x" * (i % 9)) for i in range(5000)]
-    spark.createDataFrame([*hot, *[(i, "u", "y") for i in range(50)]], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
-    got = warc.op5_warc_fixity(spark, str(tmp_path)).collect()
-    assert len(got) == 5050 == len({(r.shard, r.ordinal) for r in got})
-    assert len({(r.shard, r.root) for r in got}) == len({r.shard for r in got})
+def test_pages_without_rows(spark, tmp_path):
+    spark.createDataFrame([], PAGES).write.parquet(f"{tmp_path}/pages.parquet")
+    assert warc.op5_warc_fixity(spark, str(tmp_path)).count() == 0
 
 
 def test_warc_files(spark, tmp_path):
@@ -530,9 +559,10 @@ def test_warc_files(spark, tmp_path):
     found = list(warc.records_in(body))
     assert [o for o, _, _ in found] == [0, *np.cumsum([n for _, n, _ in found])[:-1].tolist()] and sum(n for _, n, _ in found) == len(body)
     for name, data in (("a", body), ("b", body.replace(b"body", b"bodY", 1))):
-        (tmp_path / name).mkdir()
-        (tmp_path / name / "x.warc").write_bytes(data)
-    status = [r.status for r in warc.audit(*(warc.file_manifest(spark, str(tmp_path / n)) for n in "ab")).orderBy("ordinal").collect()]
-    assert status == ["same", "changed", "same", "same", "same"]
+        for folder, content in ((".", data), ("deep", body)):
+            (tmp_path / name / folder).mkdir(exist_ok=True, parents=True)
+            (tmp_path / name / folder / "x.warc").write_bytes(content)
+    found = warc.audit(*(warc.file_manifest(spark, str(tmp_path / n)) for n in "ab")).collect()
+    assert len({r.shard for r in found}) == 2 and [(r.ordinal, r.status) for r in found if r.status != "same"] == [(1, "changed")] and len(found) == 10
     with pytest.raises(ValueError):
         list(warc.records_in(body[:-1]))

@@ -1,10 +1,11 @@
 """Merkle fixity audit of WARC records in replicas.
 
-Pages become WARC records; a shard is the sequence of its records with their byte offsets. A leaf hashes a record's digest with
-its offset and length, a node the leaves or nodes of up to FAN consecutive children, so that each node stands for an ordered
-offset range, and the root for the shard. Two replicas are compared root by root; only below mismatching nodes are the
-children compared, level by level, down to the records: changed, missing or surplus. Records are reduced to digests where
-they are read, so no record bytes are dealt; a node gathers at most FAN digests.
+A shard is a file, the sequence of its records with their byte offsets. A leaf hashes a record's digest with its offset and
+length, a node the leaves or nodes of up to FAN consecutive children, so that each node stands for an ordered offset range,
+and the root for the shard. Two replicas, each with the manifest of its own bytes, are compared root by root; only below
+mismatching nodes are the children compared, level by level, down to the records. Records at mismatching places are then
+told apart: moved (the same bytes at another place, as after a lost record), changed, missing or surplus. Records are
+reduced to digests where they are read, so no record bytes are dealt; a node gathers at most FAN digests.
 """
 
 from __future__ import annotations
@@ -19,17 +20,19 @@ from pyspark.sql import functions as F
 
 from tidewright.llm.common import table, union_all, written
 
-#: Children of a node, levels above the leaves at least, records of a shard (about).
-FAN, LEVELS, SHARD_RECORDS = 16, 3, 256
+#: Children of a node, levels above the leaves at least, records of a shard (about), copies of one record that stay together.
+FAN, LEVELS, SHARD_RECORDS, COPIES = 16, 3, 256, 32
+#: The pages have no time of capture, which a record must name.
+DATE = "1970-01-01T00:00:00Z"
 
 
-def record(page_id: Column, url: Column, html: Column) -> Column:
-    """A WARC 1.1 resource record of a page, as text; null parts count as empty, a null id as 'none'."""
+def record(page_id: Column, url: Column, html: Column, kind: str = "resource") -> Column:
+    """A WARC 1.1 record of a page, as text; null parts count as empty, a null id as 'none'."""
     body = F.coalesce(html.cast("string"), F.lit(""))
     return F.concat(
-        F.lit("WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:"),
+        F.lit(f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:page:"),
         F.coalesce(page_id.cast("string"), F.lit("none")),
-        F.lit(">\r\nWARC-Target-URI: "),
+        F.lit(f">\r\nWARC-Date: {DATE}\r\nWARC-Target-URI: "),
         F.coalesce(url.cast("string"), F.lit("")),
         F.lit("\r\nContent-Type: text/html\r\nContent-Length: "),
         F.octet_length(body).cast("string"),
@@ -39,22 +42,32 @@ def record(page_id: Column, url: Column, html: Column) -> Column:
     )
 
 
-def manifest(records: DataFrame, shards: int) -> DataFrame:
-    """shard, ordinal, page_id, rec_offset, length and record_sha256 from (page_id, body); in a shard records stand in order of
-    id (null first) and digest, so repeated rows have places of their own. With a column other, a replica's bytes for the
-    same place (null: none), other_sha256 is its digest."""
-    more = [F.sha2(F.col("other").cast("binary"), 256).alias("other_sha256")] if "other" in records.columns else []
-    narrow = records.select("page_id", F.octet_length("body").cast("long").alias("length"), F.sha2(F.col("body").cast("binary"), 256).alias("record_sha256"), *more)
-    placed = narrow.withColumn("shard", F.coalesce(F.pmod(F.col("page_id"), F.lit(shards)), F.lit(0)).cast("long"))
-    order = Window.partitionBy("shard").orderBy("page_id", "record_sha256")
-    return placed.select(
+def digest(body: Column) -> Column:
+    """Length in bytes and sha256 of a record."""
+    return F.struct(F.octet_length(body).cast("long").alias("length"), F.sha2(body.cast("binary"), 256).alias("record_sha256"))
+
+
+def sharded(records: DataFrame, shards: int, *, key: Column) -> DataFrame:
+    """records with shard and copy: dealt by a hash of the id, the key (a digest) and the block of COPIES of equal ones, so
+    that neither a frequent or null id nor a record that many rows repeat fills a shard. The order of a shard is that of
+    id (null first), key and copy."""
+    equal = records.groupBy("page_id", *[c for c in records.columns if c != "page_id"]).agg(F.count(F.lit(1)).alias("rows"))
+    each = equal.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1))).drop("rows")
+    name = F.concat_ws(":", F.coalesce(F.col("page_id").cast("string"), F.lit("none")), key, F.floor(F.col("copy") / COPIES).cast("string"))
+    return each.withColumn("shard", F.pmod(F.conv(F.left(F.sha2(name, 256), F.lit(13)), 16, 10).cast("long"), F.lit(shards)).cast("long"))
+
+
+def manifest(rows: DataFrame, order: list[str]) -> DataFrame:
+    """shard, ordinal, page_id, rec_offset, length and record_sha256 from (shard, page_id, length, record_sha256), with the
+    records of a shard one behind another in the given order."""
+    line = Window.partitionBy("shard").orderBy(*order)
+    return rows.select(
         "shard",
-        (F.row_number().over(order) - 1).cast("long").alias("ordinal"),
+        (F.row_number().over(line) - 1).cast("long").alias("ordinal"),
         "page_id",
-        F.coalesce(F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("rec_offset"),
+        F.coalesce(F.sum("length").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long").alias("rec_offset"),
         "length",
         "record_sha256",
-        *(["other_sha256"] if more else []),
     )
 
 
@@ -72,21 +85,32 @@ def tree(rows: DataFrame, levels: int = LEVELS) -> list[DataFrame]:
     return out
 
 
+def _matched(ours: DataFrame, theirs: DataFrame, key: list[str]) -> DataFrame:
+    """Places (shard, ordinal, other) of the n-th record of a key in both."""
+    nth = lambda x: x.withColumn("nth", F.row_number().over(Window.partitionBy("shard", *key).orderBy("ordinal")))
+    a, b = nth(ours).alias("a"), nth(theirs).alias("b")
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ("shard", "nth", *key)]
+    return a.join(b, same).select("a.shard", "a.ordinal", F.col("b.ordinal").alias("other"))
+
+
 def audit(left: DataFrame, right: DataFrame, levels: int | None = None) -> DataFrame:
-    """One row for each record place of either manifest: shard, ordinal, page_id, rec_offset, length, record_sha256 (of left, or
-    of right where left has none), root of left's shard, status (same, changed, missing, surplus) and nodes compared below.
+    """One row for each record of left, and one for each of right that left has nothing for: shard, ordinal, page_id, rec_offset,
+    length, record_sha256 (of right's for surplus ones), root of left's shard, status (same, moved, changed, missing,
+    surplus) and other_offset (null for missing and surplus ones).
 
-    Records that moved because of a change before them differ from that place on, as their offsets do. An empty replica has
-    no roots, so all records of the other are missing or surplus; two empty ones give no rows.
+    Of the records at mismatching places of a shard, the n-th with the same bytes on both sides are moved; of those that
+    remain the n-th with the same id (null equals null) are changed. An empty replica has no roots, so all records of the other are missing or
+    surplus; two empty ones give no rows. Further columns are ignored. The trees are as deep as the largest shard needs.
     """
-    left, right = written(left, "warc-left"), written(right, "warc-right")
+    columns = ["shard", "ordinal", "page_id", "rec_offset", "length", "record_sha256"]
+    left, right = written(left.select(*columns), "warc-left"), written(right.select(*columns), "warc-right")
     if levels is None:
         most = max(x.agg(F.max("ordinal")).first()[0] or 0 for x in (left, right))
         levels = LEVELS
         while FAN**levels <= most:
             levels += 1
     ours, theirs = tree(left, levels), tree(right, levels)
-    roots = ours[-1].select("shard", F.col("hash").alias("root"))
+    roots = ours[-1].where("node = 0").select("shard", F.col("hash").alias("root"))
     bad = None
     for level in range(levels, -1, -1):
         a, b = ours[level], theirs[level].withColumnRenamed("hash", "other")
@@ -94,11 +118,22 @@ def audit(left: DataFrame, right: DataFrame, levels: int | None = None) -> DataF
             parents = bad.select("shard", F.col("node").alias("parent"))
             a, b = (x.withColumn("parent", F.floor(F.col("node") / FAN)).join(parents, ["shard", "parent"], "left_semi").drop("parent") for x in (a, b))
         bad = written(a.join(b, ["shard", "node"], "full").where(~F.col("hash").eqNullSafe(F.col("other"))), f"warc-level{level}")
-    bad = bad.select("shard", F.col("node").alias("ordinal"), F.when(F.col("other").isNull(), "missing").when(F.col("hash").isNull(), "surplus").otherwise("changed").alias("fault"))
-    columns = ["shard", "ordinal", "page_id", "rec_offset", "length", "record_sha256"]
-    surplus = right.join(bad.where("fault = 'surplus'"), ["shard", "ordinal"]).select(*columns, "fault")
-    rows = union_all([left.join(bad, ["shard", "ordinal"], "left").select(*columns, F.coalesce("fault", F.lit("same")).alias("fault")), surplus])
-    return rows.join(roots, "shard", "left").select(*columns, "root", F.col("fault").alias("status"))
+    places = bad.select("shard", F.col("node").alias("ordinal"))
+    a, b = (written(x.join(places, ["shard", "ordinal"], "left_semi"), "warc-bad") for x in (left, right))
+    moved = written(_matched(a, b, ["record_sha256"]), "warc-moved")
+    rest_a = a.join(moved, ["shard", "ordinal"], "left_anti")
+    rest_b = b.join(moved.select("shard", F.col("other").alias("ordinal")), ["shard", "ordinal"], "left_anti")
+    changed = written(_matched(rest_a, rest_b, ["page_id"]), "warc-changed")
+    pairs = moved.withColumn("status", F.lit("moved")).union(changed.withColumn("status", F.lit("changed")))
+    pairs = pairs.join(b.select("shard", F.col("ordinal").alias("other"), F.col("rec_offset").alias("other_offset")), ["shard", "other"]).drop("other")
+    surplus = rest_b.join(changed.select("shard", F.col("other").alias("ordinal")), ["shard", "ordinal"], "left_anti")
+    faults = a.select("shard", "ordinal").join(pairs, ["shard", "ordinal"], "left").withColumn("status", F.coalesce("status", F.lit("missing")))
+    known = left.join(faults, ["shard", "ordinal"], "left").withColumn("other_offset", F.when(F.col("status").isNull(), F.col("rec_offset")).otherwise(F.col("other_offset")))
+    rows = union_all([
+        known.select(*columns, F.coalesce("status", F.lit("same")).alias("status"), "other_offset"),
+        surplus.select(*columns, F.lit("surplus").alias("status"), F.lit(None).cast("long").alias("other_offset")),
+    ])
+    return rows.join(roots, "shard", "left").select(*columns, "root", "status", "other_offset")
 
 
 _LENGTH = re.compile(rb"\r\nContent-Length: *(\d+)", re.IGNORECASE)
@@ -120,7 +155,8 @@ def records_in(data: bytes) -> Iterator[tuple[int, int, str]]:
 
 
 def file_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """A manifest of the WARC files at a path, a shard for each file in order of names; a file must fit a task's memory."""
+    """A manifest of the WARC files in a folder, a shard for each file, told by its path below the folder; a file must fit a
+    task's memory. page_id is null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,49 +165,87 @@ def file_manifest(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"file": [name] * len(rows), "ordinal": list(range(len(rows))), "rec_offset": [r[0] for r in rows], "length": [r[1] for r in rows], "record_sha256": [r[2] for r in rows]}, schema=kind)
 
     kind = pa.schema([("file", pa.string()), ("ordinal", pa.int64()), ("rec_offset", pa.int64()), ("length", pa.int64()), ("record_sha256", pa.string())])
-    found = spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "file string, ordinal long, rec_offset long, length long, record_sha256 string")
-    return found.withColumn("shard", F.xxhash64(F.element_at(F.split("file", "/"), -1))).withColumn("page_id", F.lit(None).cast("long"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
+    found = files.mapInArrow(run, "file string, ordinal long, rec_offset long, length long, record_sha256 string")
+    folder = re.sub("^[A-Za-z0-9+.-]+:/*", "/", path).rstrip("/") + "/"
+    return found.withColumn("shard", F.xxhash64(F.substring_index("file", folder, -1))).withColumn("page_id", F.lit(None).cast("long"))
+
 
+def pages_replicas(pages: DataFrame, shards: int) -> tuple[DataFrame, DataFrame]:
+    """Manifests of the pages' archive and of a replica with faults that the id decides: of 1000 classes, 7 has its last
+    character changed, 77 its last five cut off, 777 is lost, and behind 333 stands a record too many.
 
-def pages_replicas(pages: DataFrame) -> DataFrame:
-    """Records (page_id, body) of the pages and a replica's bytes (other), with faults at places that the id decides: of 1000
-    classes, 7 has its last character changed, 77 its last five, 777 is missing."""
+    The replica's lengths, places and offsets are those of its own bytes; both archives are digested in one pass."""
     body = record(pages.page_id, pages.url, pages.html)
     kind = F.coalesce((F.col("page_id") * 7919) % 1000, F.lit(-1))
     end = F.lit("\r\n\r\n")
-    spoilt = F.when(kind == 7, F.concat(F.expr("left(body, length(body) - 5)"), F.lit("#"), end)).when(kind == 77, F.concat(F.expr("left(body, length(body) - 9)"), F.lit("#####"), end)).when(kind == 777, F.lit(None)).otherwise(F.col("body"))
-    return pages.select("page_id", body.alias("body")).withColumn("other", spoilt)
+    spoilt = F.when(kind == 7, F.concat(F.expr("left(body, length(body) - 5)"), F.lit("#"), end)).when(kind == 77, F.concat(F.expr("left(body, length(body) - 9)"), end)).when(kind != 777, F.col("body"))
+    rows = pages.select("page_id", body.alias("body"), F.when(kind == 333, record(pages.page_id, F.lit(None), F.lit(None), "metadata")).alias("more"))
+    rows = rows.select("page_id", digest(F.col("body")).alias("own"), F.array_compact(F.array(*[F.when(x.isNotNull(), digest(x)) for x in (spoilt, F.col("more"))])).alias("others"))
+    placed = written(sharded(rows, shards, key=F.col("own.record_sha256")), "warc-placed")
+    order = ["page_id", "key", "copy"]
+    left = placed.select("shard", "copy", "page_id", "own.*", F.col("own.record_sha256").alias("key"))
+    right = placed.select("shard", "copy", "page_id", F.col("own.record_sha256").alias("key"), F.posexplode("others").alias("nth", "o")).select("*", "o.*")
+    return manifest(left, order), manifest(right, [*order, "nth"])
 
 
 def op5_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    both = written(manifest(pages_replicas(pages), shard_count(pages.count())), "warc-manifest")
-    return audit(both.drop("other_sha256"), both.where("other_sha256 IS NOT NULL").withColumn("record_sha256", F.col("other_sha256")).drop("other_sha256"))
+    return audit(*pages_replicas(pages, shard_count(pages.count())))
 
 
 SQL = r"""
 WITH crlf AS (SELECT chr(13) || chr(10) AS e),
 r AS (
-  SELECT page_id,
-         'WARC/1.1' || e || 'WARC-Type: resource' || e || 'WARC-Record-ID: <urn:page:' || coalesce(page_id::VARCHAR, 'none') || '>' || e
-         || 'WARC-Target-URI: ' || coalesce(url, '') || e || 'Content-Type: text/html' || e || 'Content-Length: '
-         || strlen(coalesce(html, '')) || e || e || coalesce(html, '') || e || e AS body, e,
-         coalesce((page_id * 7919) % 1000, -1) AS kind,
-         page_id % (SELECT greatest(1, (count(*) + 255) // 256) FROM pages) AS shard
+  SELECT page_id, e, coalesce((page_id * 7919) % 1000, -1) AS kind, '>' || e || 'WARC-Date: 1970-01-01T00:00:00Z' || e || 'WARC-Target-URI: ' AS mid,
+         'WARC/1.1' || e || 'WARC-Type: resource' || e || 'WARC-Record-ID: <urn:page:' || coalesce(page_id::VARCHAR, 'none') || mid
+         || coalesce(url, '') || e || 'Content-Type: text/html' || e || 'Content-Length: '
+         || strlen(coalesce(html, '')) || e || e || coalesce(html, '') || e || e AS body,
+         'WARC/1.1' || e || 'WARC-Type: metadata' || e || 'WARC-Record-ID: <urn:page:' || page_id || mid
+         || e || 'Content-Type: text/html' || e || 'Content-Length: 0' || e || e || e || e AS more
   FROM pages, crlf),
+keyed AS (
+  SELECT *, sha256(body) AS key, row_number() OVER (PARTITION BY page_id, sha256(body)) - 1 AS copy FROM r),
 m AS (
-  SELECT shard, page_id, kind, body, e, strlen(body) AS length, sha256(body) AS record_sha256 FROM r),
+  SELECT *, ('0x' || left(sha256(coalesce(page_id::VARCHAR, 'none') || ':' || key || ':' || (copy // 32)), 13))::BIGINT
+            % (SELECT greatest(1, (count(*) + 255) // 256) FROM pages) AS shard,
+         CASE kind WHEN 7 THEN left(body, length(body) - 5) || '#' || e || e WHEN 77 THEN left(body, length(body) - 9) || e || e
+                   WHEN 777 THEN NULL ELSE body END AS spoilt
+  FROM keyed),
+streams AS (
+  SELECT 'l' AS side, shard, page_id, key, copy, 0 AS nth, body FROM m
+  UNION ALL SELECT 'r', shard, page_id, key, copy, 0, spoilt FROM m WHERE spoilt IS NOT NULL
+  UNION ALL SELECT 'r', shard, page_id, key, copy, 1, more FROM m WHERE kind = 333),
 places AS (
-  SELECT shard, row_number() OVER w - 1 AS ordinal, page_id, (coalesce(sum(length) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS rec_offset,
-         length, record_sha256,
-         CASE kind WHEN 7 THEN sha256(left(body, length(body) - 5) || '#' || e || e) WHEN 77 THEN sha256(left(body, length(body) - 9) || '#####' || e || e)
-                   WHEN 777 THEN NULL ELSE record_sha256 END AS other_sha256
-  FROM m WINDOW w AS (PARTITION BY shard ORDER BY page_id, record_sha256)),
-l0 AS (SELECT shard, ordinal AS node, sha256(concat_ws(':', rec_offset, length, record_sha256)) AS hash FROM places),
+  SELECT side, shard, row_number() OVER w - 1 AS ordinal, page_id, strlen(body) AS length, sha256(body) AS record_sha256,
+         (coalesce(sum(strlen(body)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS rec_offset
+  FROM streams WINDOW w AS (PARTITION BY side, shard ORDER BY page_id NULLS FIRST, key, copy, nth)),
+l0 AS (SELECT shard, ordinal AS node, sha256(concat_ws(':', rec_offset, length, record_sha256)) AS hash FROM places WHERE side = 'l'),
 l1 AS (SELECT shard, node // 16 AS node, sha256(string_agg(hash, '' ORDER BY node)) AS hash FROM l0 GROUP BY shard, l0.node // 16),
 l2 AS (SELECT shard, node // 16 AS node, sha256(string_agg(hash, '' ORDER BY node)) AS hash FROM l1 GROUP BY shard, l1.node // 16),
-l3 AS (SELECT shard, node // 16 AS node, sha256(string_agg(hash, '' ORDER BY node)) AS hash FROM l2 GROUP BY shard, l2.node // 16)
-SELECT p.shard, ordinal, page_id, rec_offset, length, record_sha256, l3.hash AS root,
-       CASE WHEN other_sha256 IS NULL THEN 'missing' WHEN other_sha256 <> record_sha256 THEN 'changed' ELSE 'same' END AS status
-FROM places p JOIN l3 ON l3.shard = p.shard
+l3 AS (SELECT shard, node // 16 AS node, sha256(string_agg(hash, '' ORDER BY node)) AS hash FROM l2 GROUP BY shard, l2.node // 16),
+odd AS (
+  SELECT * FROM places p WHERE NOT EXISTS (
+    SELECT 1 FROM places o WHERE o.side <> p.side AND o.shard = p.shard AND o.ordinal = p.ordinal AND o.rec_offset = p.rec_offset
+                              AND o.length = p.length AND o.record_sha256 = p.record_sha256)),
+by_bytes AS (SELECT *, row_number() OVER (PARTITION BY side, shard, record_sha256 ORDER BY ordinal) AS n FROM odd),
+moved AS (
+  SELECT a.shard, a.ordinal, b.ordinal AS other, b.rec_offset AS other_offset
+  FROM by_bytes a JOIN by_bytes b ON a.side = 'l' AND b.side = 'r' AND a.shard = b.shard AND a.record_sha256 = b.record_sha256 AND a.n = b.n),
+rest AS (
+  SELECT *, row_number() OVER (PARTITION BY side, shard, page_id ORDER BY ordinal) AS n
+  FROM odd WHERE NOT EXISTS (SELECT 1 FROM moved v WHERE v.shard = odd.shard AND CASE odd.side WHEN 'l' THEN v.ordinal ELSE v.other END = odd.ordinal)),
+changed AS (
+  SELECT a.shard, a.ordinal, b.ordinal AS other, b.rec_offset AS other_offset
+  FROM rest a JOIN rest b ON a.side = 'l' AND b.side = 'r' AND a.shard = b.shard AND a.page_id IS NOT DISTINCT FROM b.page_id AND a.n = b.n),
+stated AS (
+  SELECT p.*, CASE WHEN odd.ordinal IS NULL THEN 'same' WHEN v.ordinal IS NOT NULL THEN 'moved' WHEN c.ordinal IS NOT NULL THEN 'changed' ELSE 'missing' END AS status,
+         CASE WHEN odd.ordinal IS NULL THEN p.rec_offset ELSE coalesce(v.other_offset, c.other_offset) END AS other_offset
+  FROM places p LEFT JOIN odd ON odd.side = 'l' AND odd.shard = p.shard AND odd.ordinal = p.ordinal
+  LEFT JOIN moved v ON v.shard = p.shard AND v.ordinal = p.ordinal LEFT JOIN changed c ON c.shard = p.shard AND c.ordinal = p.ordinal
+  WHERE p.side = 'l'
+  UNION ALL
+  SELECT rest.* EXCLUDE (n), 'surplus', NULL FROM rest WHERE side = 'r' AND NOT EXISTS (SELECT 1 FROM changed c WHERE c.shard = rest.shard AND c.other = rest.ordinal))
+SELECT s.shard, ordinal, page_id, rec_offset, length, record_sha256, l3.hash AS root, status, other_offset
+FROM stated s LEFT JOIN l3 ON l3.shard = s.shard AND l3.node = 0
 """
