@@ -12,6 +12,7 @@ import pytest
 import regex
 import tiktoken
 import xxhash
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tests.compare import same
@@ -428,6 +429,63 @@ def test_targets_and_apportionment():
         assert sum(have) == sum(want) and sorted(v / (2 * h + 1) for v, h in zip(votes, have, strict=True)) == pytest.approx(sorted(v / (2 * w + 1) for v, w in zip(votes, want, strict=True)))
 
 
+def brute_mix(data):
+    """taken by (id, text) and place, seat by seat and token by token, of rows (id, text, source)."""
+    names = sorted({s for _, _, s in data}, key=lambda s: (s is None, s or ""))
+    sizes = {s: sum(len(WORD.findall(t or "")) for _, t, q in data if q == s) for s in names}
+    want = mixing.targets([sizes[s] for s in names])
+    block = max(1, min(64, int(min(w for w in want if w > 0) // 200)))
+    hashes = mixing_hashes(data, len(names))
+    out = []
+
+    def by_seats(votes, seats, most):
+        got = [0] * len(votes)
+        for _ in range(min(seats, sum(most))):
+            k = max((k for k in range(len(votes)) if got[k] < most[k]), key=lambda k: (votes[k] / (2 * got[k] + 1), -k))
+            got[k] += 1
+        return got
+
+    seats = by_seats(want, round(sum(want) / block), [10**9] * len(want))
+    for k, s in enumerate(names):
+        own = [(h, r) for h, r in zip(hashes["rows"], data, strict=True) if r[2] == s]
+        n = -(-len(own) // mixing.SHARD_DOCS)
+        shards = {}
+        for (order, proof), (i, t, _) in own:
+            shards.setdefault((order >> 3) % n, []).append((order, i is not None, i or 0, proof, len(WORD.findall(t or "")), i, t))
+        tokens = {x: sum(d[4] for d in shards[x]) for x in sorted(shards)}
+        blocks = {x: -(-v // block) for x, v in tokens.items()}
+        most = [2 * blocks[x] for x in tokens]
+        quota = most if want[k] >= 2 * sizes[s] else by_seats(list(tokens.values()), seats[k], most)
+        for x, q in zip(tokens, quota, strict=True):
+            line = [j for j, d in enumerate(sorted(shards[x], key=lambda d: d[:5])) for _ in range(d[4])]
+            takes = Counter()
+            lo = hashes["shards"][k, x] % blocks[x] if blocks[x] else 0
+            for b in range(blocks[x]):
+                times = q // blocks[x] + ((b - lo) % blocks[x] < q % blocks[x])
+                for j in line[b * block : (b + 1) * block]:
+                    takes[j] += times
+            out += [(str(d[5]), d[4], sizes[s], want[k], takes[j]) for j, d in enumerate(sorted(shards[x], key=lambda d: d[:5]))]
+    return out
+
+
+def mixing_hashes(data, sources):
+    spark = SparkSession.active()
+    frame = spark.createDataFrame([(at, i, t or "") for at, (i, t, _) in enumerate(data)], "at long, i long, t string")
+    rows_ = [(r.o, r.p) for r in frame.select("at", F.xxhash64("i", F.lit(mixing.SEED), F.xxhash64("t")).alias("o"), F.xxhash64("t").alias("p")).orderBy("at").collect()]
+    pairs = spark.range(sources * 50).select((F.col("id") % sources).cast("int").alias("k"), F.floor(F.col("id") / sources).alias("s"))
+    return {"rows": rows_, "shards": {(r.k, r.s): r.h for r in pairs.select("k", "s", F.xxhash64(F.lit(mixing.SEED), "k", "s").alias("h")).collect()}}
+
+
+def test_mixing_by_brute_force(spark, docs, none):
+    rng = random.Random(21)
+    data = [(i, words(rng, rng.choice([0, 1, 5, 40, 200])), rng.choice(["a", "a", "a", "é", "b", None])) for i in range(3000)]
+    data += [(None, "no id twice", "a")] * 2 + [(7, None, "b"), (8, "one", "only"), (9, "", "nothing")]
+    frame = spark.createDataFrame(data, "doc_id long, text string, source string").repartition(7)
+    key = lambda r: (r[0], r[1], r[2], round(r[3], 6), r[4])
+    got = sorted(key((str(r.doc_id), r["size"], r.source_size, r.target, r.taken)) for r in mixing.mixed(frame).collect())
+    assert got == sorted(map(key, brute_mix(data)))
+
+
 def test_mixing(docs, none):
     got = mixing.mixed(docs).toPandas()
     data = rows()

@@ -30,6 +30,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def kept_apart(docs: DataFrame, name: str, **values: Column) -> DataFrame:
+    """docs written to the scratch folder once as __row (a struct) with values and __id, a number for each row. Reading values
+    alone leaves the rows' texts on disk, and __id joins results back to whole rows, however often they repeat."""
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("__row"), *[v.alias(k) for k, v in values.items()])
+    return written(rows.withColumn("__id", F.monotonically_increasing_id()), name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

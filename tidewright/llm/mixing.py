@@ -3,9 +3,12 @@
 Sources, in order of code points with null last, weigh WEIGHTS in turn and share SHARE of all tokens; a target stops at
 REPEATS times its source's size and the excess is shared again by weight. Targets become blocks of equal tokens: seats go
 one by one to the source with the highest quotient target / (2 seats + 1). A source's documents are split by a seeded hash
-into shards, and its seats go to the shards in the same way, by the shards' tokens, so each has an integer quota. In a
-shard the documents, in seeded order, form one line of tokens cut into blocks; a quota takes every block equally often, and
-the rest of the quota from a seeded place on the ring of blocks. A document gives the tokens it has in the blocks taken.
+into shards of about SHARD_DOCS, however many these are, and shards into at most GROUPS groups; a source's seats go to its
+groups and a group's to its shards in the same way, by their tokens, so each shard has an integer quota. In a shard the
+documents, in seeded order, form one line of tokens cut into blocks; a quota takes every block equally often, and the rest
+of the quota from a seeded place on the ring of blocks. A document gives the tokens it has in the blocks taken.
+
+The texts are read once, for their sizes; everything after that is done on a narrow table.
 """
 
 from __future__ import annotations
@@ -13,17 +16,17 @@ from __future__ import annotations
 import heapq
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidewright.llm.common import SPACE, table, text_of, written
+from tidewright.llm.common import SPACE, kept_apart, table, text_of, written
 
 WEIGHTS, SHARE, REPEATS, SEED = (3.0, 1.0, 2.0), 1.5, 2, 11
 #: Tokens of a block at most; smaller where the smallest target would not fill SEATS_LEAST blocks.
 BLOCK, SEATS_LEAST = 64, 200
-#: Documents of a shard, about, and the most shards of a source.
-SHARD_DOCS, SHARDS_MOST = 256, 4096
+#: Documents of a shard, about, and the most groups of shards of a source.
+SHARD_DOCS, GROUPS = 256, 1024
+WORD = rf"[^{SPACE}]++"
 
 
 def targets(sizes: list[int], weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, repeats: float = REPEATS) -> list[float]:
@@ -74,80 +77,99 @@ def apportion(votes: list[float], seats: int, most: list[int] | None = None) ->
     return got
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carry: bool = False) -> DataFrame:
-    """One row for each document: doc_id, size, source_size, target, taken, the first word taken in the part pass (part_from,
-    0 without one) and with carry the input row. taken = passes * size + words of the part pass, which may wrap round the end.
+def _values(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> dict[str, Column]:
+    proof = F.xxhash64(text_of(docs, text_col))
+    return {
+        "doc_id": docs[id_col],
+        "source": docs[source_col].cast("string"),
+        "size": F.regexp_count(text_of(docs, text_col), F.lit(WORD)).cast("long"),
+        "order": F.xxhash64(docs[id_col], F.lit(SEED), proof),  # texts without an id spread too
+        "proof": proof,
+    }
 
-    Null texts have no words; null sources are a source, the last. Documents without words take none. Rows repeated in full
-    stand side by side on the line; together they take what their places give, in a fixed order of equals. No rows give no
-    rows; further columns are ignored unless carried.
-    """
-    spark = docs.sparkSession
-    rows = docs.select(
-        docs[id_col].alias("doc_id"),
-        docs[source_col].cast("string").alias("source"),
-        F.when(F.length(F.trim(F.regexp_replace(text_of(docs, text_col), f"[{SPACE}]+", " "))) == 0, 0).otherwise(F.size(F.split(F.trim(F.regexp_replace(text_of(docs, text_col), f"[{SPACE}]+", " ")), " "))).cast("long").alias("size"),
-        F.xxhash64(docs[id_col], F.lit(SEED)).alias("order"),
-        F.xxhash64(text_of(docs, text_col)).alias("proof"),
-        *([F.struct(*[docs[c] for c in docs.columns]).alias("row")] if carry else []),
-    )
-    narrow = rows.drop("row") if carry else written(rows, "sizes")
+
+def _quotas(shards: DataFrame, block: int) -> DataFrame:
+    """k, shard, tokens, blocks, passes and rest of each shard of (k, group, shard, tokens, seats): its group's seats apportioned."""
+    import pandas as pd
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("shard")
+        blocks = (-(-frame["tokens"] // block)).astype("int64")
+        got = np.array(apportion(frame["tokens"].astype(float).tolist(), int(frame["seats"].iloc[0]), (REPEATS * blocks).tolist()), "int64")
+        per = np.maximum(blocks, 1)
+        return pd.DataFrame({"k": frame["k"], "shard": frame["shard"], "tokens": frame["tokens"], "blocks": blocks, "passes": got // per, "rest": got % per})
+
+    return shards.groupBy("k", "group").applyInPandas(run, "k int, shard long, tokens long, blocks long, passes long, rest long")
+
+
+def taken_of(narrow: DataFrame) -> DataFrame:
+    """narrow (a written table of doc_id, source, size, order, proof and more) with source_size, target, taken and part_from."""
+    spark = narrow.sparkSession
     sources = narrow.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n")).collect()  # a row for each source
     sources.sort(key=lambda r: (r.source is None, [ord(c) for c in r.source or ""]))
     want = targets([r.source_size for r in sources])
-    shards = [min(SHARDS_MOST, -(-r.n // SHARD_DOCS)) for r in sources]
-    about = spark.createDataFrame(
-        [(r.source, r.source_size, float(w), k) for r, w, k in zip(sources, want, shards, strict=True)],
-        "source string, source_size long, target double, shards int",
-    )
-    placed = rows.join(about, rows.source.eqNullSafe(about.source)).drop(about.source).withColumn("shard", F.pmod(F.shiftright("order", 3), "shards").cast("int"))
-    by_shard = placed.groupBy("source", "shard").agg(F.sum("size").alias("tokens")).orderBy("source", "shard").collect()  # SHARDS_MOST a source at most
     block = max(1, min(BLOCK, int(min([w for w in want if w > 0], default=BLOCK) // SEATS_LEAST)))
-    seats = apportion(want, round(sum(want) / block))
-    members: dict[str | None, list] = {}
-    for r in by_shard:
-        members.setdefault(r.source, []).append(r)
-    quotas = []
-    for r, n, w in zip(sources, seats, want, strict=True):
-        own = members.get(r.source, [])
-        blocks = [-(-m.tokens // block) for m in own]
-        most = [REPEATS * b for b in blocks]
-        got = most if w >= REPEATS * r.source_size else apportion([float(m.tokens) for m in own], n, most)
-        quotas += [(m.source, m.shard, m.tokens, b, q // b if b else 0, q % b if b else 0) for m, b, q in zip(own, blocks, got, strict=True)]
-    quota = spark.createDataFrame(quotas, T.StructType.fromDDL("source string, shard int, tokens long, blocks long, passes long, rest long"))
-    at = placed.join(quota, placed.source.eqNullSafe(quota.source) & (placed.shard == quota.shard)).drop(quota.source).drop(quota.shard)
-    line = Window.partitionBy("source", "shard").orderBy("order", "doc_id", "proof", "size")
+    about = spark.createDataFrame([(k, r.source, r.source_size, float(w), -(-r.n // SHARD_DOCS)) for k, (r, w) in enumerate(zip(sources, want, strict=True))], "k int, of string, source_size long, target double, shards long")
+    placed = narrow.join(about, F.col("source").eqNullSafe(F.col("of"))).drop("of", "source").withColumn("shard", F.pmod(F.shiftright("order", 3), "shards"))
+    shards = written(placed.groupBy("k", "shard").agg(F.sum("size").alias("tokens")).withColumn("group", (F.col("shard") % GROUPS).cast("int")), "shards")
+    blocks = F.ceil(F.col("tokens") / block).cast("long")
+    groups = shards.groupBy("k", "group").agg(F.sum("tokens").alias("tokens"), F.sum(blocks).alias("blocks")).orderBy("k", "group").collect()  # GROUPS a source at most
+    members: dict[int, list] = {}
+    for r in groups:
+        members.setdefault(r.k, []).append(r)
+    seats = []
+    for k, n in enumerate(apportion(want, round(sum(want) / block))):
+        own = members.get(k, [])
+        most = [REPEATS * m.blocks for m in own]
+        # At its cap a source gives every block REPEATS times: no other seats are within all the bounds.
+        got = most if want[k] >= REPEATS * sources[k].source_size else apportion([float(m.tokens) for m in own], n, most)
+        seats += [(m.k, m.group, g) for m, g in zip(own, got, strict=True)]
+    quota = _quotas(shards.join(spark.createDataFrame(seats, "k int, group int, seats long"), ["k", "group"]), block)
+    at = placed.join(written(quota, "quotas"), ["k", "shard"])
+    line = Window.partitionBy("k", "shard").orderBy("order", "doc_id", "proof", "size", *[c for c in narrow.columns if c == "__id"])
     end = F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, 0))
     at = at.withColumn("b", end).withColumn("a", F.col("b") - F.col("size"))
     # The part pass takes [lo, lo + n) on the ring of tokens, from the start of a seeded block.
-    at = at.withColumn("lo", F.coalesce(F.pmod(F.xxhash64(F.lit(SEED), "source", "shard"), F.when(F.col("blocks") > 0, F.col("blocks"))), F.lit(0)) * block)
+    at = at.withColumn("lo", F.coalesce(F.pmod(F.xxhash64(F.lit(SEED), "k", "shard"), F.when(F.col("blocks") > 0, F.col("blocks"))), F.lit(0)) * block)
     ring_end = F.col("lo") + F.col("rest") * block
     over = F.greatest(F.lit(0), ring_end - F.col("blocks") * block)  # what goes on at the start of the line
     part = lambda lo, hi: F.greatest(F.lit(0), F.least(F.col("b"), hi) - F.greatest(F.col("a"), lo))
     ahead, behind = part(F.col("lo"), F.least(ring_end, F.col("tokens"))), part(F.lit(0), over)
-    return at.select(
-        "doc_id",
-        "size",
-        "source_size",
-        "target",
-        (F.col("passes") * F.col("size") + ahead + behind).cast("long").alias("taken"),
-        F.when(ahead > 0, F.greatest(F.lit(0), F.col("lo") - F.col("a"))).otherwise(F.lit(0)).cast("long").alias("part_from"),
-        *(["row"] if carry else []),
-    )
+    taken = (F.col("passes") * F.col("size") + ahead + behind).cast("long")
+    part_from = F.when(ahead > 0, F.greatest(F.lit(0), F.col("lo") - F.col("a"))).otherwise(F.lit(0)).cast("long")
+    return at.withColumns({"taken": taken, "part_from": part_from})
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """One row for each document: doc_id, size, source_size, target, taken and the first word taken in the part pass (part_from,
+    0 without one). taken = passes * size + words of the part pass, which may wrap round the end.
+
+    Null texts have no words; null sources are a source, the last. Documents without words take none. Rows repeated in full
+    stand side by side on the line; together they take what their places give, in a fixed order of equals. No rows give no
+    rows; further columns are ignored. A row for each source is gathered: sources are origins, not addresses.
+    """
+    narrow = written(docs.select(*[v.alias(k) for k, v in _values(docs, id_col, text_col, source_col).items()]), "sizes")
+    return taken_of(narrow).select("doc_id", "size", "source_size", "target", "taken", "part_from")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix itself with the documents' columns: a row for each whole pass over a document and one for the part of a pass,
-    whose text has the words taken, joined by spaces (and n_chars its length, where there is such a column)."""
-    taken = mixed(docs, id_col, text_col, source_col, carry=True).where("taken > 0")
-    whole, part = F.floor(F.col("taken") / F.col("size")).cast("int"), (F.col("taken") % F.col("size")).cast("int")
-    copies = taken.withColumn("part", part).withColumn("copy", F.explode(F.concat(F.array_repeat(F.lit(False), whole), F.array_repeat(F.lit(True), F.when(part > 0, 1).otherwise(0)))))
-    words = F.split(F.trim(F.regexp_replace(F.coalesce(F.col(f"row.{text_col}").cast("string"), F.lit("")), f"[{SPACE}]+", " ")), " ")
+    whose text has the words taken, joined by spaces (and n_chars its length, where there is such a column).
+
+    Nulls, ties, repeated and no rows are as in mixed; a row of which nothing is taken has no row in the mix, as those
+    without words. Further columns are carried along."""
+    whole = kept_apart(docs, "mix", **_values(docs, id_col, text_col, source_col))
+    taken = taken_of(whole.drop("__row")).where("taken > 0").select("__id", "size", "taken", "part_from")
+    rows = whole.select("__id", "__row").join(taken, "__id")
+    times, part = F.floor(F.col("taken") / F.col("size")).cast("int"), (F.col("taken") % F.col("size")).cast("int")
+    copies = rows.withColumn("part", part).withColumn("copy", F.explode(F.concat(F.array_repeat(F.lit(False), times), F.array_repeat(F.lit(True), F.when(part > 0, 1).otherwise(0)))))
+    text = F.col(f"__row.`{text_col}`")
+    words = F.regexp_extract_all(F.coalesce(text.cast("string"), F.lit("")), F.lit(WORD), F.lit(0))
     doubled = F.concat(words, words)  # the part may wrap round the end
-    text = F.when(F.col("copy"), F.array_join(F.slice(doubled, (F.col("part_from") + 1).cast("int"), F.greatest("part", F.lit(1))), " ")).otherwise(F.col(f"row.{text_col}"))
-    out = copies.withColumn("new_text", text)
+    new = F.when(F.col("copy"), F.array_join(F.slice(doubled, (F.col("part_from") + 1).cast("int"), F.greatest("part", F.lit(1))), " ")).otherwise(text)
+    out = copies.withColumn("__text", new)
     columns = [
-        F.col("new_text").alias(c) if c == text_col else F.when(F.col("copy"), F.char_length("new_text")).otherwise(F.col(f"row.{c}")).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"row.`{c}`").alias(c)
+        F.col("__text").alias(c) if c == text_col else F.when(F.col("copy"), F.char_length("__text")).otherwise(F.col(f"__row.{c}")).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"__row.`{c}`").alias(c)
         for c in docs.columns
     ]
     return out.select(*columns)
