@@ -193,6 +193,24 @@ def test_toxicity_finds_marked_words(spark):
         assert any(dict(data)[r.doc_id][s.start : s.end].lower()[:5] in ("zorgl", "quaff") for s in r.spans)
 
 
+def test_toxicity_learns_held_out_labels(spark):
+    d = "/root/testdata/sf0.1"
+    got = toxicity.op2_toxicity(spark, d).join(spark.read.parquet(f"{d}/labels.parquet").withColumnRenamed("toxic", "label"), "doc_id").where("held_out").toPandas()
+    hit = got.predicted == 1
+    assert (got.label == 1).sum() > 100 and hit[got.label == 1].mean() > 0.8 and hit[got.label == 0].mean() < 0.01
+    assert (got.held_out == got.doc_id.map(lambda i: zlib.crc32(str(i).encode()) % 3 == 1)).all()
+    # Calibrated: of held-out documents, as many are toxic as the scores say.
+    assert abs(got.score.mean() - (got.label == 1).mean()) < 0.08
+
+
+def test_toxicity_trains_once_on_a_label_that_repeats(spark, docs, labels, monkeypatch):
+    seen = []
+    real = toxicity.training_rows
+    monkeypatch.setattr(toxicity, "training_rows", lambda d, chosen, *a: (seen.extend((r.doc_id, r.y) for r in chosen.collect()), real(d, chosen, *a))[1])
+    toxicity.fit_toxicity(docs, labels)
+    assert len({i for i, _ in seen}) == len(seen) and dict(seen).get(5, 1.0) == 1.0 and any(i == 5 for i, _ in seen) == (zlib.crc32(b"5") % 3 != 1)
+
+
 def test_toxicity_edges(docs, labels, none):
     got = toxicity.scored(docs, toxicity.fit_toxicity(docs, labels)).toPandas()
     assert len(got) == len(rows()) and got.score.between(0, 1).all()

@@ -88,19 +88,23 @@ def fourier(z: np.ndarray) -> np.ndarray:
     return np.hstack([np.ones((len(z), 1)), z * 0.1, np.sqrt(2 / FEATURES) * np.cos(z @ w + b)])
 
 
-def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pool adjacent violators: knots and non-decreasing values of the least-squares fit; equal x are pooled first."""
+def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray | None = None, steps: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Pool adjacent violators: knots and non-decreasing values of the least-squares fit, weighted by w; equal x are pooled
+    first. A block's knot is its centre, or with steps both its ends, so that it holds from one to the other."""
+    w = np.ones(len(x)) if w is None else w
     x, at = np.unique(x, return_inverse=True)
-    weight = np.bincount(at).astype(float)
-    mean = np.bincount(at, weights=y) / weight
-    blocks: list[list[float]] = []  # mean, weight, sum of x * weight
-    for m, w, v in zip(mean, weight, x, strict=True):
-        blocks.append([m, w, v * w])
+    weight = np.bincount(at, weights=w)
+    mean = np.bincount(at, weights=y * w) / weight
+    blocks: list[list[float]] = []  # mean, weight, sum of x * weight, first and last x
+    for m, n, v in zip(mean, weight, x, strict=True):
+        blocks.append([m, n, v * n, v, v])
         while len(blocks) > 1 and blocks[-2][0] >= blocks[-1][0]:
-            m2, w2, s2 = blocks.pop()
-            m1, w1, s1 = blocks.pop()
-            blocks.append([(m1 * w1 + m2 * w2) / (w1 + w2), w1 + w2, s1 + s2])
-    return np.array([s / w for _, w, s in blocks]), np.array([m for m, _, _ in blocks])
+            m2, w2, s2, _, end = blocks.pop()
+            m1, w1, s1, begin, _ = blocks.pop()
+            blocks.append([(m1 * w1 + m2 * w2) / (w1 + w2), w1 + w2, s1 + s2, begin, end])
+    if steps:
+        return np.array([e for *_, a, b in blocks for e in (a, b)]), np.repeat([b[0] for b in blocks], 2)
+    return np.array([b[2] / b[1] for b in blocks]), np.array([b[0] for b in blocks])
 
 
 def _statistics_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,17 +149,22 @@ def _add(key, frame):
     return pd.DataFrame({"fold": [key[0]], "sums": [sum(np.frombuffer(s) for s in frame["sums"]).tobytes()]})
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, is_train: Column, id_col: str, text_col: str, limit: int) -> DataFrame:
-    """y, order and __text of at most limit labelled rows, first by a hash of the id; a repeated label counts as its largest."""
-    chosen = labels.where(labels.doc_id.isNotNull() & labels[label].isNotNull()).groupBy("doc_id").agg(F.max(labels[label]).cast("double").alias("y"))
-    chosen = chosen.where(is_train).withColumn("order", F.xxhash64(F.col("doc_id"), F.lit(SEED))).orderBy("order", "doc_id").limit(limit)
+def labelled(labels: DataFrame, label: str, is_train: Column) -> DataFrame:
+    """doc_id, y and order (a hash of the id) of the labels to train on; a repeated label counts as its largest."""
+    known = labels.where(labels.doc_id.isNotNull() & labels[label].isNotNull()).groupBy("doc_id").agg(F.max(labels[label]).cast("double").alias("y"))
+    return known.where(is_train).withColumn("order", F.xxhash64(F.col("doc_id"), F.lit(SEED)))
+
+
+def training_rows(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """chosen, labels of bounded number, each with its __text."""
     rows = docs.select(docs[id_col].alias("doc_id"), text_of(docs, text_col).alias("__text"))
-    return rows.join(F.broadcast(chosen), "doc_id")  # at most limit rows
+    return rows.join(F.broadcast(chosen), "doc_id")
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = MAX_TRAIN) -> QualityModel:
     """The model from labelled documents whose bucket of five is not 0; without any, every score is 1."""
-    x = training_rows(docs, labels, "quality", bucket_of(F.col("doc_id"), 5) != 0, id_col, text_col, limit)
+    chosen = labelled(labels, "quality", bucket_of(F.col("doc_id"), 5) != 0).orderBy("order", "doc_id").limit(limit)
+    x = training_rows(docs, chosen, id_col, text_col)
     x = x.select("y", "order", F.pmod("order", F.lit(FOLDS)).cast("int").alias("fold"), "__text").mapInArrow(_statistics_of, "y double, order long, fold int, x array<double>")
     x = x.repartition(TRAIN_PARTS, "order").persist()  # dealt by the hash of the id, so equal texts spread
     moments = [(r.n, np.frombuffer(r.sums).reshape(2, STATISTICS)) for r in x.mapInArrow(_moments, "n long, sums binary").where("n > 0").collect()]

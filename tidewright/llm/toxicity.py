@@ -7,35 +7,42 @@ openings and ending (hashed), plus transition weights. It is trained by gradient
 marginals from forward-backward. Both passes run over all tokens of a block of texts at once: products of 2 x 2 matrices,
 scanned in lanes, with a step that forgets the past at the start of each text.
 A document's score is the calibrated probability that any token is toxic; its spans are the tokens whose marginal is 0.5 or
-more, as code-point offsets. Training reads at most MAX_TRAIN labelled rows; scoring reads every whole text.
+more, as code-point offsets.
+
+Training reads at most MAX_TRAIN labelled rows in blocks of texts: each block counts the words that may be marks and, in each
+step, sums its gradient; the counts are added up by word, the gradients, of fixed size and bounded number, on the driver. A
+third of the sample is kept from the field and fits the calibration, so that scores are not over-sure. Scoring reads every
+whole text.
 """
 
 from __future__ import annotations
 
+import io
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import bucket_of, table, text_of
-from tidewright.llm.quality import training_rows
+from tidewright.llm.common import bucket_of, table, text_of, written
+from tidewright.llm.quality import isotonic, labelled, training_rows
 
-#: Bound of the training sample, in labelled rows.
-MAX_TRAIN = 4_000
+#: Bound of the training sample, in labelled rows; its partitions, and the share of it that calibrates (one in).
+MAX_TRAIN, TRAIN_PARTS, CALIBRATE = 6_000, 16, 3
 #: How unlikely a mark must be by chance (odds against, for all words together), and the largest share of its texts that are clean.
-MARK_ODDS, MARK_CLEAN = 20, 0.05
+MARK_ODDS, MARK_CLEAN = 20, 0.35
 SLOTS, STEPS, RATE, DECAY = 1 << 16, 30, 0.6, 1e-4
 #: Tokens of one block of the field; texts are never cut, a longer text is a block of its own.
 BLOCK = 200_000
 TOXIC_FROM = 0.7
 TOKEN = re.compile(r"[^\W_]+")
 #: A field without training: no token is toxic.
-QUIET = (np.zeros(SLOTS), np.array([[0.0, -20.0], [0.0, -20.0]]), np.array([0.0, -20.0]), (-30.0, 1e-3))
+QUIET = (np.zeros(SLOTS), np.array([[0.0, -20.0], [0.0, -20.0]]), np.array([0.0, -20.0]), (np.zeros(1), np.zeros(1)))
 
 
 def openings(word: str) -> list[str]:
@@ -48,26 +55,9 @@ def features(word: str) -> list[int]:
     return [zlib.crc32(n.encode("utf-8", "surrogatepass")) % SLOTS for n in names]
 
 
-def marks(texts: list[list[str]], labels: np.ndarray) -> set[str]:
-    """Words (as 'w...') and openings ('p...') that mark toxic texts; equal texts count once.
-
-    A mark's texts are nearly all toxic, and so many that chance would not make one such word among all of them. Toxic texts
-    with a mark are then set aside and the search goes on among the others, where rarer marks stand out.
-    """
-    sets = {(y > 0.5, tuple(words)): frozenset(x for w in set(words) for x in ("w" + w, *("p" + p for p in openings(w)))) for words, y in zip(texts, labels, strict=True)}
-    toxic = [names for (bad, _), names in sets.items() if bad]
-    clean = Counter(x for (bad, _), names in sets.items() if not bad for x in names)
-    n_clean, found = len(sets) - len(toxic), set()
-    while toxic:
-        held = Counter(x for names in toxic for x in names)
-        share = min(0.9, len(toxic) / (len(toxic) + n_clean))
-        least = np.log(MARK_ODDS * (len(held) + 1)) / -np.log(share)
-        new = {x for x, n in held.items() if n >= least and clean[x] <= MARK_CLEAN * (n + clean[x])}
-        if not new:
-            break
-        found |= new
-        toxic = [names for names in toxic if names.isdisjoint(new)]
-    return found
+def names(word: str) -> list[int]:
+    """Hashes of what may be a mark in a lower-case word: the word itself and its openings."""
+    return [xxhash.xxh64_intdigest(n.encode("utf-8", "surrogatepass")) >> 1 for n in ("w" + word, *("p" + p for p in openings(word)))]
 
 
 def _scan(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray) -> np.ndarray:
@@ -119,51 +109,10 @@ def marginals(emit: np.ndarray, first: np.ndarray, trans: np.ndarray, start: np.
     return p, (joint / joint.sum(0)).sum(1).reshape(2, 2), np.array([(1 - p1).sum(), p1.sum()])
 
 
-def fit_field(texts: list[list[str]], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Weights by slot, transition and start weights, from whole token lists."""
-    found = marks(texts, labels)
-    words = sorted({w for t in texts for w in t})
-    number = {w: i for i, w in enumerate(words)}
-    slot_lists = [features(w) for w in words]
-    counts = np.fromiter(map(len, slot_lists), np.int64, len(words))
-    slots = np.fromiter((s for x in slot_lists for s in x), np.int64, counts.sum())
-    owner = np.repeat(np.arange(len(words)), counts)
-    marked = np.fromiter(("w" + w in found or any("p" + p in found for p in openings(w)) for w in words), bool, len(words))
-    order = sorted((i for i in range(len(texts)) if texts[i]), key=lambda i: (labels[i] < 0.5, i))
-    ids = np.concatenate([np.fromiter((number[w] for w in texts[i]), np.int64, len(texts[i])) for i in order])
-    sizes = np.array([len(texts[i]) for i in order])
-    first = np.zeros(len(ids), bool)
-    first[np.cumsum(sizes) - sizes] = True
-    truth = marked[ids] & np.repeat(labels[order] > 0.5, sizes)
-    squares, squares_t, squares_s = np.full(SLOTS, 1e-8), np.full((2, 2), 1e-8), np.full(2, 1e-8)
-    word_truth = np.bincount(ids, weights=truth, minlength=len(words))
-    y = truth.astype(int)
-    inner = np.flatnonzero(~first[1:])
-    pairs_true = np.bincount(y[inner] * 2 + y[inner + 1], minlength=4).reshape(2, 2)
-    first_true = np.array([(1 - y[first]).sum(), y[first].sum()])
-    n = len(ids)
-    weights = np.zeros(SLOTS)
-    trans = np.log(pairs_true + 1.0) - np.log((pairs_true + 1.0).sum(1, keepdims=True))
-    start = np.log(first_true + 1.0) - np.log((first_true + 1.0).sum())
-    for _ in range(STEPS):
-        emit = np.bincount(owner, weights=weights[slots], minlength=len(words))[ids]
-        p, pairs, firsts = marginals(emit, first, trans, start, True)
-        by_word = word_truth - np.bincount(ids, weights=p, minlength=len(words))
-        g = np.bincount(slots, weights=by_word[owner], minlength=SLOTS) / n - DECAY * weights / n
-        g_t, g_s = (pairs_true - pairs) / n, (first_true - firsts) / n
-        squares += g * g
-        squares_t += g_t * g_t
-        squares_s += g_s * g_s
-        weights += RATE * g / np.sqrt(squares)
-        trans += RATE * g_t / np.sqrt(squares_t)
-        start += RATE * g_s / np.sqrt(squares_s)
-    return weights, trans, start
-
-
 class Field:
     """Scores texts; remembers the scores of words, up to a bound."""
 
-    def __init__(self, weights: np.ndarray, trans: np.ndarray, start: np.ndarray, bend: tuple[float, float] = (0.0, 1.0)):
+    def __init__(self, weights: np.ndarray, trans: np.ndarray, start: np.ndarray, bend: tuple[np.ndarray, np.ndarray]):
         self.weights, self.trans, self.start, self.bend = weights, trans, start, bend
         self.known: dict[str, float] = {}
 
@@ -196,41 +145,15 @@ class Field:
         return float(np.log(some) - none)
 
     def score(self, p: np.ndarray) -> float:
-        a, b = self.bend
-        return float(1 / (1 + np.exp(-np.clip(a + b * self.raw(p), -40, 40))))
-
-
-def _calibrate(raw: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Logistic regression on one number by damped Newton steps, with the usual prior on the targets."""
-    n1, n0 = (y > 0.5).sum(), (y <= 0.5).sum()
-    t = np.where(y > 0.5, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    a, b = 0.0, 1.0
-    x = np.clip(raw, -30, 30)
-    for _ in range(50):
-        q = 1 / (1 + np.exp(-np.clip(a + b * x, -40, 40)))
-        w = q * (1 - q) + 1e-6
-        g = np.array([(t - q).sum(), ((t - q) * x).sum() - 1e-3 * (b - 1)])
-        h = np.array([[w.sum(), (w * x).sum()], [(w * x).sum(), (w * x * x).sum() + 1e-3]])
-        d = np.linalg.solve(h + 1e-6 * np.eye(2), g)
-        d /= max(1.0, np.abs(d).max())
-        a, b = a + d[0], b + d[1]
-    return float(a), float(max(b, 1e-3))
-
-
-def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    texts, labels = [], []
-    for batch in batches:
-        texts += [[w.lower() for w in TOKEN.findall(t.as_py())] for t in batch.column("__text")]
-        labels += batch.column("y").to_pylist()
-    y = np.array(labels, float)
-    if len(y) and y.max() > 0.5 and any(texts):
-        weights, trans, start = fit_field(texts, y)
-        field = Field(weights, trans, start)
-        raw = np.array([field.raw(p) for block in _blocks(texts) for p in field.tags(block)])
-        bend = _calibrate(raw, y)
-    else:
-        weights, trans, start, bend = QUIET
-    yield pa.RecordBatch.from_pydict({"model": [np.concatenate([weights, trans.ravel(), start, bend]).tobytes()]})
+        return float(np.interp(self.raw(p), *self.bend))
+
+
+def _calibrate(raw: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Knots and values of the isotonic fit of labels to log odds; half a row of the other label at each end keeps values off 0 and 1."""
+    if not len(raw):
+        return np.array([-4.0, 0.0, 4.0]), np.array([0.02, 0.5, 0.98])
+    ends = np.array([raw.max(), raw.min()])
+    return isotonic(np.concatenate([raw, ends]), np.concatenate([y > 0.5, [False, True]]), np.concatenate([weight, np.full(2, min(0.5, weight.min()))]), steps=True)
 
 
 def _blocks(token_lists: list[list[str]]) -> Iterator[list[list[str]]]:
@@ -245,18 +168,178 @@ def _blocks(token_lists: list[list[str]]) -> Iterator[list[list[str]]]:
         yield held
 
 
+def _packed(**arrays: np.ndarray) -> bytes:
+    out = io.BytesIO()
+    np.savez(out, **arrays)
+    return out.getvalue()
+
+
+def _each(blocks: DataFrame, work: Callable, schema: str, column: str = "block") -> DataFrame:
+    """work(arrays) -> a record batch or None, for each block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blob in batch.column(0):
+                with np.load(io.BytesIO(blob.as_py())) as arrays:
+                    out = work(arrays)
+                if out is not None:
+                    yield out
+
+    return blocks.select(column).mapInArrow(run, schema)
+
+
+def _in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of whole texts as arrays: label and size of each text, words in lower case and the number of each token's word."""
+    for batch in batches:
+        ys = batch.column("y").to_pylist()
+        texts = [[w.lower() for w in TOKEN.findall(t.as_py())] for t in batch.column("__text")]
+        at = 0
+        for block in _blocks(texts):
+            y, at = ys[at : at + len(block)], at + len(block)
+            words = sorted({w for t in block for w in t})
+            number = {w: i for i, w in enumerate(words)}
+            ids = np.fromiter((number[w] for t in block for w in t), np.int32, sum(map(len, block)))
+            joined = np.frombuffer("\n".join(words).encode("utf-8", "surrogatepass"), np.uint8)
+            yield pa.RecordBatch.from_pydict({"block": pa.array([_packed(y=np.array(y), sizes=np.array([len(t) for t in block]), ids=ids, words=joined)], pa.binary())})
+
+
+def _words(arrays) -> list[str]:
+    joined = arrays["words"].tobytes().decode("utf-8", "surrogatepass")
+    return joined.split("\n") if joined else []
+
+
+def marks(blocks: DataFrame, toxic: int, clean: int) -> set[int]:
+    """Words and openings (as hashes) that mark toxic texts, of so many toxic and clean ones.
+
+    A mark's texts are mostly toxic, and so many that chance, by Chernoff's bound, would not make one such word among all of
+    them. Toxic texts with a mark are then set aside and the search goes on among the others, where rarer marks stand out.
+    """
+    found: set[int] = set()
+    while True:
+        so_far = frozenset(found)
+
+        def counted(arrays, so_far=so_far):
+            by_word = [names(w) for w in _words(arrays)]
+            bad, good, left = Counter(), Counter(), 0
+            ends = np.cumsum(arrays["sizes"])
+            ids = arrays["ids"]
+            for y, a, b in zip(arrays["y"].tolist(), (ends - arrays["sizes"]).tolist(), ends.tolist(), strict=True):
+                held = {x for i in np.unique(ids[a:b]).tolist() for x in by_word[i]}
+                if y <= 0.5:
+                    good.update(held)
+                elif held.isdisjoint(so_far):
+                    bad.update(held)
+                    left += 1
+            keys = list(bad.keys() | good.keys())
+            columns = [[0, *keys], [left, *(bad[k] for k in keys)], [0, *(good[k] for k in keys)]]  # 0: the number of texts left
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["name", "bad", "good"])
+
+        sums = _each(blocks, counted, "name long, bad long, good long").groupBy("name").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).where("bad > 0")
+        # Of a name in a handful of texts no evidence can be enough; the rest are few, for their texts are bounded.
+        rows = sums.groupBy().agg(F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("name") == 0, F.col("bad"))).alias("left"), F.collect_list(F.when((F.col("name") != 0) & (F.col("bad") >= 3) & (F.col("good") <= MARK_CLEAN * (F.col("bad") + F.col("good"))), F.struct("name", "bad", "good"))).alias("likely")).first()
+        if not rows.left:
+            return found
+        share = min(0.9, rows.left / (rows.left + clean))
+        new = {r.name for r in rows.likely if _evidence(r.bad, r.good, share) >= np.log(MARK_ODDS * rows.n)}
+        if not new:
+            return found
+        found |= new
+
+
+def _evidence(bad: int, good: int, share: float) -> float:
+    """How far chance, with a share of toxic texts, is from so many toxic texts of a word's: the exponent of Chernoff's bound."""
+    n = bad + good
+    p = bad / n
+    if p <= share:
+        return 0.0
+    return n * (p * np.log(p / share) + ((1 - p) * np.log((1 - p) / (1 - share)) if good else 0.0))
+
+
+def _chains(arrays, marked: frozenset) -> pa.RecordBatch:
+    """A block as the gradient steps need it: slots of each word, true states and where texts start."""
+    words, sizes = _words(arrays), arrays["sizes"]
+    sizes_y = [(n, y) for n, y in zip(sizes.tolist(), arrays["y"].tolist(), strict=True) if n]
+    slots = [features(w) for w in words]
+    is_mark = np.fromiter((not marked.isdisjoint(names(w)) for w in words), bool, len(words))
+    truth = is_mark[arrays["ids"]] & np.repeat([y > 0.5 for _, y in sizes_y], [n for n, _ in sizes_y])
+    first = np.zeros(len(truth), bool)
+    first[np.cumsum([0] + [n for n, _ in sizes_y[:-1]])] = True
+    owner = np.repeat(np.arange(len(words)), [len(x) for x in slots])
+    block = _packed(ids=arrays["ids"], first=first, truth=truth, owner=owner, slots=np.concatenate(slots), n_words=np.array(len(words)))
+    return pa.RecordBatch.from_pydict({"block": pa.array([block], pa.binary())})
+
+
+def _gradient(weights: np.ndarray, trans: np.ndarray, start: np.ndarray, arrays) -> pa.RecordBatch:
+    """The gradient's sum over a block: by slot where it is not zero, by transition, by start; and the true counts' share."""
+    ids, first, owner, slots, n_words = (arrays[k] for k in ("ids", "first", "owner", "slots", "n_words"))
+    y = arrays["truth"].astype(int)
+    inner = np.flatnonzero(~first[1:])
+    pairs_true = np.bincount(y[inner] * 2 + y[inner + 1], minlength=4).astype(float)
+    first_true = np.array([(1 - y[first]).sum(), y[first].sum()], float)
+    emit = np.bincount(owner, weights=weights[slots], minlength=n_words)[ids]
+    p, pairs, firsts = marginals(emit, first, trans, start, True)
+    by_word = np.bincount(ids, weights=y - p, minlength=n_words)
+    g = np.bincount(slots, weights=by_word[owner], minlength=SLOTS)
+    at = np.flatnonzero(np.abs(g) > 1e-9).astype(np.int32)
+    small = np.concatenate([pairs_true - pairs.ravel(), first_true - firsts, pairs_true, first_true, [len(ids)]])
+    return pa.RecordBatch.from_pydict({"at": pa.array([at.tobytes()], pa.binary()), "g": pa.array([g[at].astype(np.float32).tobytes()], pa.binary()), "small": pa.array([small.tobytes()], pa.binary())})
+
+
+def fit_field(chains: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weights by slot, transition and start weights after STEPS steps; a step is one job, of which each block gives a sum."""
+    weights, trans, start = np.zeros(SLOTS), np.zeros((2, 2)), np.zeros(2)
+    squares, squares_t, squares_s = np.full(SLOTS, 1e-8), np.full((2, 2), 1e-8), np.full(2, 1e-8)
+    for k in range(STEPS + 1):
+        # A vector of SLOTS at most for each block of a bounded sample.
+        rows = _each(chains, lambda arrays, m=(weights.copy(), trans.copy(), start.copy()): _gradient(*m, arrays), "at binary, g binary, small binary").collect()
+        g = np.zeros(SLOTS)
+        for r in rows:
+            g[np.frombuffer(r.at, np.int32)] += np.frombuffer(r.g, np.float32)
+        small = np.sum([np.frombuffer(r.small) for r in rows], axis=0)
+        n = small[-1]
+        if k == 0:  # from the frequencies of the true transitions
+            pairs, firsts = small[6:10].reshape(2, 2) + 1, small[10:12] + 1
+            trans, start = np.log(pairs / pairs.sum(1, keepdims=True)), np.log(firsts / firsts.sum())
+            continue
+        g, g_t, g_s = g / n - DECAY * weights / n, small[:4].reshape(2, 2) / n, small[4:6] / n
+        squares += g * g
+        squares_t += g_t * g_t
+        squares_s += g_s * g_s
+        weights = weights + RATE * g / np.sqrt(squares)
+        trans = trans + RATE * g_t / np.sqrt(squares_t)
+        start = start + RATE * g_s / np.sqrt(squares_s)
+    return weights, trans, start
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = MAX_TRAIN) -> Field:
     """The field from labelled documents whose bucket of three is not 1, half of the sample toxic where there are so many.
 
-    One task trains on the bounded sample; without toxic training texts every score is near 0.
+    A repeated label counts as its largest, equal texts of one label once. Without toxic training texts every score is near 0.
     """
-    in_train = bucket_of(F.col("doc_id"), 3) != 1
-    toxic = training_rows(docs, labels.where("toxic > 0"), "toxic", in_train, id_col, text_col, limit // 2)
-    clean = training_rows(docs, labels.where("toxic = 0"), "toxic", in_train, id_col, text_col, limit // 2)
-    rows = toxic.unionByName(clean).select("order", "y", "__text").repartition(1).sortWithinPartitions("order", "y", "__text")
-    blob = rows.mapInArrow(_train, "model binary").first()
-    m = np.frombuffer(blob.model) if blob else np.concatenate([np.ravel(x) for x in QUIET])
-    return Field(m[:SLOTS], m[SLOTS : SLOTS + 4].reshape(2, 2), m[SLOTS + 4 : SLOTS + 6], (float(m[-2]), float(m[-1])))
+    known = labelled(labels, "toxic", bucket_of(F.col("doc_id"), 3) != 1)
+    halves = [known.where(c).orderBy("order", "doc_id").limit(limit // 2) for c in ("y > 0.5", "y <= 0.5")]
+    rows = training_rows(docs, halves[0].unionByName(halves[1]), id_col, text_col)
+    rows = written(rows.groupBy("y", "__text").agg(F.min("order").alias("order")).repartition(TRAIN_PARTS, "order").sortWithinPartitions("order", "y", "__text"), "toxicity-rows")
+    held = F.pmod(F.xxhash64("order"), F.lit(CALIBRATE)) == 0
+    for_field, for_bend = (written(rows.where(c).select("y", "__text").mapInArrow(_in_blocks, "block binary"), "toxicity-blocks") for c in (~held, held))
+    size = {r.bad: r["count"] for r in rows.where(~held).groupBy((F.col("y") > 0.5).alias("bad")).count().collect()}
+    marked = frozenset(marks(for_field, size.get(True, 0), size.get(False, 0))) if size.get(True) else frozenset()
+    if not marked:
+        return Field(*QUIET)
+    chains = written(_each(for_field, lambda arrays: _chains(arrays, marked) if len(arrays["ids"]) else None, "block binary"), "toxicity-chains")
+    weights, trans, start = fit_field(chains)
+
+    def raw(arrays) -> pa.RecordBatch:
+        own, words = Field(weights, trans, start, QUIET[3]), _words(arrays)
+        lists = [[words[i] for i in x] for x in np.split(arrays["ids"], np.cumsum(arrays["sizes"])[:-1])]
+        return pa.RecordBatch.from_arrays([pa.array([own.raw(p) for p in own.tags(lists)], pa.float64()), pa.array(arrays["y"].astype(float))], names=["raw", "y"])
+
+    pairs = np.array([(r.raw, r.y) for r in _each(for_bend, raw, "raw double, y double").collect()]).reshape(-1, 2)  # two numbers a row of the sample
+    # The sample has more toxic texts than there are; weights give its labels the shares that they have among all.
+    total = {r.bad: r["count"] for r in known.groupBy((F.col("y") > 0.5).alias("bad")).count().collect()}
+    drawn = {bad: max(1, int((pairs[:, 1] > 0.5).sum()) if bad else int((pairs[:, 1] <= 0.5).sum())) for bad in (True, False)}
+    weight = np.where(pairs[:, 1] > 0.5, total.get(True, 0) / drawn[True], total.get(False, 0) / drawn[False])
+    return Field(weights, trans, start, _calibrate(pairs[:, 0], pairs[:, 1], weight * len(pairs) / max(1.0, weight.sum())))
 
 
 def scored(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
