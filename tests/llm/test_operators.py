@@ -105,10 +105,22 @@ def test_simhash_against_all_pairs(docs, none):
     want = sorted((str(r[0]), f"{p:016x}", str(min((x for x in ids[root(i)] if x is not None), default=None))) for i, (r, p) in enumerate(zip(data, prints, strict=True)))
     got = sorted((str(r.doc_id), r.fingerprint, str(r.component_id)) for r in simhash.near_dedup(docs).collect())
     assert got == want and len({w[2] for w in want}) < len(want)
-    assert simhash.drop_near_copies(docs).columns == docs.columns
+    kept = simhash.drop_near_copies(docs)
+    assert kept.columns == docs.columns and kept.count() == len({root(i) for i in range(len(data))})
+    assert {r.doc_id for r in kept.collect()} == {min((x for x in v if x is not None), default=None) for v in ids.values()}
     assert simhash.near_dedup(none).count() == 0 and simhash.drop_near_copies(none).count() == 0
 
 
+def test_near_copies_without_ids_and_with_one_id_leave_one_row(spark):
+    rng = random.Random(30)
+    one, two = words(rng, 60), words(rng, 60)
+    rows_ = [(None, one), (None, one), (None, one + " "), (4, two), (4, two), (4, two + "\n"), (9, words(rng, 50)), (None, None), (None, "")]
+    frame = spark.createDataFrame(rows_, "doc_id long, text string")
+    for drop in (simhash.drop_near_copies, exact_dedup.drop_copies):
+        got = drop(frame).collect()
+        assert len(got) == 4 and Counter(r.doc_id for r in got) == {None: 2, 4: 1, 9: 1}
+
+
 def test_bucket_search_links_as_all_pairs_do():
     rng = np.random.default_rng(1)
     centre = rng.integers(0, 1 << 63, 5, dtype=np.uint64)
@@ -572,14 +584,29 @@ def test_bpe_contraction_is_the_same_in_both_forms():
     known = bpe.ranks(path)
     own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=known, special_tokens={})
     rng = random.Random(8)
-    samples = [bytes(rng.choice(b"abehilnorst") for _ in range(rng.randint(2, 60))) for _ in range(200)] + ["ααββ🙂é".encode(), b"\xff\xfe\x00"]
-    for word, (ids, back) in zip(samples, bpe.encode_words(samples, path), strict=True):
-        want = own._encode_single_piece(word)
-        assert np.frombuffer(ids, "<u4").tolist() == want and back == word
+    samples = [bytes(rng.choice(b"abehilnorst") for _ in range(rng.randint(2, 60))) for _ in range(200)] + ["ααββ🙂é".encode(), b"\xff\xfe\x00", b"the", b"=" * 500, b"-" * 2000, bytes(rng.choice(b"ab") for _ in range(505))]
+    ids, counts = bpe.encode_words(samples, path)
+    for word, got in zip(samples, np.split(ids, np.cumsum(counts)[:-1]), strict=True):
+        want = own.encode_ordinary(word.decode("latin-1")) if word in known else own._encode_single_piece(word)
+        assert got.tolist() == ([known[word]] if word in known else want)
         if word not in known:
             assert bpe._contract(word, known) == want
 
 
+def test_bpe_decodes_the_ids(monkeypatch):
+    """Bytes come from ids alone: other ids give other bytes, and a text may span several queries."""
+    path, _ = bpe.public_vocabulary()
+    known = bpe.ranks(path)
+    monkeypatch.setattr(bpe, "DECODE", 7)
+    docs = np.repeat(np.array([0, 2, 5], np.int32), [3, 30, 4])
+    ids = np.random.default_rng(3).integers(0, len(known), len(docs)).astype(np.int32)
+    by_rank = {n: t for t, n in known.items()}
+    got = {}
+    for doc, data in bpe.decoded(ids, docs, path):
+        got[doc] = got.get(doc, b"") + data
+    assert got == {d: b"".join(by_rank[i] for i in ids[docs == d].tolist()) for d in (0, 2, 5)}
+
+
 PAGES = "page_id long, url string, html string, shard long, key string, copy int"
 
 

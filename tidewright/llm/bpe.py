@@ -1,12 +1,14 @@
 """Byte-level BPE: encoding by recursive DuckDB queries in each partition, decoding by ordered aggregation.
 
-Texts are cut by the tokenizer's pattern. Each partition keeps a table of the words it has seen, up to a bound; words new in
-a batch go to an in-process DuckDB in blocks. There a recursive query unfolds each word to one row for each token position, joins
-neighbouring tokens with the merge table, contracts in each word the leftmost pair of least rank and goes on until no word
-has a pair left; the last round of each word gives its ids, and an ordered aggregation of the ids' bytes the decoded word. Encoding and
-decoding of a text are the sequence of those of its words. The merge table lists every pair of tokens whose bytes together
-are a token, as the rank of the joined bytes decides. Words of over LONG bytes, for which one contraction a round would be
-slow, run the same contraction over a heap of pairs.
+Texts are cut by the tokenizer's pattern. Each partition keeps a table of the words it has seen, up to a bound; the words that
+are new in a chunk of texts go to an in-process DuckDB. There a word that is a token stands for itself, any other for its
+bytes, and a recursive query unfolds each word to one row for each token position, joins neighbouring tokens with the merge
+table, contracts in each word the leftmost pair of least rank and goes on until no word has a pair left. The ids of a text
+are those of its words one behind another. For decoding, the ids of the chunk's texts become one row for each position,
+are joined with the vocabulary, and an ordered aggregation strings each text's bytes together.
+The merge table lists every pair of tokens whose bytes together are a token, as the rank of the joined bytes decides. Words
+of over LONG bytes, of which a round would contract one pair in time proportional to their length, run the same
+contraction over a heap of pairs.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -25,24 +28,25 @@ from pyspark.sql import functions as F
 
 from tidewright.llm.common import table, text_of
 
-#: Words of one DuckDB query, words that a partition remembers, bytes of a word from which the heap takes over.
-BLOCK, REMEMBER, LONG = 20_000, 400_000, 256
+#: Texts and characters of a chunk, words that a partition remembers, bytes of a word from which the heap takes over, ids
+#: decoded at once.
+CHUNK_TEXTS, CHUNK_CHARS, REMEMBER, LONG, DECODE = 4_000, 4_000_000, 400_000, 512, 1_000_000
 
 ENCODE = """
-WITH RECURSIVE state(round, word, toks) AS (
-    SELECT 0, word, toks FROM letters
+WITH RECURSIVE state(word, toks) USING KEY (word) AS (
+    SELECT l.word, CASE WHEN v.tok IS NULL THEN l.toks ELSE [v.tok] END FROM letters l LEFT JOIN vocab v ON v.hex = l.hex
   UNION ALL
-    SELECT s.round + 1, s.word, s.toks[:(b.best & 65535) - 1] || [(b.best >> 16)::INT] || s.toks[(b.best & 65535) + 2:]
+    SELECT s.word, s.toks[:(b.best & 65535) - 1] || [(b.best >> 16)::INT] || s.toks[(b.best & 65535) + 2:]
     FROM state s JOIN (
       SELECT p.word, min(m.rank::BIGINT * 65536 + p.pos) AS best
       FROM (SELECT word, unnest(toks[:-2]) AS l, unnest(toks[2:]) AS r, unnest(range(1, len(toks))) AS pos FROM state WHERE len(toks) > 1) p
       JOIN merges m ON m.l = p.l AND m.r = p.r GROUP BY p.word) b ON b.word = s.word
-), ended AS (
-    SELECT word, arg_max(toks, round) AS ids FROM state GROUP BY word)
-SELECT e.word, any_value(e.ids) AS ids, string_agg(v.hex, '' ORDER BY e.pos) AS hex
-FROM (SELECT word, ids, unnest(ids) AS tok, unnest(range(1, len(ids) + 1)) AS pos FROM ended) e JOIN vocab v ON v.tok = e.tok GROUP BY e.word
+)
+SELECT word, toks AS ids FROM state ORDER BY word
 """
 
+DECODE_IDS = "SELECT c.doc, string_agg(v.hex, '' ORDER BY c.pos) AS hex FROM coded c JOIN vocab v ON v.tok = c.tok GROUP BY c.doc ORDER BY c.doc"
+
 
 @lru_cache(maxsize=2)
 def ranks(path: str) -> dict[bytes, int]:
@@ -90,33 +94,69 @@ def _contract(word: bytes, known: dict[bytes, int]) -> list[int]:
     return [known[word[i : end[i]]] for i in range(n) if alive[i]]
 
 
-def _pack(ids: list[int]) -> bytes:
-    return b"".join(i.to_bytes(4, "little") for i in ids)
-
-
-def encode_words(words: list[bytes], path: str) -> list[tuple[bytes, bytes]]:
-    """For each word its ids, as little-endian 32-bit integers, and the bytes they decode to."""
+def encode_words(words: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all words one behind another, and how many each word has."""
     known = ranks(path)
-    out: list[tuple[bytes, bytes]] = [(b"", b"")] * len(words)
-    by_rank = None
-    numbers, letters = [], []
-    for k, word in enumerate(words):
-        if word in known:
-            out[k] = (known[word].to_bytes(4, "little"), word)
-        elif len(word) > LONG:
-            by_rank = by_rank or {n: t for t, n in known.items()}
-            ids = _contract(word, known)
-            out[k] = (_pack(ids), b"".join(by_rank[i] for i in ids))
-        else:
-            numbers.append(k)
-            letters.append([known[bytes((b,))] for b in word])
-    if numbers:
-        con = _database(path)
-        con.register("letters", pa.table({"word": pa.array(numbers, pa.int32()), "toks": pa.array(letters, pa.list_(pa.int32()))}))
-        for k, ids, hexed in con.execute(ENCODE).fetchall():
-            out[k] = (_pack(ids), bytes.fromhex(hexed))
-        con.unregister("letters")
-    return out
+    letter = np.array([known[bytes((b,))] for b in range(256)], np.int32)
+    if not words:
+        return np.zeros(0, np.int32), np.zeros(0, np.int64)
+    short = [w if len(w) <= LONG else b"" for w in words]
+    toks = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, short)]), pa.int32()), pa.array(letter[np.frombuffer(b"".join(short), np.uint8)]))
+    con = _database(path)
+    con.register("letters", pa.table({"word": pa.array(np.arange(len(words), dtype=np.int32)), "toks": toks, "hex": pa.array([w.hex() for w in short])}))
+    found = con.sql(ENCODE).to_arrow_table().column("ids").combine_chunks()
+    con.unregister("letters")
+    ids, counts = found.flatten().to_numpy(), np.diff(found.offsets.to_numpy()).astype(np.int64)
+    long = {k: np.array(_contract(w, known), np.int32) for k, w in enumerate(words) if len(w) > LONG}
+    if long:
+        pieces = np.split(ids, np.cumsum(counts)[:-1])
+        pieces = [long.get(k, p) for k, p in enumerate(pieces)]
+        ids, counts = np.concatenate(pieces), np.array(list(map(len, pieces)), np.int64)
+    return ids, counts
+
+
+def decoded(ids: np.ndarray, docs: np.ndarray, path: str) -> Iterator[tuple[int, bytes]]:
+    """(doc, bytes) of the ids of texts, docs being each id's text in rising order; a text of many ids comes in several parts."""
+    con = _database(path)
+    for at in range(0, len(ids), DECODE):
+        part = slice(at, at + DECODE)
+        n = len(ids[part])
+        con.register("coded", pa.table({"doc": pa.array(docs[part]), "pos": pa.array(np.arange(n, dtype=np.int32)), "tok": pa.array(ids[part])}))
+        rows = con.sql(DECODE_IDS).to_arrow_table()
+        con.unregister("coded")
+        for doc, hexed in zip(rows.column("doc").to_pylist(), rows.column("hex").to_pylist(), strict=True):
+            yield doc, bytes.fromhex(hexed)
+
+
+class Words:
+    """The words that a partition has seen, with their ids."""
+
+    def __init__(self, path: str):
+        self.path = path
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.ids, self.begin, self.count = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def ids_of(self, lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, given as lists of words, one behind another, and how many each text has."""
+        if len(self.number) > REMEMBER:
+            self.clear()
+        number = self.number
+        new = list({w for words in lists for w in words if w not in number})
+        for w in new:
+            number[w] = len(number)
+        ids, count = encode_words([w.encode("utf-8", "surrogatepass") for w in new], self.path)
+        self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(count) - count])
+        self.ids, self.count = np.concatenate([self.ids, ids]), np.concatenate([self.count, count])
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        words = np.fromiter((number[w] for words in lists for w in words), np.int64, sizes.sum())
+        count = self.count[words]
+        ends = np.cumsum(count)
+        at = np.repeat(self.begin[words] - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)
+        ends = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
+        return self.ids[at], np.diff(ends)
 
 
 def coded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
@@ -131,34 +171,34 @@ def coded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text
         schema = schema.add("ids", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = regex.compile(pattern)
-        ids_of: dict[str, bytes] = {}
-        bytes_of: dict[str, bytes] = {}
+        cut, seen = regex.compile(pattern), Words(path)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
-                if len(ids_of) > REMEMBER:
-                    ids_of.clear()
-                    bytes_of.clear()
-                lists = [cut.findall(t) for t in part.column("__text").to_pylist()]
-                new = list({w for words in lists for w in words if w not in ids_of})
-                for at in range(0, len(new), BLOCK):
-                    block = new[at : at + BLOCK]
-                    for word, (ids, back) in zip(block, encode_words([w.encode("utf-8", "surrogatepass") for w in block], path), strict=True):
-                        ids_of[word], bytes_of[word] = ids, back
-                n, first, second, whole = [], [], [], []
-                for words in lists:
-                    ids = b"".join(map(ids_of.__getitem__, words))
-                    n.append(len(ids) // 4)
-                    first.append(hashlib.sha256(ids).hexdigest())
-                    second.append(hashlib.sha256(b"".join(map(bytes_of.__getitem__, words))).hexdigest())
-                    whole.append(ids)
-                columns = [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(first), pa.array(second)]
+            texts = batch.column("__text").to_pylist()
+            for lo, hi in _chunks(texts):
+                ids, n = seen.ids_of([cut.findall(t) for t in texts[lo:hi]])
+                ends = np.cumsum(n)
+                packed = ids.astype("<u4").tobytes()
+                whole = [packed[4 * a : 4 * b] for a, b in zip((ends - n).tolist(), ends.tolist(), strict=True)]
+                back = [hashlib.sha256() for _ in whole]
+                for doc, data in decoded(ids, np.repeat(np.arange(len(n), dtype=np.int32), n), path):
+                    back[doc].update(data)
+                columns = [batch.column("doc_id").slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in whole]), pa.array([h.hexdigest() for h in back])]
                 yield pa.RecordBatch.from_arrays([*columns, *([pa.array(whole, pa.binary())] if with_ids else [])], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
 
+def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
+    lo, held = 0, 0
+    for k, t in enumerate(texts):
+        if k > lo and (k - lo >= CHUNK_TEXTS or held + len(t) > CHUNK_CHARS):
+            yield lo, k
+            lo, held = k, 0
+        held += len(t)
+    if lo < len(texts):
+        yield lo, len(texts)
+
+
 def public_vocabulary() -> tuple[str, str]:
     """Path of the public byte-level vocabulary and its pattern."""
     import public_tokenizers
