@@ -37,6 +37,12 @@ def kept_apart(docs: DataFrame, name: str, **values: Column) -> DataFrame:
     return written(rows.withColumn("__id", F.monotonically_increasing_id()), name)
 
 
+def salted_join(big: DataFrame, small: DataFrame, key: str, by: str, n: int = 8) -> DataFrame:
+    """big joined with small, which has a row for each key; a key's rows in big are dealt to n tasks by a hash of by."""
+    salted = big.withColumn("__salt", F.pmod(F.xxhash64(by), F.lit(n)).cast("int"))
+    return salted.join(small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))), [key, "__salt"]).drop("__salt")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -1,24 +1,26 @@
 """Exact duplicates by a tree merge of sorted digest runs, in DataFrame functions only.
 
-Documents are split into a power-of-two number of runs by a hash of their id. A run is reduced, sorted by digest, to one
-entry for each distinct text: digest, check value, number of rows and best row. Then runs merge in rounds: in a round each
-group of FAN_IN neighbouring runs exchanges entries (dealt by run group and digest, so no task gets a whole run), a sorted
-aggregation merges them, and the best row of each digest is settled again from the members' best rows and verified against
-an independent 64-bit hash and the normalised length. After log(runs) rounds one entry for each text is left.
-
-Entries of texts with several rows go back down to the (run, digest) pairs that fed them. The documents are joined with
+Documents are dealt to a power of FAN_IN runs by their row. A run is reduced to one entry for each distinct text, in the
+order of the digests: digest, check value, number of rows and best row. Runs have numbers to the base FAN_IN. In round k the
+FAN_IN runs whose numbers differ in digit k alone exchange their entries: each takes those whose digest has its own digit
+there, and merges the sorted pieces that it gets, settling the best row of each digest anew from the members' best rows.
+Entries merge only where digest (SHA-256), an independent 64-bit hash and the normalised length all agree. After the last
+round a run's number is the digest's, so one entry for each text is left; a text that makes up a third of all rows was
+one entry of each run before it met itself.
+
+Entries of texts with several rows go back down to the (run, digest) pairs that fed them. The rows are joined with
 these by (run, digest), so a text that makes up a third of all rows is spread over all runs, and only entries, never rows,
 were merged by digest.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import SPACE, table, text_of, written
+from tidewright.llm.common import SPACE, kept_apart, table, text_of, written
 
-#: Runs that one round merges into one.
+#: Runs that exchange entries in one round; their digits are those of the base FAN_IN.
 FAN_IN = 8
 KEY = ["digest", "proof", "n_norm"]
 
@@ -31,65 +33,60 @@ def run_count(spark: SparkSession) -> int:
     return n
 
 
-def _entries(docs: DataFrame, id_col: str, text_col: str, runs: int, carry: bool) -> DataFrame:
+def _values(docs: DataFrame, id_col: str, text_col: str) -> dict[str, Column]:
     text = text_of(docs, text_col)
     norm = F.regexp_replace(text, f"[{SPACE}]", "")
-    columns: list[Column] = [
-        docs[id_col].alias("doc_id"),
-        F.unhex(F.sha2(norm, 256)).alias("digest"),
-        F.xxhash64(norm).alias("proof"),
-        F.char_length(norm).alias("n_norm"),
-        F.char_length(text).alias("n_points"),
-        F.pmod(F.xxhash64(docs[id_col]), F.lit(runs)).cast("int").alias("run"),
-    ]
-    if carry:
-        columns.append(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    return docs.select(*columns)
+    return {"doc_id": docs[id_col], "digest": F.unhex(F.sha2(norm, 256)), "proof": F.xxhash64(norm), "n_norm": F.char_length(norm), "n_points": F.char_length(text)}
+
+
+def _in_runs(rows: DataFrame, runs: int) -> DataFrame:
+    return rows.withColumn("run", F.pmod(F.xxhash64("__id"), F.lit(runs)).cast("long"))
 
 
 def merge_runs(entries: DataFrame, runs: int) -> tuple[DataFrame, DataFrame]:
-    """The runs' own entries, and one entry for each text after all rounds; best is (-code points, id is null, id)."""
-    best = F.struct((-F.col("n_points")).alias("neg"), F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
+    """The runs' own entries, and one entry for each text after all rounds; best is (-code points, id is null, id, row)."""
+    best = F.struct((-F.col("n_points")).alias("neg"), F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("__id").alias("row"))
     first = entries.groupBy("run", *KEY).agg(F.count(F.lit(1)).alias("rows"), F.min(best).alias("best"))
-    merged, width = first, 1
-    while width < runs:
-        width *= FAN_IN
-        merged = merged.withColumn("run", F.floor(F.col("run") / FAN_IN).cast("int")).groupBy("run", *KEY).agg(F.sum("rows").alias("rows"), F.min("best").alias("best"))
+    prefix = F.conv(F.hex(F.substring("digest", 1, 6)), 16, 10).cast("long")
+    merged, place = first, 1
+    while place < runs:
+        digit = lambda x, place=place: F.pmod(F.floor(x / place).cast("long"), F.lit(FAN_IN)) * place
+        partner = F.col("run") - digit(F.col("run")) + digit(prefix)
+        merged = merged.withColumn("run", partner).groupBy("run", *KEY).agg(F.sum("rows").alias("rows"), F.min("best").alias("best"))
+        place *= FAN_IN
     return first, merged.drop("run")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False, runs: int | None = None) -> DataFrame:
-    """One row for each document: doc_id, keep_id, group_size, kept, text_sha256, and with carry the input row as a struct.
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", runs: int | None = None) -> DataFrame:
+    """One row for each document: doc_id, keep_id, group_size, kept and text_sha256.
 
     Texts are equal when identical after deleting spaces and tabs to carriage returns; null counts as empty, so all null
     and blank texts are one group. Of a group the row with most code points stays, then the smallest id; null ids come last.
-    Of rows that agree in id and code points too, exactly one stays. No rows give no rows; further columns are ignored
-    unless carried.
+    Of rows that agree in id and code points too, exactly one stays. No rows give no rows; further columns are ignored.
     """
     runs = runs or run_count(docs.sparkSession)
-    entries = _entries(docs, id_col, text_col, runs, False)
-    if not carry:
-        entries = written(entries, "digest-runs")
+    rows = docs.select(*[v.alias(k) for k, v in _values(docs, id_col, text_col).items()])
+    entries = _in_runs(written(rows.withColumn("__id", F.monotonically_increasing_id()), "digests"), runs)
     first, merged = merge_runs(entries, runs)
     copies = merged.where("rows > 1").withColumnRenamed("rows", "group_size")
     down = first.select("run", *KEY).join(copies, KEY)
-    rows = _entries(docs, id_col, text_col, runs, True) if carry else entries
-    found = rows.join(down, ["run", *KEY], "left")
-    tie = Window.partitionBy("run", *KEY, "doc_id", "n_points").orderBy(F.xxhash64(*(["row.*"] if carry else ["doc_id"])))
-    is_best = F.col("group_size").isNull() | ((F.col("best.neg") == -F.col("n_points")) & F.col("best.id").eqNullSafe(F.col("doc_id")))
-    return found.withColumn("place", F.row_number().over(tie)).select(
+    found = entries.join(down, ["run", *KEY], "left")
+    return found.select(
         "doc_id",
         F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("best.id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-        (is_best & (F.col("place") == 1)).alias("kept"),
+        (F.col("group_size").isNull() | (F.col("best.row") == F.col("__id"))).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
-        *(["row"] if carry else []),
     )
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with their own columns."""
-    return exact_dedup(docs, id_col, text_col, carry=True).where("kept").select("row.*")
+    """The documents that stay, with their own columns; nulls, ties, repeated and no rows are as in exact_dedup, and further
+    columns, those with the names used here among them, are carried along. The texts are digested once."""
+    whole = kept_apart(docs, "exact", **_values(docs, id_col, text_col))
+    runs = run_count(docs.sparkSession)
+    kept = merge_runs(_in_runs(whole.drop("__row"), runs), runs)[1].select(F.col("best.row").alias("__id"))
+    return whole.join(kept, "__id", "left_semi").select("__row.*")
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -214,7 +214,8 @@ def scored(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_co
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that are not rejected, with their own columns."""
+    """The documents that are not rejected, with their own columns. Null and empty texts are judged as the empty text, repeated
+    rows alike; without labels nothing is rejected, no rows give no rows, and further columns are carried along."""
     return scored(docs, fit_quality(docs, labels, id_col, text_col), id_col, text_col, carry=True).where("predicted = 1").select("row.*")
 
 

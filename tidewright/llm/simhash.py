@@ -18,11 +18,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.llm.common import table, text_of, written
+from tidewright.llm.common import kept_apart, salted_join, table, text_of, written
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 SHINGLE, SEED, MAX_BITS = 4, 42, 4
@@ -57,10 +57,9 @@ def _fingerprint(texts: pa.Array) -> pa.Array:
     return pa.array(np.fromiter((fingerprint(t.as_py()) for t in texts), np.uint64, len(texts)).view(np.int64))
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
-    """doc_id and fp, the fingerprint's 64 bits as a signed long; with carry the input row as a struct."""
-    row = [F.struct(*[docs[c] for c in docs.columns]).alias("row")] if carry else []
-    return docs.select(docs[id_col].alias("doc_id"), *row, _fingerprint(text_of(docs, text_col)).alias("fp"))
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and fp, the fingerprint's 64 bits as a signed long."""
+    return docs.select(docs[id_col].alias("doc_id"), _fingerprint(text_of(docs, text_col)).alias("fp"))
 
 
 def _star(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -134,52 +133,62 @@ def links(prints: DataFrame) -> DataFrame:
     return dealt.mapInArrow(_bucket_links, "a long, b long").distinct()
 
 
+def _trace(edges: DataFrame) -> tuple:
+    """Number of the edges and two sums of their hashes, which tell whether a round changed them."""
+    h = F.xxhash64("a", "b")
+    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(h), F.sum(h.bitwiseAND(F.lit((1 << 28) - 1)))).first())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node and root for each node of the undirected edges (a, b); the root is the smallest node of its component.
 
     Large stars link the larger neighbours of each node to its smallest neighbour, small stars the smaller ones; each keeps
-    components together, and in a logarithmic number of rounds only stars with the smallest node as centre are left.
+    components together, and in a logarithmic number of rounds only stars with the smallest node as centre are left. A
+    centre's links are dealt to several tasks.
     """
     edges = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    before = _trace(edges)
     while True:
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = salted_join(both, least, "a", "b").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a")
-        nxt = written(small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(small.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), "links")
-        changed = nxt.join(edges, ["a", "b"], "left_anti").limit(1).count() + edges.join(nxt, ["a", "b"], "left_anti").limit(1).count()
-        edges = nxt
-        if not changed:
+        small = salted_join(large, low, "a", "b")
+        edges = written(small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(small.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), "links")
+        after = _trace(edges)
+        if after == before:
             return edges.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
+        before = after
 
 
-def near_groups(prints: DataFrame) -> DataFrame:
-    """fp, root and component_id for each distinct fingerprint of prints (doc_id, fp); component_id is the smallest doc_id."""
-    own = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "fingerprints")
+def near_groups(prints: DataFrame, first: Column) -> DataFrame:
+    """fp, root and best for each distinct fingerprint of prints; best is the least of first in the whole component."""
+    own = written(prints.groupBy("fp").agg(F.min(first).alias("own")), "fingerprints")
     roots = components(links(own.select("fp")))
-    placed = own.join(roots, own.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least_id")
-    groups = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    return placed.select("fp", "root").join(groups, "root")
+    placed = own.join(roots, own.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "own")
+    return salted_join(placed.select("fp", "root"), placed.groupBy("root").agg(F.min("own").alias("best")), "root", "fp")
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
-    """One row for each document: doc_id, fingerprint (16 hex digits), component_id, and with carry the input row.
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for each document: doc_id, fingerprint (16 hex digits) and component_id.
 
     Documents whose fingerprints differ in at most four bits are linked; component_id is the smallest id that links reach
     (null only where all ids of the component are null). Null, empty and blank texts have fingerprint zero and are linked
-    like others. Rows repeated in full get the same result. No rows give no rows; further columns are ignored unless carried.
+    like others. Rows repeated in full get the same result. No rows give no rows; further columns are ignored.
     """
-    narrow = fingerprints(docs, id_col, text_col, carry)
-    prints = narrow if carry else written(narrow, "prints")
-    groups = near_groups(prints.select("doc_id", "fp"))
-    found = prints.join(groups, "fp", "left")
-    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", *(["row"] if carry else []))
+    prints = written(fingerprints(docs, id_col, text_col), "prints")
+    found = prints.join(near_groups(prints, F.col("doc_id")), "fp", "left")
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("best").alias("component_id"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The document with the smallest id of each component, with its own columns."""
-    return near_dedup(docs, id_col, text_col, carry=True).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("row.*")
+    """One document of each component with its own columns: that with the smallest id, null last; of rows that repeat this id
+    the one with the least hash of the text, and of equal ones any. Null, empty and blank texts are linked like others, no
+    rows give no rows, and further columns are carried along."""
+    whole = kept_apart(docs, "near", doc_id=docs[id_col], fp=_fingerprint(text_of(docs, text_col)), proof=F.xxhash64(text_of(docs, text_col)))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "proof", "__id")
+    kept = near_groups(whole.drop("__row"), first).where("fp = root").select("best.__id")
+    return whole.join(kept, "__id", "left_semi").select("__row.*")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
