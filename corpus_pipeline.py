@@ -2,6 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes each result as Parquet to the shared scratch
 folder and reads it back as the next stage's documents. All stages but the last return the columns of documents.
+
+Null texts count as empty in all stages; rows without an id and rows that repeat in full are documents like others; an empty
+table gives an empty one; further columns, whatever their names, are carried to the last stage, which returns ids alone.
 """
 
 from __future__ import annotations
@@ -13,27 +16,28 @@ from tidewright.llm.common import table, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject; without labels all of them."""
     return quality.keep_quality(docs, table(spark, sf_dir, "labels"))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One document of each group of equal texts; all null, empty and blank texts are one group."""
     return exact_dedup.drop_copies(docs)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies, that with the smallest id; ties are settled by the text."""
     return simhash.drop_near_copies(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: a row for each whole pass over a document and one for the part of a pass."""
+    """The mix: a row for each whole pass over a document and one for the part of a pass. Documents without words
+    have none."""
     return mixing.mix(docs)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each row of the mix, with their hashes."""
+    """Token ids of each row of the mix, with their hashes; an empty text has no ids."""
     return bpe.coded(docs, *bpe.public_vocabulary(), with_ids=True)
 
 
