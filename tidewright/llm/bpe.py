@@ -18,6 +18,7 @@ import hashlib
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import duckdb
 import numpy as np
@@ -144,14 +145,14 @@ class Words:
         if len(self.number) > REMEMBER:
             self.clear()
         number = self.number
-        new = list({w for words in lists for w in words if w not in number})
+        new = [w for w in dict.fromkeys(chain.from_iterable(lists)) if w not in number]
         for w in new:
             number[w] = len(number)
         ids, count = encode_words([w.encode("utf-8", "surrogatepass") for w in new], self.path)
         self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(count) - count])
         self.ids, self.count = np.concatenate([self.ids, ids]), np.concatenate([self.count, count])
         sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        words = np.fromiter((number[w] for words in lists for w in words), np.int64, sizes.sum())
+        words = np.fromiter(map(number.__getitem__, chain.from_iterable(lists)), np.int64, sizes.sum())
         count = self.count[words]
         ends = np.cumsum(count)
         at = np.repeat(self.begin[words] - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)
