@@ -17,8 +17,21 @@ def basin_pairs(targets: DataFrame, links: DataFrame) -> DataFrame:
     return targets.where("basin_id > 0 AND basin_id < 1000").join(links, "basin_id").withColumnRenamed("valid_basin", "basin")
 
 
+def gaussian_means(near: DataFrame, key: str, sigma: float) -> DataFrame:
+    """key, value, counts and deviation of neighbours (key, distance, v): the weighted mean, their number and the weighted
+    standard deviation of the sample, NULL for one neighbour."""
+    w = F.exp(-(F.col("distance") / sigma) * (F.col("distance") / sigma))
+    rows = near.withColumn("_w", w).withColumn("_v", F.col("v").cast("double"))
+    sums = rows.groupBy(key).agg(F.count(F.lit(1)).cast("int").alias("counts"), F.sum("_w").alias("_n"), F.sum(F.col("_w") * F.col("_w")).alias("_nn"), F.sum(F.col("_w") * F.col("_v")).alias("_s"), F.sum(F.col("_w") * F.col("_v") * F.col("_v")).alias("_ss"))
+    mean = F.col("_s") / F.col("_n")
+    spread = F.greatest(F.lit(0.0), F.col("_ss") - F.col("_n") * mean * mean)
+    deviation = F.when(F.col("counts") > 1, F.sqrt(F.try_divide(F.col("_n"), F.col("_n") * F.col("_n") - F.col("_nn")) * spread))
+    return sums.select(key, mean.alias("value"), "counts", deviation.alias("deviation"))
+
+
 def gaussian_grid(targets: DataFrame, sources: DataFrame, links: DataFrame | None = None, reach: float = REACH_M, sigma: float = SIGMA_M, k: int = NEIGHBOURS) -> DataFrame:
-    """cell, value and counts: the mean of the k nearest sources within reach, weighted by exp(-(distance / sigma)**2).
+    """cell, value, counts and deviation: the mean of the k nearest sources within reach, weighted by
+    exp(-(distance / sigma)**2), their number and weighted standard deviation.
 
     targets: cell, lat, lon, basin_id; sources: point, lat, lon, v, basin. With links a source counts only for cells whose basin
     is linked with its own. Cells without a source have no value and 0 counts.
@@ -29,8 +42,7 @@ def gaussian_grid(targets: DataFrame, sources: DataFrame, links: DataFrame | Non
         keys = ["basin"]
         near_to = basin_pairs(targets, links.distinct()).select("cell", "lat", "lon", "basin")
     near = nearest_within(near_to, sources.where("v IS NOT NULL"), "cell", "point", reach, k, keys)
-    w = F.exp(-(F.col("distance") / sigma) * (F.col("distance") / sigma))
-    means = near.groupBy("cell").agg((F.sum(w * F.col("v")) / F.sum(w)).alias("value"), F.count(F.lit(1)).cast("int").alias("counts"))
+    means = gaussian_means(near, "cell", sigma)
     return targets.select("cell").join(means, "cell", "left").withColumn("counts", F.coalesce("counts", F.lit(0)))
 
 

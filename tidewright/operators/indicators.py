@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewright.functions.scalars import decimal_year_by_day, timestamp_of_decimal_year
+from tidewright.operators.grid import NEIGHBOURS, valid_grids
 from tidewright.operators.rolling import running_mean
 
-LATITUDE, TREND_EPOCH, BASELINE = 66.0, datetime(1992, 10, 2), (1993.0, 1994.0)
+LATITUDE, TREND_EPOCH, BASELINE, FIRST = 66.0, datetime(1992, 10, 2), (1993.0, 1994.0), date(1993, 1, 1)
 
 
 def in_band(lat: Column, limit: float = LATITUDE) -> Column:
@@ -50,18 +51,27 @@ def shifted_to_baseline(df: DataFrame, keys: list[str], time: str, value: str, s
     return df.withColumn(value, F.col(value) - F.avg(F.when(inside, F.col(value))).over(Window.partitionBy(*keys)))
 
 
-def series(grids: DataFrame, cells: DataFrame, annual: DataFrame, patterns: DataFrame, names: tuple[str, ...] = ("enso", "pdo", "iod"), mask: str = "ocean") -> DataFrame:
-    """The indicator series, a row for each grid date from 1993 on that has enough neighbours (checked by the caller).
+def usable_grids(grids: DataFrame, first: date = FIRST, neighbours: int = NEIGHBOURS) -> DataFrame:
+    """grid_date of the grids from the first day on whose cells in the band of latitude have enough neighbours on average."""
+    band = grids.where(F.col("grid_date") >= F.lit(first)).where(in_band(F.col("latitude")))
+    return valid_grids(band, ["grid_date"], "counts", k=neighbours).select("grid_date")
 
-    grids: grid_date, lat_i, lon_i, latitude, ssha, basin_flag. cells: lat_i, lon_i, area, slope, offset. annual: month, lat_i,
-    lon_i, annual_mm. patterns: pattern, lat_i, lon_i, pattern_mm. Cells meet by index, not by coordinates.
+
+def series(grids: DataFrame, cells: DataFrame, annual: DataFrame, patterns: DataFrame, names: tuple[str, ...] = ("enso", "pdo", "iod"), mask: str = "ocean", neighbours: int = NEIGHBOURS) -> DataFrame:
+    """The indicator series, a row for each grid date from 1993 on that has enough neighbours: time (decimal year), gmsl (cm, less
+    its mean of 1993), smoothed_gmsl and the factor of each pattern.
+
+    grids: grid_date, lat_i, lon_i, latitude, ssha, basin_flag, counts. cells: lat_i, lon_i, area, slope, offset. annual: month,
+    lat_i, lon_i, annual_mm. patterns: pattern, lat_i, lon_i, pattern_mm. Cells meet by index, not by coordinates. Grids
+    without a value have a row without one; none give no rows.
     """
     at = ["lat_i", "lon_i"]
-    rows = grids.withColumn("ssha", ocean_only(F.col("ssha"), F.col("basin_flag"), mask)).join(cells, at)
+    rows = grids.join(usable_grids(grids, neighbours=neighbours), "grid_date", "left_semi")
+    rows = rows.withColumn("ssha", ocean_only(F.col("ssha"), F.col("basin_flag"), mask)).join(cells, at)
     gmsl = area_mean(rows.where(in_band(F.col("latitude"))), ["grid_date"], "ssha", "area")
     level = rows.withColumn("month", F.month("grid_date")).join(annual, [*at, "month"]).withColumn("a", detrended(F.col("grid_date"), F.col("ssha"), F.col("slope"), F.col("offset"), F.col("annual_mm")))
     fits = projected(level.join(patterns, at), ["grid_date", "pattern"], "a", "pattern_mm", "factor")
     wide = fits.groupBy("grid_date").agg(*[F.max(F.when(F.col("pattern") == n, F.col("factor"))).alias(n) for n in names])
-    out = gmsl.join(wide, "grid_date", "left").withColumn("time", decimal_year_by_day(F.col("grid_date"))).withColumn("one", F.lit(1))
+    out = gmsl.join(wide, "grid_date", "left").withColumn("time", decimal_year_by_day(F.col("grid_date"))).withColumn("one", F.lit(1))  # a row a week
     out = shifted_to_baseline(out, ["one"], "time", "gmsl")
     return out.withColumn("smoothed_gmsl", running_mean(F.col("gmsl"), timestamp_of_decimal_year(F.col("time")), ["one"])).select("time", "gmsl", "smoothed_gmsl", *names)

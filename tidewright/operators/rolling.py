@@ -1,20 +1,46 @@
 """Ordered operators: centred rolling medians, interpolation, outliers, gaps, running means.
 
 Every window is partitioned by keys, so a series (a granule set, a day) is the unit that one task needs; none runs over all
-rows. Medians over the rows that pass a mask use the mask as a further partition key, which needs no join back.
+rows. Medians over the rows that pass a mask use the mask as a further partition key, which needs no join back. Rolling
+medians cut a series into chunks that overlap by half a frame, so that one long series still gives many tasks.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewright.nulls import holds
 
 
-def rolling_median(x: Column, keys: list[str | Column], order: list[str], half: int) -> Column:
-    """Median of the row and half rows on each side, fewer at the ends; NULLs do not count."""
-    return F.percentile(x, F.lit(0.5)).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(-half, half))
+#: Rows of a chunk of a series.
+CHUNK = 20_000
+
+
+def rolling_median(df: DataFrame, name: str, value: Column, keys: list[str], order: list[str], half: int) -> DataFrame:
+    """df with name: the median of value over the row and half rows on each side, fewer at the ends; NULLs do not count.
+
+    Rows are numbered within keys and dealt by (keys, chunk); a chunk also gets the half rows before and behind it and slides
+    one ordered frame over its rows, where a window aggregate would sort each frame anew.
+    """
+    numbered = df.withColumn("_v", value.cast("double")).withColumn("_at", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1)
+    chunk = lambda at: F.floor(at / CHUNK).cast("int")
+    near = F.array_distinct(F.array(chunk(F.col("_at")), chunk(F.greatest(F.col("_at") - half, F.lit(0))), chunk(F.col("_at") + half)))
+    dealt = numbered.withColumn("_chunk", F.explode(near)).repartition(*keys, "_chunk")
+    schema = df.withColumn(name, F.lit(None).cast("double")).schema
+
+    def run(table: pa.Table) -> pa.Table:
+        import pandas as pd
+
+        table = table.sort_by("_at")
+        own = table.column("_at").to_numpy() // CHUNK == table.column("_chunk")[0].as_py()
+        x = pd.Series(table.column("_v").to_numpy(zero_copy_only=False).astype(float))
+        median = x.rolling(2 * half + 1, center=True, min_periods=1).median().to_numpy()
+        out = table.select([c for c in schema.names if c != name]).append_column(name, pa.array(median, pa.float64(), from_pandas=True))
+        return out.filter(pa.array(own)).select(schema.names)
+
+    return dealt.groupBy(*keys, "_chunk").applyInArrow(run, schema)
 
 
 def neighbours(value: Column, position: Column, keys: list[str], order: list[str]) -> tuple[Column, Column]:
@@ -61,11 +87,11 @@ def median_outliers(
     df = df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     ok = holds(F.col(mask) & F.col(value).isNotNull())
     df = df.withColumn("_ok", ok)
-    df = df.withColumn("_med", F.when(F.col("_ok"), rolling_median(F.col(value), [*keys, "_ok"], order, half_median)))
+    df = rolling_median(df, "_med", F.col(value), [*keys, "_ok"], order, half_median).withColumn("_med", F.when(F.col("_ok"), F.col("_med")))
     residual = F.col(value) - F.col("_med")
     use = F.col("_ok") if trim is None else holds(F.col("_ok") & (F.abs(residual) < trim))
     df = df.withColumn("_use", use).withColumn("_sq", residual * residual)
-    df = df.withColumn("_std", F.when(F.col("_use"), F.greatest(F.sqrt(rolling_median(F.col("_sq"), [*keys, "_use"], order, half_std)), F.lit(floor))))
+    df = rolling_median(df, "_std", F.col("_sq"), [*keys, "_use"], order, half_std).withColumn("_std", F.when(F.col("_use"), F.greatest(F.sqrt("_std"), F.lit(floor))))
     df = interpolated(interpolated(df, "median", "_med", "_n", keys, order), "spread", "_std", "_n", keys, order)
     flag = ~holds(F.abs(F.col(value) - F.col("median")) <= factor * F.col("spread"))
     return df.withColumn("median_flag", flag).drop("_n", "_ok", "_med", "_use", "_sq", "_std")

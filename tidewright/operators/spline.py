@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewright.operators.crossover import stacked
@@ -54,30 +54,30 @@ def fit(times: np.ndarray, values: np.ndarray, tracks: np.ndarray) -> tuple[np.n
     brk = knots(t, tracks)
     n = len(brk) - 1
     at = np.clip(np.searchsorted(brk, t, side="left") - 1, 0, n - 1)
-    u = t - brk[at]
+    width = np.diff(brk)  # powers are those of the share of an interval, so that short intervals are solved as well as long ones
+    u = (t - brk[at]) / width[at]
     g = np.zeros((len(t), 4 * n))
     for k in range(4):
         g[np.arange(len(t)), 4 * at + k] = u ** (3 - k)
     rows = []
 
     def row(i: int, u: float, order: int) -> np.ndarray:
-        r = np.zeros(4 * n)
+        r, u = np.zeros(4 * n), u / width[i]
         r[4 * i : 4 * i + 4] = ([u**3, u * u, u, 1], [3 * u * u, 2 * u, 1, 0], [6 * u, 2, 0, 0])[order]
-        return r
+        return r / width[i] ** order
 
     for i in range(n):  # each interval meets the next, the last the first
-        width = brk[i + 1] - brk[i]
-        rows += [row(i, width, k) - row((i + 1) % n, 0.0, k) for k in range(3)]
+        rows += [row(i, width[i], k) - row((i + 1) % n, 0.0, k) for k in range(3)]
     for p in gap_points(t):
         if brk[0] <= p <= brk[-1]:
             i = min(n - 1, max(0, int(np.searchsorted(brk, p, side="left")) - 1))
             rows += [row(i, p - brk[i], 0), row(i, p - brk[i], 1)]
     rows += [row(n - 1, brk[-1] - brk[-2], 0), row(n - 1, brk[-1] - brk[-2], 1)]
-    c = np.array(rows)
+    c = np.array([r / np.abs(r).max() for r in rows])
     kkt = np.block([[g.T @ g, c.T], [c, np.zeros((len(c), len(c)))]])
     right = np.concatenate([g.T @ d, np.zeros(len(c))])
     solution = np.linalg.lstsq(kkt, right, rcond=1e-13)[0]
-    return brk, solution[: 4 * n].reshape(n, 4)
+    return brk, solution[: 4 * n].reshape(n, 4) / width[:, None] ** np.arange(3, -1, -1)
 
 
 def _polynomial_rows(times: np.ndarray, values: np.ndarray, brk: np.ndarray, coef: np.ndarray) -> dict:
@@ -140,23 +140,25 @@ def horner(u: Column) -> Column:
     return ((F.col("c3") * u + F.col("c2")) * u + F.col("c1")) * u + F.col("c0")
 
 
-def evaluated(points: DataFrame, polynomial: DataFrame, keys: list[str], hours: str, name: str = "oer", cut_seconds: bool = True) -> DataFrame:
+def evaluated(points: DataFrame, polynomial: DataFrame, keys: list[str], hours: str, name: str = "oer", cut_seconds: bool = True, width: float = 1.0, reach: tuple[float, float] = (-6.0, 30.0)) -> DataFrame:
     """points with the negative of the polynomial at their hours; end intervals reach on for ever. With cut_seconds the hours
-    are cut to whole seconds.
+    are cut to whole seconds. Points of a key without a polynomial have none.
 
-    The breaks of a key are gathered into one sorted array (a few hundred intervals), so each point finds its interval by
-    a search in the joined row instead of a range join.
+    Intervals run from one lo to the next and meet the points in buckets of the given width; beyond reach, where hours of a
+    day do not come, all share the last bucket of either end. So a point meets the few intervals of its bucket.
     """
-    pieces = F.sort_array(F.collect_list(F.struct("lo", "c3", "c2", "c1", "c0")))
-    joined = points.join(polynomial.groupBy(*keys).agg(pieces.alias("_p")), keys, "left")
     h = F.floor(F.round(F.col(hours) * 3600, 6)) / 3600 if cut_seconds else F.col(hours)
-    joined = joined.withColumn("_h", h)
-    below = F.filter("_p", lambda q: q.lo <= F.col("_h"))
-    q = F.when(F.size(below) > 0, F.element_at(below, -1)).otherwise(F.col("_p")[0])
-    joined = joined.withColumn("_q", q)
-    u = F.col("_h") - F.col("_q").lo
-    value = ((F.col("_q").c3 * u + F.col("_q").c2) * u + F.col("_q").c1) * u + F.col("_q").c0
-    return joined.withColumn(name, -value).drop("_p", "_h", "_q")
+    bucket = lambda x: F.floor(F.greatest(F.lit(reach[0]), F.least(F.lit(reach[1]), x)) / width)
+    line = Window.partitionBy(*keys).orderBy("lo")
+    pieces = polynomial.select(*keys, "lo", "c3", "c2", "c1", "c0").withColumn("_to", F.lead("lo").over(line))
+    pieces = pieces.withColumn("_from", F.when(F.lag("lo").over(line).isNotNull(), F.col("lo")))
+    buckets = F.sequence(bucket(F.coalesce("_from", F.lit(reach[0]))), bucket(F.coalesce("_to", F.lit(reach[1]))))
+    pieces = pieces.withColumn("_bucket", F.explode(buckets))
+    at = points.withColumn("_h", h).withColumn("_bucket", bucket(F.col("_h")))
+    inside = (F.col("_from").isNull() | (F.col("_h") >= F.col("_from"))) & (F.col("_to").isNull() | (F.col("_h") < F.col("_to")))
+    on = [at[c] == pieces[c] for c in (*keys, "_bucket")]
+    joined = at.join(pieces, [*on, inside], "left").withColumn(name, -horner(F.col("_h") - F.col("lo")))
+    return joined.select(*[at[c] for c in points.columns], name)
 
 
 def corrected(daily: DataFrame, correction: DataFrame, keys: list[str]) -> DataFrame:

@@ -66,15 +66,11 @@ def processor(source: str) -> Callable[..., DataFrame]:
 
 
 def crossover_table(daily: DataFrame, version: str = "p1") -> DataFrame:
-    """Crossovers of all days of a source's day tables in one job; a pair belongs to the day of its first time."""
-    out = []
-    for source in [r.source for r in daily.select("source").distinct().collect()]:  # a handful of sources
-        rows = daily.where((F.col("source") == source) & F.col("ssha_smoothed").isNotNull())
-        pts = rows.select(track_id(F.col("cycle"), F.col("pass")).alias("track"), (F.unix_micros("time") / 1e6).alias("t"), F.pmod("longitude", F.lit(360.0)).alias("lon"), F.col("latitude").alias("lat"), F.col("ssha_smoothed").alias("v"))
-        out.append(crossover.crossovers(pts).withColumn("source", F.lit(source)))
-    both = out[0]
-    for x in out[1:]:
-        both = both.unionByName(x)
+    """Crossovers of all days and sources of the day tables in one job; a pair belongs to the day of its first time.
+
+    Sources are a key of every join, so their number does not show in the plan, and no rows give no rows."""
+    pts = daily.where("ssha_smoothed IS NOT NULL").select("source", track_id(F.col("cycle"), F.col("pass")).alias("track"), (F.unix_micros("time") / 1e6).alias("t"), F.pmod("longitude", F.lit(360.0)).alias("lon"), F.col("latitude").alias("lat"), F.col("ssha_smoothed").alias("v"))
+    both = crossover.crossovers(pts, keys=("source",))
     times = {c: F.timestamp_micros(F.round(F.col(c) * 1e6).cast("long")) for c in ("time1", "time2")}
     return both.withColumns(times).withColumn("version", F.lit(version)).withColumn("day", F.to_date("time1"))
 
@@ -110,12 +106,12 @@ def weekly_grid(daily: DataFrame, cells: DataFrame, links: DataFrame, mondays: D
     each = rows.withColumn("grid_date", F.explode(F.sequence(F.date_sub("obs_date", 4), F.date_add("obs_date", 5)))).join(mondays.select("grid_date").distinct(), "grid_date", "left_semi")
     usable = grid.enough_points(each, ["grid_date"], "v", least).where("usable").select("grid_date")
     each = each.join(usable, "grid_date", "left_semi")
-    near_to = grid.basin_pairs(cells, links.distinct()).select("cell", "lat", "lon", "basin").withColumn("one", F.lit(1)).join(usable.withColumn("one", F.lit(1)), "one").drop("one")
+    dates = F.array(*[F.lit(r.grid_date) for r in mondays.select("grid_date").distinct().orderBy("grid_date").collect()])  # a row a week
+    full = cells.withColumn("grid_date", F.explode(dates.cast("array<date>")))
+    near_to = grid.basin_pairs(full, links.distinct()).select("cell", "lat", "lon", "basin", "grid_date").join(usable, "grid_date", "left_semi")
     near_to = near_to.withColumn("target", F.struct("grid_date", "cell"))
     near = lookups.nearest_within(near_to.select("target", "lat", "lon", "basin", "grid_date"), each.select("grid_date", "point", "lat", "lon", "v", "basin"), "target", "point", reach, k, ["basin", "grid_date"])
-    w = F.exp(-(F.col("distance") / sigma) * (F.col("distance") / sigma))
-    means = near.groupBy("target").agg((F.sum(w * F.col("v")) / F.sum(w)).alias("ssha"), F.count(F.lit(1)).cast("int").alias("counts")).select("target.*", "ssha", "counts")
-    full = cells.withColumn("one", F.lit(1)).join(mondays.select("grid_date").distinct().withColumn("one", F.lit(1)), "one").drop("one")
+    means = grid.gaussian_means(near, "target", sigma).select("target.*", F.col("value").alias("ssha"), "counts", "deviation")
     out = full.join(means, ["grid_date", "cell"], "left").withColumn("counts", F.coalesce("counts", F.lit(0)))
     return out.withColumnsRenamed({"lat": "latitude", "lon": "longitude", "basin_id": "basin_flag"})
 
