@@ -3,14 +3,55 @@
 import hashlib
 
 import numpy as np
+import pytest
 import tiktoken
 
 import corpus_pipeline
 from tests.llm.test_operators import FOLDER, brute_print
-from tidewright.llm import bpe
+from tidewright.llm import bpe, common
 from tidewright.llm.common import table
 
 
+def test_run_leaves_only_the_stages_tables(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "scratch", lambda spark: str(tmp_path))
+    assert corpus_pipeline.run(spark, FOLDER).count() > 0
+    assert {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()} == {f"pipeline-{name}" for name, _ in corpus_pipeline.STAGES}
+
+
+class Session:
+    """What scratch reads of a session."""
+
+    def __init__(self, master, folder):
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": "app-" + master})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: folder)})
+
+
+def test_a_cluster_needs_a_shared_folder():
+    assert common.scratch(Session("yarn", "s3a://b/c/")) == "s3a://b/c"
+    assert common.scratch(Session("local[2]", None)) == common.scratch(Session("local[2]", None))
+    for master in ("yarn", "spark://h:7077", "local-cluster[3,2,1000]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            common.scratch(Session(master, None))
+
+
+def test_empty_tables_and_clashing_columns(spark, tmp_path):
+    """Nulls, empty and repeated texts, columns with the names used inside, and no rows at all, through all stages."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, fp string, __id string, digest string, size string, part string, k string, row string"
+    rest = (None, None, None, "f", "i", "d", "s", "p", "k", "r")
+    rows = [(None, None, *rest), (None, "", *rest), (1, "a b c d e f", *rest), (1, "a b c d e f", *rest), (2, "ü" * 20_000, *rest), (3, "one two three", "en", "s", 13, *rest[3:])]
+    for name, data in (("some", rows), ("none", [])):
+        folder = tmp_path / name
+        spark.createDataFrame(data, schema).write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([(1, 1, 0), (None, None, None)] if data else [], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        docs = table(spark, str(folder), "documents")
+        for stage, (at, f) in enumerate(corpus_pipeline.STAGES):
+            out = f(spark, docs, str(folder))
+            assert at == "bpe" or out.columns == docs.columns
+            out.write.parquet(f"{folder}/{at}")
+            docs = spark.read.schema(out.schema).parquet(f"{folder}/{at}")
+            assert docs.count() == ([6, 4, 4, 5, 5][stage] if data else 0), at
+
+
 def test_stages(spark):
     docs = table(spark, FOLDER, "documents")
     frames = {"": docs}

@@ -31,7 +31,7 @@ from tidewright.llm.common import table, text_of
 
 #: Texts and characters of a chunk, words that a partition remembers, bytes of a word from which the heap takes over, ids
 #: decoded at once.
-CHUNK_TEXTS, CHUNK_CHARS, REMEMBER, LONG, DECODE = 4_000, 4_000_000, 400_000, 512, 1_000_000
+CHUNK_TEXTS, CHUNK_CHARS, REMEMBER, LONG, DECODE = 1_000, 1_000_000, 200_000, 512, 250_000
 
 ENCODE = """
 WITH RECURSIVE state(word, toks) USING KEY (word) AS (
@@ -58,7 +58,7 @@ def ranks(path: str) -> dict[bytes, int]:
 @lru_cache(maxsize=1)
 def _database(path: str) -> duckdb.DuckDBPyConnection:
     known = ranks(path)
-    con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+    con = duckdb.connect(config={"threads": 1, "memory_limit": "160MB"})
     rows = [(known[t[:k]], known[t[k:]], n) for t, n in known.items() for k in range(1, len(t)) if t[:k] in known and t[k:] in known]
     pairs = pa.table({"l": pa.array([r[0] for r in rows], pa.int32()), "r": pa.array([r[1] for r in rows], pa.int32()), "rank": pa.array([r[2] for r in rows], pa.int32())})
     words = pa.table({"tok": pa.array(list(known.values()), pa.int32()), "hex": [t.hex() for t in known]})

@@ -13,12 +13,20 @@ from pyspark.sql import functions as F
 SPACE = r"\x20\x09-\x0D"
 
 
+#: Scratch tables that this process has written, and the temporary folder of a session without a shared one, by application.
+_TABLES: dict[str, list[str]] = {}
+_FOLDER: dict[str, str] = {}
+
+
 def scratch(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: spark.checkpoint.dir, or a temporary one where that is unset (tests, local runs)."""
+    """The shared folder for intermediate tables: spark.checkpoint.dir, or a temporary one where that is unset and driver and
+    executors are one process; on a cluster a folder of one machine would not do, so there it must be set."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="tidewright-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        app = spark.sparkContext.applicationId
+        base = _FOLDER[app] = _FOLDER.get(app) or tempfile.mkdtemp(prefix="tidewright-")
     return base.rstrip("/")
 
 
@@ -27,9 +35,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _TABLES.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(spark: SparkSession, but: str = "") -> None:
+    """Delete the scratch tables written so far, those named but... aside. For callers who have stored what they got from them."""
+    tables = _TABLES.get(spark.sparkContext.applicationId, [])
+    for path in [p for p in tables if not but or not p.rsplit("/", 1)[-1].startswith(but)]:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        tables.remove(path)
+
+
 def kept_apart(docs: DataFrame, name: str, **values: Column) -> DataFrame:
     """docs written to the scratch folder once as __row (a struct) with values and __id, a number for each row. Reading values
     alone leaves the rows' texts on disk, and __id joins results back to whole rows, however often they repeat."""
