@@ -5,6 +5,8 @@ folder and reads it back as the next stage's documents. All stages but the last
 
 Null texts count as empty in all stages; rows without an id and rows that repeat in full are documents like others; an empty
 table gives an empty one; further columns, whatever their names, are carried to the last stage, which returns ids alone.
+
+A stage gets documents that are stored, so it first deletes what the stages before it left in the scratch folder.
 """
 
 from __future__ import annotations
@@ -12,32 +14,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewright.llm import bpe, exact_dedup, mixing, quality, simhash
-from tidewright.llm.common import table, written
+from tidewright.llm.common import released, table, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject; without labels all of them."""
+    released(spark, but="pipeline-")
     return quality.keep_quality(docs, table(spark, sf_dir, "labels"))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts; all null, empty and blank texts are one group."""
+    released(spark, but="pipeline-")
     return exact_dedup.drop_copies(docs)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that with the smallest id; ties are settled by the text."""
+    released(spark, but="pipeline-")
     return simhash.drop_near_copies(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: a row for each whole pass over a document and one for the part of a pass. Documents without words
     have none."""
+    released(spark, but="pipeline-")
     return mixing.mix(docs)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each row of the mix, with their hashes; an empty text has no ids."""
+    released(spark, but="pipeline-")
     return bpe.coded(docs, *bpe.public_vocabulary(), with_ids=True)
 
 
