@@ -410,6 +410,49 @@ def test_substring_repeats(spark, docs, none):
     assert substring_dedup.repeated(docs).count() == len(rows()) and substring_dedup.repeated(none).count() == 0
 
 
+def brute_repeats(rows_):
+    """(id, shared, removable) of rows (id, text) by comparing the chunks' bytes; documents are ids or, without one, texts."""
+    owners, cut = {}, []
+    proof = {r.t: r.p for r in SparkSession.active().createDataFrame([(t or "",) for _, t in rows_], "t string").select("t", F.xxhash64("t").alias("p")).collect()}
+    order = lambda i, t: (i is not None, proof[t or ""] if i is None else i)
+    for i, t in rows_:
+        data = (t or "").encode()
+        ends = substring_dedup.chunk_ends(data)
+        cut.append(list(zip([0, *ends], ends, strict=False)))
+        for a, b in cut[-1]:
+            owners.setdefault(data[a:b], set()).add(order(i, t))
+    out = []
+    for (i, t), pieces in zip(rows_, cut, strict=True):
+        data, spans, removed, k = (t or "").encode(), [], [], 0
+        while k < len(pieces):
+            run = k
+            while run < len(pieces) and len(owners[data[slice(*pieces[run])]]) > 1:
+                run += 1
+            if run > k and pieces[run - 1][1] - pieces[k][0] >= substring_dedup.SPAN_BYTES:
+                spans.append((pieces[k][0], pieces[run - 1][1]))
+                for a, b in pieces[k:run]:
+                    if min(owners[data[a:b]]) < order(i, t):
+                        if removed and removed[-1][1] == a:
+                            removed[-1] = (removed[-1][0], b)
+                        else:
+                            removed.append((a, b))
+            k = run + 1
+        out.append((str(i), *(",".join(f"{a}:{b}" for a, b in x) for x in (spans, removed))))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_substring_repeats_by_brute_force(spark, docs, kind):
+    rng = random.Random(40)
+    passages = [words(rng, n) for n in (30, 60, 200)]
+    data = [(i, " ".join(rng.choice([words(rng, 20), rng.choice(passages)]) for _ in range(rng.randint(1, 5)))) for i in range(150)]
+    data += [(None, t) for _, t in data[:10]] + [data[3], (500, passages[2] + " " + passages[2])] + [(r.doc_id, r.text) for r in docs.collect()]
+    data = [(i if i is None or kind == "long" else f"doc-{i}", t) for i, t in data]
+    frame = spark.createDataFrame(data, f"doc_id {kind}, text string").repartition(5)
+    assert sorted((str(r.doc_id), r.shared, r.removable) for r in substring_dedup.repeated(frame).collect()) == brute_repeats(data)
+    assert substring_dedup.without_repeats(frame).count() == len(data)
+
+
 def test_substring_recall_of_passages_just_over_fifty_words():
     rng = random.Random(12)
     vocabulary = ["".join(rng.choice("etaoinshrdlcu") for _ in range(rng.choice([2, 3, 4, 5, 6, 7, 8, 9]))) for _ in range(3000)]
@@ -555,6 +598,23 @@ def test_matroska_round_trip(n):
         matroska.parse(data[:-3])
 
 
+def test_packet_table_of_a_media_column(spark):
+    good = [matroska.mux(random.Random(n).randbytes(n)) for n in (64, 5000, 200_000)]
+    rng = random.Random(50)
+    bent = [bytes(b ^ (255 if k == at else 0) for k, b in enumerate(good[1])) for at in (rng.randrange(len(good[1])) for _ in range(60))]
+    data = [(i, m, "clash") for i, m in enumerate([*good, None, b"", b"\x00" * 40, b"not media at all", good[2][:-7], good[1][: len(good[1]) // 2], *bent, good[0]])]
+    got = {r.id: r for r in matroska.packet_table(spark.createDataFrame(data, "doc_id long, media binary, status string")).collect()}
+    assert len(got) == len(data)
+    for i, m, _ in data[:3]:
+        assert got[i].status == "ok" and (got[i].media_bytes, got[i].n_tracks, got[i].n_clusters) == (len(m), 1, got[i].n_cues)
+        parsed = matroska.parse(m)
+        assert [(p.track, p.ns, p.start, p.end, p.key) for p in got[i].packets] == parsed.packets and got[i].duration_ms == parsed.packets[-1][1] / 1e6
+    assert got[3].status == "null" and all(got[i].status.startswith("broken: ") and not got[i].packets for i in range(4, 9))
+    assert {got[i].status.split(":")[0] for i in range(9, 69)} == {"ok", "broken"}
+    assert got[len(data) - 1].packets == got[0].packets
+    assert matroska.packet_table(spark.createDataFrame([], "doc_id long, media binary")).count() == 0
+
+
 def test_matroska_columns(docs, none):
     got = matroska.stored(docs, with_media=True).collect()
     texts = {r[0]: r[1] or "" for r in rows()}

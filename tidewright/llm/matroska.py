@@ -2,6 +2,7 @@
 
 The parser walks variable-length elements (ids, sizes, unknown sizes), reads clusters, simple blocks and block groups with
 all kinds of lacing, and cues, and gives one packet for each frame: track, timestamp and the byte range in the stored file.
+packet_table does so for a column of files of any origin, where a broken file is a row with its fault.
 """
 
 from __future__ import annotations
@@ -231,6 +232,47 @@ def feature(payload: bytes, parsed: Parsed) -> str:
     return f"tracks={len(parsed.tracks)};clusters={len(parsed.clusters)};blocks={parsed.blocks};packets={len(parsed.packets)};cues={hits};last_ms={ms:.0f};mean={x.mean():.4f};rms={np.sqrt((x * x).mean()):.4f};turns={turns}"
 
 
+PACKETS = "array<struct<track:int,ns:bigint,start:bigint,end:bigint,key:boolean>>"
+_PACKETS = pa.list_(pa.struct([("track", pa.int32()), ("ns", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("key", pa.bool_())]))
+
+
+def _packet_rows(parsed: Parsed) -> list[dict]:
+    return [dict(zip(("track", "ns", "start", "end", "key"), p, strict=True)) for p in parsed.packets]
+
+
+def packet_table(files: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
+    """id, media_bytes, status, n_tracks, n_clusters, n_cues, duration_ms and packets of each file of a media column.
+
+    status is 'ok', 'null' for a null file, or 'broken: ' and the fault, with no packets, for bytes that are cut off or no
+    Matroska; so one bad file does not end the job. Packets have track, ns, start, end (byte range in the file) and key, and
+    are in the order of the file; equal files give equal rows. No rows give no rows; further columns are ignored. A file is a
+    value, so it fits a row; a packet is a range, so no bytes are copied.
+    """
+    rows = files.select(files[id_col].alias("id"), files[media_col].cast("binary").alias("__media"))
+    more = {"media_bytes": 0, "status": "", "n_tracks": 0, "n_clusters": 0, "n_cues": 0, "duration_ms": 0.0}
+    schema = rows.drop("__media").withColumns({k: F.lit(v).cast("long") if v == 0 and isinstance(v, int) else F.lit(v) for k, v in more.items()}).withColumn("packets", F.lit(None).cast(PACKETS)).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), _PACKETS]
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 100):
+                part, out = batch.slice(lo, 100), []
+                for value in part.column("__media"):
+                    data, parsed, status = value.as_py(), Parsed(), "null"
+                    if data is not None:
+                        try:
+                            parsed, status = parse(data), "ok"
+                            if not parsed.tracks and not parsed.clusters:
+                                status = "broken: no track and no cluster"
+                        except (ValueError, IndexError, struct.error, RecursionError) as fault:
+                            parsed, status = Parsed(), f"broken: {fault}"
+                    last = max((p[1] for p in parsed.packets), default=0)
+                    out.append((len(data or b""), status, len(parsed.tracks), len(parsed.clusters), len(parsed.cues), last / 1e6, _packet_rows(parsed)))
+                yield pa.RecordBatch.from_arrays([part.column("id"), *(pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True))], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
 def stored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_media: bool = False) -> DataFrame:
     """One row for each document: doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256,
     feature, and with with_media the stored file and its packets.
@@ -244,13 +286,13 @@ def stored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with
     schema = rows.drop("__text").withColumns({k: F.lit(v).cast("long") if v == 0 else F.lit(v) for k, v in more.items()}).schema
     if with_media:
         schema = schema.add("media", "binary")
-        packet = rows.select(F.lit(None).cast("array<struct<track:int,ns:bigint,start:bigint,end:bigint,key:boolean>>").alias("packets")).schema["packets"]
+        packet = rows.select(F.lit(None).cast(PACKETS).alias("packets")).schema["packets"]
         schema = schema.add(packet)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
         if with_media:
-            kinds += [pa.binary(), pa.list_(pa.struct([("track", pa.int32()), ("ns", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("key", pa.bool_())]))]
+            kinds += [pa.binary(), _PACKETS]
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
@@ -261,7 +303,7 @@ def stored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with
                     parsed = parse(media)
                     payload = payload_of(media, parsed)
                     row = (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(media), hashlib.sha256(media).hexdigest(), feature(payload, parsed))
-                    out.append(row + ((media, [dict(zip(("track", "ns", "start", "end", "key"), p, strict=True)) for p in parsed.packets]) if with_media else ()))
+                    out.append(row + ((media, _packet_rows(parsed)) if with_media else ()))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True))], names=schema.names)
 
     return rows.mapInArrow(run, schema)

@@ -25,7 +25,6 @@ from tidewright.llm.common import table, text_of, written
 
 MIN_BYTES, MAX_BYTES, CUT_BITS, SPAN_BYTES, SEED = 8, 512, 4, 120, 5
 GEAR = np.random.default_rng(SEED).integers(0, 1 << 32, 256, dtype=np.uint32)
-NO_ID = -(1 << 63)
 #: More than the size of any chunk.
 PLACE = 1024
 
@@ -123,22 +122,22 @@ def _runs(numbers: list[int]) -> list[list[int]]:
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each document: doc_id, proof, n_chunks, n_bytes, n_spans, shared_bytes, shared and removable.
 
-    shared lists the repeated spans as start:end in bytes of the UTF-8 text, removable the parts of them that a document with
-    a smaller id has too. Null texts count as empty: no chunks, no spans. Rows with one id are one document; so are rows
-    without an id where their texts are equal, and these documents come first, in the order of their proofs. No rows give no
-    rows; further columns are ignored.
+    shared lists the repeated spans as start:end in bytes of the UTF-8 text, removable the parts of them that a document before
+    it has too. Ids may be of any type that has an order. Null texts count as empty: no chunks, no spans. Rows with one id are
+    one document; so are rows without an id where their texts are equal, and these documents come first, in the order of their
+    proofs. What repeats within one document alone is no repeat. No rows give no rows; further columns are ignored.
     """
-    owned = chunks(docs, id_col, text_col).withColumn("owner", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
-    rows = written(owned.withColumn("row", F.monotonically_increasing_id()), "chunks")
+    rows = written(chunks(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "chunks")
     anon = F.when(F.col("doc_id").isNull(), F.col("proof")).alias("anon")  # tells owners without an id apart
-    each = rows.select("row", "owner", anon, F.posexplode(F.arrays_zip("digests", "sizes")).alias("at", "c")).withColumns({"digest": F.col("c.digests"), "bytes": F.col("c.sizes")})
-    held = each.groupBy("digest", "bytes").agg(F.min("owner").alias("first"), F.max("owner").alias("last"), F.min("anon").alias("first_anon"), F.max("anon").alias("last_anon"))
-    shared = held.where("first <> last OR first_anon <> last_anon").select("digest", "bytes", "first", "first_anon")
+    each = rows.select("row", "doc_id", anon, F.posexplode(F.arrays_zip("digests", "sizes")).alias("at", "c")).withColumns({"digest": F.col("c.digests"), "bytes": F.col("c.sizes")})
+    held = each.groupBy("digest", "bytes").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.min("anon").alias("first_anon"), F.max("anon").alias("last_anon"))
+    two = (F.col("first") != F.col("last")) | (F.col("first_anon") != F.col("last_anon")) | (F.col("first").isNotNull() & F.col("first_anon").isNotNull())
+    shared = held.where(two).select("digest", "bytes", "first", "first_anon")
     # The places of all chunks are dealt, so they are packed with the sizes and carry no more than a number for their row; ids are
     # compared where rows meet again.
     place = (F.col("at").cast("long") * PLACE + F.col("bytes")).alias("place")
     hits = each.select(F.col("digest").alias("key"), place, "row").join(shared, (F.col("key") == F.col("digest")) & ((F.col("place") % PLACE).cast("int") == F.col("bytes"))).withColumn("at", F.shiftright("place", PLACE.bit_length() - 1).cast("int")).groupBy("row").agg(F.collect_list(F.struct("at", "first", "first_anon")).alias("hits"))
-    later = lambda h: (F.col("owner") > h["first"]) | ((F.col("owner") == h["first"]) & F.coalesce(F.col("proof") > h["first_anon"], F.lit(False)))
+    later = lambda h: F.when(F.col("doc_id").isNull(), F.col("proof") > h["first_anon"]).otherwise(h["first_anon"].isNotNull() | (F.col("doc_id") > h["first"]))
     both = rows.join(hits, "row", "left").select("doc_id", "proof", "sizes", F.transform("hits", lambda h: h["at"]).alias("shared"), F.transform(F.filter("hits", later), lambda h: h["at"]).alias("later"))
     schema = both.select("doc_id", "proof", *[F.lit(0).cast("long").alias(c) for c in ("n_chunks", "n_bytes", "n_spans", "shared_bytes")], *[F.lit("").alias(c) for c in ("shared", "removable")]).schema
     return both.mapInArrow(_spans, schema)
