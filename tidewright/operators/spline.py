@@ -133,7 +133,8 @@ def fit_days(inputs: DataFrame, days: DataFrame) -> DataFrame:
         out.insert(0, "source", key[0])
         return out
 
-    return inputs.groupBy("source", "date").cogroup(days.select("source", "date").distinct().groupBy("source", "date")).applyInPandas(run, f"source string, date date, {POLYNOMIAL}")
+    each = days.select(F.col("source").alias("source"), F.col("date").alias("date")).distinct()  # columns of their own, as inputs may come from days
+    return inputs.groupBy("source", "date").cogroup(each.groupBy("source", "date")).applyInPandas(run, f"source string, date date, {POLYNOMIAL}")
 
 
 def horner(u: Column) -> Column:

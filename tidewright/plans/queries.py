@@ -6,6 +6,8 @@ and records, customer and supplier for places. Results are rounded on both sides
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -890,3 +892,135 @@ def time_coverage(spark, d):
     return writers.coverage(events(spark, d), ["event_type"], "ts").withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("coverage_start", "coverage_end")})
 
 
+
+
+# --- sources and sinks ------------------------------------------------------------------------------------------------
+
+
+@query("""
+WITH c AS (SELECT o_orderkey, 'X_' || lpad((o_custkey % 50)::VARCHAR, 3, '0') || '_' || lpad((o_orderkey % 254)::VARCHAR, 3, '0') || CASE WHEN o_orderkey % 9 = 0 THEN '' ELSE '_v1' END AS title,
+       CASE o_orderstatus WHEN 'F' THEN 'final' WHEN 'O' THEN 'late' ELSE 'early' END AS collection FROM orders),
+k AS (SELECT *, nullif(regexp_extract(title, '_([0-9]{3}_[0-9]{3})_', 1), '') AS cycle_pass FROM c),
+r AS (SELECT *, row_number() OVER (PARTITION BY cycle_pass ORDER BY CASE collection WHEN 'final' THEN 0 WHEN 'late' THEN 1 ELSE 2 END, o_orderkey) AS n FROM k WHERE cycle_pass IS NOT NULL)
+SELECT cycle_pass, o_orderkey::VARCHAR AS id, 's3://granules/' || o_orderkey AS href, collection FROM r WHERE n = 1""")
+def catalog_best(spark, d):
+    """A catalog of the orders as granules: links by relation, keys in titles, of one cycle and pass the best collection."""
+    c = F.col
+    o = table(spark, d, "orders")
+    title = F.concat(F.lit("X_"), F.lpad((c("o_custkey") % 50).cast("string"), 3, "0"), F.lit("_"), F.lpad((c("o_orderkey") % 254).cast("string"), 3, "0"), F.when(c("o_orderkey") % 9 == 0, "").otherwise("_v1"))
+    link = lambda rel, head: F.struct(F.lit(rel).alias("rel"), F.concat(F.lit(head), c("o_orderkey")).alias("href"))
+    kind = F.when(c("o_orderstatus") == "F", "final").when(c("o_orderstatus") == "O", "late").otherwise("early")
+    none = F.lit(None).cast("timestamp")
+    catalog = o.select(c("o_orderkey").cast("string").alias("id"), title.alias("title"), F.array(link("https", "https://granules/"), link("s3", "s3://granules/")).alias("links"), none.alias("time_start"), none.alias("time_end"), none.alias("updated"), kind.alias("collection"))
+    every = readers.granules_of(catalog, "s3")
+    parts = [readers.of_collection(every, n) for n in ("early", "final", "late")]  # each collection is asked for on its own
+    found = readers.best_granules(setops.stacked_tables(*parts).withColumn("seq", c("id").cast("long")), {"final": 0, "late": 1, "early": 2})
+    return found.select("cycle_pass", "id", "href", "collection")
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, (l_orderkey % 40)::INT AS cycle, ((l_suppkey % 20) * 1000 + l_linenumber)::INT % 254 + 1 AS pass, round(l_discount * 40 / 1000, 9) AS ssha, round(l_tax * 100, 6) AS latitude FROM lineitem""")
+def granule_merged(spark, d):
+    """Granules of the merged kind: millimetres, passes by look-up of orbit and index, cycles from the file."""
+    c = F.col
+    li = table(spark, d, "lineitem")
+    g = li.select("l_orderkey", "l_linenumber", (c("l_orderkey") % 40).cast("int").alias("merged_cycle"), (c("l_tax") * 100).alias("lat"), (c("l_discount") * 40).alias("ssha"), (c("l_suppkey") % 20).cast("int").alias("reference_orbit"), c("l_linenumber").cast("int").alias("index"))
+    ids = g.select("reference_orbit", "index").distinct()
+    lookup = ids.select(S.padded_id(c("reference_orbit"), c("index")).alias("id"), ((c("reference_orbit") * 1000 + c("index")) % 254 + 1).alias("pass"))
+    return readers.merged_granules(g, lookup).select("l_orderkey", "l_linenumber", "cycle", "pass", F.round("ssha", 9).alias("ssha"), r6("latitude").alias("latitude"))
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, (l_orderkey % 40)::INT AS cycle, (l_suppkey % 254 + 1)::INT AS pass, l_tax AS dac, l_quantity AS swh, l_discount AS ssha FROM lineitem""")
+def granule_grouped(spark, d):
+    """Granules of the reduced kind with variables in groups of groups and cycle and pass of the file."""
+    c = F.col
+    ku = F.struct(c("l_quantity").alias("swh"), c("l_discount").alias("ssha"))
+    g = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", (c("l_orderkey") % 40).cast("int").alias("cycle_number"), (c("l_suppkey") % 254 + 1).cast("int").alias("pass_number"), F.struct(c("l_tax").alias("dac"), ku.alias("ku")).alias("data"))
+    return readers.reduced_granules(g).select("l_orderkey", "l_linenumber", "cycle", "pass", "dac", "swh", "ssha")
+
+
+@query("""
+WITH x AS (SELECT event_type AS source, epoch(ts) - 10800 AS time1, epoch(ts) AS time2, (value - 50) / 500 AS d FROM events),
+r AS (SELECT source, floor(time1 / 7200)::BIGINT AS track, time1 AS time, d FROM x UNION ALL SELECT source, floor(time2 / 7200)::BIGINT, time2, -d FROM x),
+e AS (SELECT *, unnest(range(floor((time - 7200) / 86400)::INT, floor((time + 7200) / 86400)::INT + 1)) AS k FROM r),
+y AS (SELECT *, DATE '1970-01-01' + k::INT AS date FROM e)
+SELECT source, strftime(date, '%Y-%m-%d') AS date, track, round((time - k * 86400.0) / 3600, 6) AS hours, round(d, 9) AS d, abs(d) < 0.3 AS near
+FROM y SEMI JOIN (SELECT DISTINCT event_type AS source, ts::DATE AS date FROM events) s ON s.source = y.source AND s.date = y.date""")
+def crossover_day_inputs(spark, d):
+    """Crossovers as signed rows of each day whose span with two hours on either side holds them."""
+    rows, _ = spline_inputs(spark, d)
+    return rows.select("source", F.date_format("date", "yyyy-MM-dd").alias("date"), "track", r6("hours").alias("hours"), F.round("d", 9).alias("d"), "near")
+
+
+@query("""
+SELECT event_id, round(value + oer, 6) AS ssha, round(value / 2 + oer, 6) AS ssha_smoothed, round(oer, 6) AS oer FROM events JOIN (SELECT event_id, (event_id % 7) * 0.01 AS oer FROM events) USING (event_id)""")
+def correction_applied(spark, d):
+    e = events(spark, d).select("event_id", F.col("value").alias("ssha"), (F.col("value") / 2).alias("ssha_smoothed"))
+    oer = events(spark, d).select("event_id", ((F.col("event_id") % 7) * 0.01).alias("oer"))
+    return spline.corrected(e, oer, ["event_id"]).select("event_id", *[r6(n).alias(n) for n in ("ssha", "ssha_smoothed", "oer")])
+
+
+@query("""
+SELECT event_id, strftime(day, '%Y-%m-%d') AS day FROM (SELECT event_id, epoch(ts) AS t, ts::DATE + (event_id % 3 - 1)::INT AS day FROM events)
+WHERE t >= epoch(day::TIMESTAMP) - 7200 AND t < epoch(day::TIMESTAMP) + 86400 + 7200""")
+def margin_days(spark, d):
+    """Rows within two hours of a day that may be theirs, the one before or the one after."""
+    rows = events(spark, d).select("event_id", (F.unix_micros("ts") / 1e6).alias("t"), F.date_add(F.to_date("ts"), (F.col("event_id") % 3 - 1).cast("int")).alias("day"))
+    return spline.near_days(rows, "t", "day").select("event_id", F.date_format("day", "yyyy-MM-dd").alias("day"))
+
+
+@query("""
+SELECT c_custkey, (t // 10000)::INT AS cycle, (t % 10000)::INT AS pass, round(sqrt(dx * dx + dy * dy) * 111.0, 6) AS km FROM (
+  SELECT c_custkey, (c_custkey % 900)::BIGINT * 10000 + c_custkey % 254 + 1 AS t, dy, dlon * cos((lat + lat + dy) / 2 * (pi() / 180)) AS dx
+  FROM (SELECT c_custkey, (c_custkey % 120) - 60.0::DOUBLE AS lat, (c_custkey % 7) * 0.01::DOUBLE AS dy, (c_custkey % 11) * 0.02::DOUBLE AS dlon FROM customer))""")
+def track_distance(spark, d):
+    c = F.col
+    rows = table(spark, d, "customer").select("c_custkey", (c("c_custkey") % 900).alias("cycle"), (c("c_custkey") % 254 + 1).alias("pass"), ((c("c_custkey") % 120) - 60.0).alias("lat"), ((c("c_custkey") % 7) * 0.01).alias("dy"), ((c("c_custkey") % 11) * 0.02).alias("dlon"))
+    cycle, number = S.track_parts(c("track"))
+    km = S.local_km(F.lit(0.0), c("lat"), c("dlon"), c("lat") + c("dy"))
+    return readers.with_track(rows).select("c_custkey", cycle.alias("cycle"), number.alias("pass"), r6(km).alias("km"))
+
+
+@query("""
+SELECT o_orderkey, epoch_us(make_date(floor(t)::INT, 1, 1)::TIMESTAMP) // 1000000 + floor((t - floor(t)) * 31557600)::BIGINT AS second, strftime(strptime(n, '%Y%m%d'), '%Y-%m-%d') AS named, round(since, 3) AS since
+FROM (SELECT o_orderkey, 1992 + (o_orderkey % 7000) / 1000.0::DOUBLE + 0.00001 AS t, strftime(o_orderdate, '%Y%m%d') AS n, (epoch(o_orderdate::TIMESTAMP) - epoch(TIMESTAMP '1990-01-01'))::DOUBLE AS since FROM orders)""")
+def instants(spark, d):
+    """Instants of decimal years, dates in file names, seconds since an epoch."""
+    c = F.col
+    name = F.concat(F.lit("alt_v1_"), F.date_format("o_orderdate", "yyyyMMdd"), F.lit("_12.nc"))
+    t = 1992 + (c("o_orderkey") % 7000) / 1000.0 + 0.00001
+    return table(spark, d, "orders").select("o_orderkey", F.floor(F.unix_micros(S.timestamp_of_decimal_year(t)) / 1e6).alias("second"), F.date_format(S.date_in_name(name), "yyyy-MM-dd").alias("named"), F.round(S.seconds_since(c("o_orderdate")), 3).alias("since"))
+
+
+@query("SELECT event_id, 'merged' AS source, (event_id // 100)::INT AS cycle, round(least(greatest(value, 20), 80), 6) AS clipped FROM events WHERE abs(value - 50) < 40")
+def small_and_clipped(spark, d):
+    rows = events(spark, d).select("event_id", "value", (F.col("value") - 50).alias("ssha"))
+    rows = readers.with_constants(flags.small_anomalies(rows, 40.0), source="merged", cycle=F.floor(F.col("event_id") / 100).cast("int"))
+    return rows.select("event_id", "source", "cycle", r6(S.clipped(F.col("value"), 20.0, 80.0)).alias("clipped"))
+
+
+@query("SELECT c_custkey AS key, c_acctbal AS balance, NULL::VARCHAR AS name FROM customer UNION ALL SELECT s_suppkey, NULL, s_name FROM supplier UNION ALL SELECT s_suppkey, s_acctbal, s_name FROM supplier WHERE s_acctbal > 5000")
+def stacked_by_name(spark, d):
+    c, s = table(spark, d, "customer"), table(spark, d, "supplier")
+    rich = s.where("s_acctbal > 5000").select(F.col("s_name").alias("name"), F.col("s_suppkey").alias("key"), F.col("s_acctbal").alias("balance"))
+    return setops.stacked_tables(c.select(F.col("c_custkey").alias("key"), F.col("c_acctbal").alias("balance")), s.select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name")), rich)
+
+
+@query("SELECT replace('HDR created DATE for ' || r_name || ' DATE', 'DATE', '2024-05-06') AS value FROM region")
+def header_dates(spark, d):
+    template = table(spark, d, "region").select(F.concat(F.lit("HDR created DATE for "), F.col("r_name"), F.lit(" DATE")).alias("value"))
+    return writers.header_lines(template, F.lit("2024-05-06"), "DATE")
+
+
+@query("""
+SELECT event_type AS source, strftime(ts::DATE, '%Y-%m-%d') AS obs_date, event_id, round(value, 6) AS value FROM events WHERE ts::DATE BETWEEN DATE '2024-01-05' AND DATE '2024-01-11'""")
+def written_window(spark, d):
+    """The events written by source and day, some days written again, and a window of days read back by their partitions."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidewright-")
+    path = f"{base.rstrip('/')}/events-{uuid.uuid4().hex}"
+    rows = events(spark, d).select(F.col("event_type").alias("source"), F.to_date("ts").alias("obs_date"), "event_id", "value")
+    writers.write_partitions(rows.withColumn("value", F.col("value") * 0), path, ["source", "obs_date"])
+    writers.write_partitions(rows, path, ["source", "obs_date"])
+    back = readers.window_scan(spark, path, date(2024, 1, 5), date(2024, 1, 11))
+    return back.select("source", F.date_format("obs_date", "yyyy-MM-dd").alias("obs_date"), "event_id", r6("value").alias("value"))
