@@ -338,11 +338,11 @@ def bad_passes_by_day(spark, d):
 
 def _daily(spark, d):
     e = events(spark, d).select("event_id", F.col("event_type").alias("source"), F.to_date("ts").alias("date"), (F.floor(F.col("user_id") / 10) % 15).cast("int").alias("cycle"), (F.col("user_id") % 10).cast("int").alias("pass"), (F.col("event_id") % 11 == 0).cast("int").alias("quality_flag"), F.col("value").alias("ssha_smoothed"))
-    return e, e.where(F.col("event_id") % 29 == 0).select("source", "date", "cycle", "pass")
+    return e, e.where("ssha_smoothed > 170").select("source", "date", "cycle", "pass")
 
 
 DAILY_SQL = """e AS (SELECT event_id, event_type AS source, ts::DATE AS date, (user_id // 10) % 15 AS cycle, user_id % 10 AS pass, CASE WHEN event_id % 11 = 0 THEN 1 ELSE 0 END AS quality_flag, value FROM events),
-l AS (SELECT DISTINCT source, date, cycle, pass FROM e WHERE event_id % 29 = 0)"""
+l AS (SELECT DISTINCT source, date, cycle, pass FROM e WHERE value > 170)"""
 
 
 @query(f"""
@@ -368,29 +368,29 @@ def flagged_pass_list(spark, d):
     return passes.flagged_list(listed.distinct(), ["source", "date"]).select("source", F.date_format("date", "yyyy-MM-dd").alias("date"), "passes")
 
 
-LIST_SQL = """o AS (SELECT o_orderpriority AS source, o_orderdate::DATE AS date, o_custkey % 50 AS cycle, o_orderkey % 250 AS pass, o_orderkey FROM orders)"""
+LIST_SQL = """o AS (SELECT o_orderpriority AS source, o_orderdate::DATE AS date, o_custkey % 50 AS cycle, o_orderkey % 250 AS pass, o_orderstatus AS status, o_totalprice AS price FROM orders)"""
 
 
 def _listed(spark, d):
-    return table(spark, d, "orders").select("o_orderkey", F.col("o_orderpriority").alias("source"), F.to_date("o_orderdate").alias("date"), (F.col("o_custkey") % 50).alias("cycle"), (F.col("o_orderkey") % 250).alias("pass"))
+    return table(spark, d, "orders").select(F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price"), F.col("o_orderpriority").alias("source"), F.to_date("o_orderdate").alias("date"), (F.col("o_custkey") % 50).alias("cycle"), (F.col("o_orderkey") % 250).alias("pass"))
 
 
 @query(f"""
 WITH {LIST_SQL} SELECT DISTINCT source, strftime(date, '%Y-%m-%d') AS date, cycle::INT AS cycle, pass::INT AS pass FROM (
-  SELECT * FROM o WHERE o_orderkey % 3 = 0 AND NOT EXISTS (SELECT 1 FROM o g WHERE g.o_orderkey % 7 = 1 AND g.source = o.source AND g.date = o.date)
-  UNION ALL SELECT * FROM o WHERE o_orderkey % 5 = 2)""")
+  SELECT * FROM o WHERE status = 'F' AND NOT EXISTS (SELECT 1 FROM o g WHERE g.status = 'O' AND g.price > 400000 AND g.source = o.source AND g.date = o.date)
+  UNION ALL SELECT * FROM o WHERE status = 'P')""")
 def bad_pass_list_update(spark, d):
     o = _listed(spark, d)
-    out = passes.updated_list(o.where("o_orderkey % 3 = 0"), o.where("o_orderkey % 7 = 1"), o.where("o_orderkey % 5 = 2"))
+    out = passes.updated_list(o.where("status = 'F'"), o.where("status = 'O' AND price > 400000"), o.where("status = 'P'"))
     return out.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
 
 
 @query(f"""
-WITH {LIST_SQL}, a AS (SELECT source, cycle FROM o WHERE o_orderkey % 2 = 0), b AS (SELECT source, cycle FROM o WHERE o_orderkey % 3 = 0)
+WITH {LIST_SQL}, a AS (SELECT source, cycle FROM o WHERE status <> 'P'), b AS (SELECT source, cycle FROM o WHERE status <> 'F')
 SELECT source, cycle, 'left' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL SELECT source, cycle, 'right' FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)""")
 def relation_diff(spark, d):
     o = _listed(spark, d)
-    return setops.difference(o.where("o_orderkey % 2 = 0").select("source", "cycle"), o.where("o_orderkey % 3 = 0").select("source", "cycle"))
+    return setops.difference(o.where("status <> 'P'").select("source", "cycle"), o.where("status <> 'F'").select("source", "cycle"))
 
 
 TRACKS_SQL = "t AS (SELECT user_id AS track, min(epoch(ts) - 1704067200) AS start FROM events GROUP BY user_id)"
@@ -832,11 +832,11 @@ def fill_and_diffuse(spark, d):
 
 @query("""
 WITH sp AS (SELECT unnest(generate_series(DATE '1998-01-01', DATE '1999-12-31', INTERVAL 1 DAY))::DATE AS day),
-o AS (SELECT o_orderdate::DATE AS day, max(o_custkey) AS t FROM orders WHERE o_orderkey % 2 = 0 GROUP BY ALL), i AS (SELECT l_shipdate::DATE AS day, max(l_partkey) AS t FROM lineitem GROUP BY ALL)
+o AS (SELECT o_orderdate::DATE AS day, max(o_custkey) AS t FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL), i AS (SELECT l_shipdate::DATE AS day, max(l_partkey) AS t FROM lineitem GROUP BY ALL)
 SELECT strftime(sp.day, '%Y-%m-%d') AS date, 'merged' AS source, 'merged' AS satellite, 'b' AS bucket FROM sp LEFT JOIN o ON o.day = sp.day LEFT JOIN i ON i.day = sp.day
 WHERE o.t IS NULL OR coalesce(o.t < i.t, false)""")
 def job_planner(spark, d):
-    outputs = table(spark, d, "orders").where("o_orderkey % 2 = 0").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.max("o_custkey").alias("output_time"))
+    outputs = table(spark, d, "orders").where("o_orderstatus = 'F'").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.max("o_custkey").alias("output_time"))
     inputs = planner.latest(table(spark, d, "lineitem").withColumn("day", F.to_date("l_shipdate")), "day", "l_partkey")
     return planner.jobs(planner.days(spark, date(1998, 1, 1), date(1999, 12, 31)), outputs, inputs, "b").withColumn("date", F.date_format("date", "yyyy-MM-dd"))
 
