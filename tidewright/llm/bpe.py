@@ -1,7 +1,7 @@
 """Byte-level BPE: encoding by recursive DuckDB queries in each partition, decoding by ordered aggregation.
 
-Texts are cut by the tokenizer's pattern. Each partition keeps a table of the words it has seen, up to a bound; the words that
-are new in a chunk of texts go to an in-process DuckDB. There a word that is a token stands for itself, any other for its
+Texts are cut by the tokenizer's pattern. Each worker keeps a table of the words it has seen in its partitions, up to a bound;
+the words that are new in a chunk of texts go to an in-process DuckDB. There a word that is a token stands for itself, any other for its
 bytes, and a recursive query unfolds each word to one row for each token position, joins neighbouring tokens with the merge
 table, contracts in each word the leftmost pair of least rank and goes on until no word has a pair left. The ids of a text
 are those of its words one behind another. For decoding, the ids of the chunk's texts become one row for each position,
@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 
 from tidewright.llm.common import table, text_of
 
-#: Texts and characters of a chunk, words that a partition remembers, bytes of a word from which the heap takes over, ids
+#: Texts and characters of a chunk, words that a worker remembers, bytes of a word from which the heap takes over, ids
 #: decoded at once.
-CHUNK_TEXTS, CHUNK_CHARS, REMEMBER, LONG, DECODE = 1_000, 1_000_000, 200_000, 512, 250_000
+CHUNK_TEXTS, CHUNK_CHARS, REMEMBER, LONG, DECODE = 1_000, 1_000_000, 400_000, 512, 250_000
 
 ENCODE = """
 WITH RECURSIVE state(word, toks) USING KEY (word) AS (
@@ -130,7 +130,7 @@ def decoded(ids: np.ndarray, docs: np.ndarray, path: str) -> Iterator[tuple[int,
 
 
 class Words:
-    """The words that a partition has seen, with their ids."""
+    """The words that a worker has seen, with their ids."""
 
     def __init__(self, path: str):
         self.path = path
@@ -172,7 +172,7 @@ def coded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text
         schema = schema.add("ids", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, seen = regex.compile(pattern), Words(path)
+        cut, seen = regex.compile(pattern), _words_of(path)
         for batch in batches:
             texts = batch.column("__text").to_pylist()
             for lo, hi in _chunks(texts):
@@ -189,6 +189,11 @@ def coded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text
     return rows.mapInArrow(run, schema)
 
 
+@lru_cache(maxsize=1)
+def _words_of(path: str) -> Words:
+    return Words(path)
+
+
 def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
     lo, held = 0, 0
     for k, t in enumerate(texts):
