@@ -2,6 +2,8 @@
 
 import datetime
 import math
+import random
+import statistics
 
 import numpy as np
 import pytest
@@ -279,3 +281,24 @@ def test_wave_reject_corners(spark):
     rows = [(10.0, 13.0, False), (10.0, 14.5, True), (12.0, 10.5, True), (12.0, 9.0, False), (20.0, 5.0, True), (30.0, 0.5, False), (30.0, 1.5, True), (None, 1.0, False)]
     got = spark.createDataFrame(rows, "s double, h double, want boolean").select("want", flags.wave_reject(F.col("s"), F.col("h")).alias("got")).collect()
     assert all(r.got == r.want for r in got)
+
+
+def test_rolling_median_of_chunks_in_any_zone(spark, monkeypatch):
+    """Chunks of a series give what one frame over the whole gives, with nulls, whatever zone the session shows instants in."""
+    monkeypatch.setattr(rolling, "CHUNK", 40)
+    rng = random.Random(4)
+    begin = datetime.datetime(2020, 1, 1)
+    rows = [(k, i, begin + datetime.timedelta(seconds=i), None if rng.random() < 0.2 else rng.random()) for k in (1, 2, None) for i in range(90 if k == 1 else 200 if k else 3)]
+    frame = spark.createDataFrame(rows, "k int, i int, t timestamp, x double")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Etc/UTC")
+    try:
+        got = rolling.rolling_median(frame, "m", F.col("x"), ["k"], ["t"], 7).orderBy("k", "i").collect()
+        instants = {(r.k, r.i): r.t for r in frame.collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert len(got) == len(rows) and all(instants[r.k, r.i] == r.t for r in got)
+    for r in got:
+        known = [x for k, i, _, x in rows if k == r.k and abs(i - r.i) <= 7 and x is not None]
+        assert r.m == (pytest.approx(statistics.median(known)) if known else None)
+    assert rolling.rolling_median(frame.limit(0), "m", F.col("x"), ["k"], ["t"], 7).count() == 0

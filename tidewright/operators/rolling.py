@@ -38,7 +38,9 @@ def rolling_median(df: DataFrame, name: str, value: Column, keys: list[str], ord
         x = pd.Series(table.column("_v").to_numpy(zero_copy_only=False).astype(float))
         median = x.rolling(2 * half + 1, center=True, min_periods=1).median().to_numpy()
         out = table.select([c for c in schema.names if c != name]).append_column(name, pa.array(median, pa.float64(), from_pandas=True))
-        return out.filter(pa.array(own)).select(schema.names)
+        out = out.filter(pa.array(own)).select(schema.names)
+        instant = pa.timestamp("us", "UTC")  # instants come in the session's zone and are wanted in this one
+        return out.cast(pa.schema([f.with_type(instant) if pa.types.is_timestamp(f.type) and f.type.tz else f for f in out.schema]))
 
     return dealt.groupBy(*keys, "_chunk").applyInArrow(run, schema)
 
