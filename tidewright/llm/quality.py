@@ -166,7 +166,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     chosen = labelled(labels, "quality", bucket_of(F.col("doc_id"), 5) != 0).orderBy("order", "doc_id").limit(limit)
     x = training_rows(docs, chosen, id_col, text_col)
     x = x.select("y", "order", F.pmod("order", F.lit(FOLDS)).cast("int").alias("fold"), "__text").mapInArrow(_statistics_of, "y double, order long, fold int, x array<double>")
-    x = x.repartition(TRAIN_PARTS, "order").persist()  # dealt by the hash of the id, so equal texts spread
+    x = x.repartition(TRAIN_PARTS, "order").coalesce(TRAIN_PARTS).persist()  # dealt by the hash of the id, so equal texts spread
     moments = [(r.n, np.frombuffer(r.sums).reshape(2, STATISTICS)) for r in x.mapInArrow(_moments, "n long, sums binary").where("n > 0").collect()]
     n = sum(m for m, _ in moments)
     if not n:
