@@ -36,7 +36,7 @@ from tidewright.llm.quality import isotonic, labelled, training_rows
 MAX_TRAIN, TRAIN_PARTS, CALIBRATE = 6_000, 16, 3
 #: How unlikely a mark must be by chance (odds against, for all words together), and the largest share of its texts that are clean.
 MARK_ODDS, MARK_CLEAN = 20, 0.35
-SLOTS, STEPS, RATE, DECAY = 1 << 16, 30, 0.6, 1e-4
+SLOTS, STEPS, RATE, DECAY = 1 << 16, 12, 1.0, 1e-4
 #: Tokens of one block of the field; texts are never cut, a longer text is a block of its own.
 BLOCK = 200_000
 TOXIC_FROM = 0.7
