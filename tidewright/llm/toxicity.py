@@ -22,6 +22,8 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,8 @@ MARK_ODDS, MARK_CLEAN = 20, 0.35
 SLOTS, STEPS, RATE, DECAY = 1 << 16, 12, 1.0, 1e-4
 #: Tokens of one block of the field; texts are never cut, a longer text is a block of its own.
 BLOCK = 200_000
+#: Words whose scores a worker remembers.
+REMEMBER = 300_000
 TOXIC_FROM = 0.7
 TOKEN = re.compile(r"[^\W_]+")
 #: A field without training: no token is toxic.
@@ -49,10 +53,18 @@ def openings(word: str) -> list[str]:
     return [word[:k] for k in range(4, min(8, len(word)))]
 
 
+_ANY = zlib.crc32(b"any") % SLOTS
+_WORD, _OPENING, _ENDING = (zlib.crc32(k) for k in (b"w", b"p", b"s"))
+
+
 def features(word: str) -> list[int]:
     """Slots of a lower-case word: one that all words share, itself, its openings, its ending."""
-    names = ["any", "w" + word, *("p" + p for p in openings(word)), "s" + word[-3:]]
-    return [zlib.crc32(n.encode("utf-8", "surrogatepass")) % SLOTS for n in names]
+    crc, last = zlib.crc32, SLOTS - 1  # a power of two
+    if word.isascii():
+        e = word.encode()
+        return [_ANY, crc(e, _WORD) & last, *[crc(e[:k], _OPENING) & last for k in range(4, min(8, len(e)))], crc(e[-3:], _ENDING) & last]
+    code = lambda part, kind: crc(part.encode("utf-8", "surrogatepass"), kind) & last
+    return [_ANY, code(word, _WORD), *[code(p, _OPENING) for p in openings(word)], code(word[-3:], _ENDING)]
 
 
 def names(word: str) -> list[int]:
@@ -112,17 +124,20 @@ def marginals(emit: np.ndarray, first: np.ndarray, trans: np.ndarray, start: np.
 class Field:
     """Scores texts; remembers the scores of words, up to a bound."""
 
-    def __init__(self, weights: np.ndarray, trans: np.ndarray, start: np.ndarray, bend: tuple[np.ndarray, np.ndarray]):
+    def __init__(self, weights: np.ndarray, trans: np.ndarray, start: np.ndarray, bend: tuple[np.ndarray, np.ndarray], known: dict[str, float] | None = None):
         self.weights, self.trans, self.start, self.bend = weights, trans, start, bend
-        self.known: dict[str, float] = {}
-
-    def emission(self, word: str) -> float:
-        x = self.known.get(word)
-        if x is None:
-            if len(self.known) > 300_000:
-                self.known.clear()
-            x = self.known[word] = float(self.weights[features(word.lower())].sum())
-        return x
+        self.known = {} if known is None else known
+
+    def learn(self, token_lists: list[list[str]]) -> None:
+        """Scores of the words that are not known yet."""
+        if len(self.known) > REMEMBER:
+            self.known.clear()
+        new = [w for w in dict.fromkeys(chain.from_iterable(token_lists)) if w not in self.known]
+        if new:
+            slots = [features(w.lower()) for w in new]
+            ends = np.cumsum([len(x) for x in slots])
+            sums = np.add.reduceat(self.weights[np.fromiter(chain.from_iterable(slots), np.int64, ends[-1])], np.concatenate([[0], ends[:-1]]))
+            self.known.update(zip(new, sums.tolist(), strict=True))
 
     def tags(self, token_lists: list[list[str]]) -> list[np.ndarray]:
         """P(TOXIC) of each token of each text."""
@@ -130,8 +145,8 @@ class Field:
         n = sum(sizes)
         if not n:
             return [np.zeros(0) for _ in token_lists]
-        get, known = self.emission, self.known
-        emit = np.fromiter((known[w] if w in known else get(w) for t in token_lists for w in t), float, n)
+        self.learn(token_lists)
+        emit = np.fromiter(map(self.known.__getitem__, chain.from_iterable(token_lists)), float, n)
         first = np.zeros(n, bool)
         ends = np.cumsum(sizes)
         first[(ends - sizes)[np.array(sizes) > 0]] = True
@@ -342,6 +357,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     return Field(weights, trans, start, _calibrate(pairs[:, 0], pairs[:, 1], weight * len(pairs) / max(1.0, weight.sum())))
 
 
+@lru_cache(maxsize=1)
+def _known(model: int) -> dict[str, float]:
+    """The scores of words that a worker has met under a model, in all its partitions."""
+    return {}
+
+
 def scored(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted and spans (start, end, marginal of each toxic token) of every document.
 
@@ -351,6 +372,7 @@ def scored(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str
     rows = docs.select(docs[id_col].alias("doc_id"), (bucket_of(docs[id_col], 3) == 1).alias("held_out"), text_of(docs, text_col).alias("__text"))
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())]))
     weights, trans, start, bend = field.weights, field.trans, field.start, field.bend
+    model = zlib.crc32(weights.tobytes())
 
     def results(texts: list[str], own: Field) -> tuple[list, list]:
         scores, spans = [], []
@@ -364,7 +386,7 @@ def scored(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str
         return scores, spans
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Field(weights, trans, start, bend)
+        own = Field(weights, trans, start, bend, _known(model))
         for batch in batches:
             for lo in range(0, batch.num_rows, 1000):
                 part = batch.slice(lo, 1000)
