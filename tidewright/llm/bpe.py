@@ -129,6 +129,18 @@ def decoded(ids: np.ndarray, docs: np.ndarray, path: str) -> Iterator[tuple[int,
             yield doc, bytes.fromhex(hexed)
 
 
+class _Numbers(dict):
+    """Numbers words in the order of their first look-up; new has those since it was last emptied."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        self.new.append(word)
+        return n
+
+
 class Words:
     """The words that a worker has seen, with their ids."""
 
@@ -137,22 +149,23 @@ class Words:
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number = _Numbers()
         self.ids, self.begin, self.count = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def ids_of(self, lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, given as lists of words, one behind another, and how many each text has."""
         if len(self.number) > REMEMBER:
             self.clear()
-        number = self.number
-        new = [w for w in dict.fromkeys(chain.from_iterable(lists)) if w not in number]
-        for w in new:
-            number[w] = len(number)
-        ids, count = encode_words([w.encode("utf-8", "surrogatepass") for w in new], self.path)
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        words = np.fromiter(map(self.number.__getitem__, chain.from_iterable(lists)), np.int64, sizes.sum())
+        try:
+            ids, count = encode_words([w.encode("utf-8", "surrogatepass") for w in self.number.new], self.path)
+        except BaseException:
+            self.clear()  # no number may stay without its ids
+            raise
+        self.number.new.clear()
         self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(count) - count])
         self.ids, self.count = np.concatenate([self.ids, ids]), np.concatenate([self.count, count])
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        words = np.fromiter(map(number.__getitem__, chain.from_iterable(lists)), np.int64, sizes.sum())
         count = self.count[words]
         ends = np.cumsum(count)
         at = np.repeat(self.begin[words] - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)
