@@ -52,9 +52,13 @@ def sharded(records: DataFrame, shards: int, *, key: Column) -> DataFrame:
     that neither a frequent or null id nor a record that many rows repeat fills a shard. The order of a shard is that of
     id (null first), key and copy."""
     equal = records.groupBy("page_id", *[c for c in records.columns if c != "page_id"]).agg(F.count(F.lit(1)).alias("rows"))
-    each = equal.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1))).drop("rows")
-    name = F.concat_ws(":", F.coalesce(F.col("page_id").cast("string"), F.lit("none")), key, F.floor(F.col("copy") / COPIES).cast("string"))
-    return each.withColumn("shard", F.pmod(F.conv(F.left(F.sha2(name, 256), F.lit(13)), 16, 10).cast("long"), F.lit(shards)).cast("long"))
+    blocks = equal.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("rows") - 1) / COPIES))))
+    name = F.concat_ws(":", F.coalesce(F.col("page_id").cast("string"), F.lit("none")), key, F.col("block").cast("string"))
+    placed = blocks.withColumn("shard", F.pmod(F.conv(F.left(F.sha2(name, 256), F.lit(13)), 16, 10).cast("long"), F.lit(shards)).cast("long"))
+    # Blocks go to their shards' tasks before they become rows again, so a record that many rows repeat is unfolded by many.
+    first = F.col("block") * COPIES
+    copies = F.explode(F.sequence(first, F.least(first + COPIES, F.col("rows")) - 1))
+    return placed.repartition("shard").withColumn("copy", copies).drop("rows", "block")
 
 
 def manifest(rows: DataFrame, order: list[str]) -> DataFrame:
