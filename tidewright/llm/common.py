@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,8 +16,9 @@ from pyspark.sql import functions as F
 SPACE = r"\x20\x09-\x0D"
 
 
-#: Scratch tables that this process has written, and the temporary folder of a session without a shared one, by application.
-_TABLES: dict[str, list[str]] = {}
+#: The list that gathers paths of scratch tables written just now, or None where nobody has asked for them.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scope", default=None)
+#: The temporary folder of a session without a shared one, by application.
 _FOLDER: dict[str, str] = {}
 
 
@@ -35,17 +39,27 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _TABLES.setdefault(spark.sparkContext.applicationId, []).append(path)
+    if (paths := _SCOPE.get()) is not None:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def released(spark: SparkSession, but: str = "") -> None:
-    """Delete the scratch tables written so far, those named but... aside. For callers who have stored what they got from them."""
-    tables = _TABLES.get(spark.sparkContext.applicationId, [])
-    for path in [p for p in tables if not but or not p.rsplit("/", 1)[-1].startswith(but)]:
+@contextmanager
+def scope(paths: list[str]) -> Iterator[None]:
+    """Scratch tables written meanwhile are listed in paths, so that their owner, and nobody else, can release them."""
+    token = _SCOPE.set(paths)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+
+
+def released(spark: SparkSession, paths: list[str]) -> None:
+    """Delete these scratch tables and empty the list. For owners who have stored what they got from them."""
+    for path in paths:
         at = spark._jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-        tables.remove(path)
+    paths.clear()
 
 
 def kept_apart(docs: DataFrame, name: str, **values: Column) -> DataFrame:
