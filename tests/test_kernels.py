@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewright import synth
 from tidewright.nulls import clean, holds
-from tidewright.operators import crossover, flags, grid, indicators, lookups, passes, planner, rolling, setops, smoothing, spline
+from tidewright.operators import crossover, flags, grid, indicators, lookups, passes, planner, polygons, rolling, setops, smoothing, spline
 
 
 def smooth_window(window, half=9):
@@ -172,19 +172,35 @@ def test_lookup_without_entry_is_an_error(spark):
 
 def test_polygons_against_a_loop(spark):
     rng = np.random.default_rng(2)
-    pts = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform([-60, -40], [80, 40], (800, 2)))]
-    shapes = {r.feature_id: [(q.x, q.y) for q in r.ring] for r in synth.polygons(spark).collect()}
-
-    def inside(ring, x, y):
+    corners = [p for _, _, r in synth.RINGS for p in r[:12]]  # on corners and on sides too
+    sides = [((a[0] + b[0]) / 2, (a[1] + b[1]) / 2) for _, _, r in synth.RINGS for a, b in zip(r[:6], r[1:7], strict=False)]
+    spots = [(float(x), float(y)) for x, y in rng.uniform([-150, -70], [150, 85], (3000, 2))] + corners + sides
+    pts = [(i, x, y) for i, (x, y) in enumerate(spots)]
+    shapes: dict[int, list] = {}
+    for k, _, r in synth.RINGS:
+        shapes.setdefault(k, []).append(r)
+
+    def inside(rings, x, y):
         hit = False
-        for (x1, y1), (x2, y2) in zip(ring, [*ring[1:], ring[0]], strict=True):
+        for (x1, y1), (x2, y2) in (e for ring in rings for e in zip(ring, [*ring[1:], ring[0]], strict=True)):
             if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
                 hit = not hit
         return hit
 
     want = {i: min([k for k, r in shapes.items() if inside(r, x, y)], default=0) for i, x, y in pts}
-    got = lookups.point_in_polygon(spark.createDataFrame(pts, "i int, x double, y double"), synth.polygons(spark), "x", "y", "i")
-    assert {r.i: r.basin_flag for r in got.collect()} == want
+    odd = [(-1, None, 1.0), (-2, float("nan"), 1.0)]
+    got = polygons.point_in_polygon(spark.createDataFrame(pts + odd, "i int, x double, y double"), synth.polygons(spark), "x", "y", "i")
+    assert {r.i: r.basin_flag for r in got.collect()} == want | {-1: 0, -2: 0}
+    leaves = polygons.cover(synth.polygons(spark)).select("feature_id", "fine", F.size("edges").alias("n")).collect()
+    assert any(r.n == 0 for r in leaves) and sum(r.n for r in leaves) / len(leaves) < 20  # of 260 edges of the star
+
+
+def test_shapes_of_one_feature_may_overlap(spark):
+    square = [{"x": x, "y": y} for x, y in ((0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0))]
+    rings = spark.createDataFrame([(s, 1, square) for s in (1, 2)], "shape int, feature_id int, ring array<struct<x:double,y:double>>")
+    pts = spark.createDataFrame([(1, 5.0, 5.0)], "i int, x double, y double")
+    assert polygons.point_in_polygon(pts, rings, "x", "y", "i").first().basin_flag == 1
+    assert polygons.point_in_polygon(pts, rings.limit(0), "x", "y", "i").first().basin_flag == 0
 
 
 def test_constant_field_grids_to_itself(spark):

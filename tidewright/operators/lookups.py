@@ -73,26 +73,6 @@ def edges(ring: Column) -> Column:
     return F.zip_with(F.slice(closed, 1, F.size(ring)), F.slice(closed, 2, F.size(ring)), lambda a, b: F.struct(a.x.alias("x1"), a.y.alias("y1"), b.x.alias("x2"), b.y.alias("y2")))
 
 
-def inside(edge_array: Column, x: Column, y: Column) -> Column:
-    """Ray casting: an odd number of edges to the right of the point."""
-    crossed = F.filter(edge_array, lambda e: ((e.y1 > y) != (e.y2 > y)) & (x < (e.x2 - e.x1) * F.try_divide(y - e.y1, e.y2 - e.y1) + e.x1))
-    return F.size(crossed) % 2 == 1
-
-
-def point_in_polygon(points: DataFrame, polygons: DataFrame, x: str, y: str, key: str, cell: float = 5.0, name: str = "basin_flag") -> DataFrame:
-    """points with the lowest feature_id of the polygons around them, 0 without one. key is unique among points.
-
-    Points and polygon boxes meet in cells of a grid, and only there are edges tested.
-    """
-    box = [f(F.col("ring")[c]).alias(f"_{c}{n}") for c in "xy" for f, n in ((F.array_min, 0), (F.array_max, 1))]
-    shapes = polygons.select("feature_id", edges(F.col("ring")).alias("_edges"), *box)
-    span = lambda c: F.explode(F.sequence(F.floor(F.col(f"_{c}0") / cell), F.floor(F.col(f"_{c}1") / cell)))
-    shapes = shapes.withColumn("_cx", span("x")).withColumn("_cy", span("y"))
-    p = points.withColumn("_cx", F.floor(F.col(x) / cell)).withColumn("_cy", F.floor(F.col(y) / cell))
-    hits = p.select(key, x, y, "_cx", "_cy").join(shapes, ["_cx", "_cy"]).where(inside(F.col("_edges"), F.col(x), F.col(y))).groupBy(key).agg(F.min("feature_id").alias("_id"))
-    return points.join(hits, key, "left").withColumn(name, F.coalesce("_id", F.lit(0))).drop("_id")
-
-
 def geocentric(lat: Column, lon: Column, radius: float = EARTH_M) -> tuple[Column, Column, Column]:
     la, lo = lat * (math.pi / 180), lon * (math.pi / 180)
     return F.cos(la) * F.cos(lo) * radius, F.cos(la) * F.sin(lo) * radius, F.sin(la) * radius

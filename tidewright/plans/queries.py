@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidewright import synth
 from tidewright.functions import scalars as S
-from tidewright.operators import crossover, flags, grid, indicators, lookups, passes, planner, rolling, setops, smoothing, spline
+from tidewright.operators import crossover, flags, grid, indicators, lookups, passes, planner, polygons, rolling, setops, smoothing, spline
 from tidewright.sources import readers, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -526,9 +526,9 @@ def bilinear_lookup(spark, d):
 
 
 def _ring_sql() -> str:
-    rings = {1: [(-40, -30), (0, -30), (0, 10), (-40, 10)], 2: [(10, -20), (60, -20), (60, 30), (40, 30), (40, 0), (10, 0)], 3: [(-10, 0), (20, 0), (20, 25), (-10, 25)]}
-    rows = [f"({k}, {a[0]}.0, {a[1]}.0, {b[0]}.0, {b[1]}.0)" for k, r in rings.items() for a, b in zip(r, [*r[1:], r[0]], strict=True)]
-    return "edges(id, x1, y1, x2, y2) AS (VALUES " + ", ".join(rows) + ")"
+    sides = [(k, a, b) for k, _, r in synth.RINGS for a, b in zip(r, [*r[1:], r[0]], strict=True)]
+    rows = ", ".join(f"({k}, {a[0]!r}::DOUBLE, {a[1]!r}::DOUBLE, {b[0]!r}::DOUBLE, {b[1]!r}::DOUBLE)" for k, a, b in sides)
+    return f"edges(id, x1, y1, x2, y2) AS (VALUES {rows})"
 
 
 @query(f"""
@@ -537,7 +537,20 @@ h AS (SELECT c_custkey, id FROM p JOIN edges ON (y1 > y) <> (y2 > y) AND x < (x2
 SELECT p.c_custkey, coalesce(min(h.id), 0)::INT AS basin_flag FROM p LEFT JOIN h ON h.c_custkey = p.c_custkey GROUP BY p.c_custkey""")
 def point_in_polygon(spark, d):
     pts = table(spark, d, "customer").select("c_custkey", ((F.col("c_custkey") * F.lit(0.37)) % 110 - 45).alias("x"), ((F.col("c_acctbal") * F.lit(0.013)) % 70 - 35).alias("y"))
-    return lookups.point_in_polygon(pts, synth.polygons(spark), "x", "y", "c_custkey").select("c_custkey", "basin_flag")
+    return polygons.point_in_polygon(pts, synth.polygons(spark), "x", "y", "c_custkey").select("c_custkey", "basin_flag")
+
+
+@query(f"""
+WITH {_ring_sql()}, p AS (SELECT o_orderkey, (o_orderkey * 0.37) % 290 - 145 AS x, (o_custkey * 1.3 + o_orderkey * 0.11) % 144 - 65 AS y FROM orders),
+h AS (SELECT o_orderkey, id FROM p JOIN edges ON (y1 > y) <> (y2 > y) AND x < (x2 - x1) * (y - y1) / nullif(y2 - y1, 0) + x1
+      GROUP BY o_orderkey, id HAVING count(*) % 2 = 1)
+SELECT p.o_orderkey, coalesce(min(h.id), 0)::INT AS basin_flag FROM p LEFT JOIN h ON h.o_orderkey = p.o_orderkey GROUP BY p.o_orderkey""")
+def polygon_holes(spark, d):
+    """Orders as points over features with holes, an island in a hole, two parts and many edges."""
+    x = (F.col("o_orderkey") * F.lit(0.37)) % 290 - 145
+    y = (F.col("o_custkey") * F.lit(1.3) + F.col("o_orderkey") * F.lit(0.11)) % 144 - 65
+    pts = table(spark, d, "orders").select("o_orderkey", x.alias("x"), y.alias("y"))
+    return polygons.point_in_polygon(pts, synth.polygons(spark), "x", "y", "o_orderkey").select("o_orderkey", "basin_flag")
 
 
 @query("""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewright.functions.scalars import bits, decimal_year_by_seconds, track_id, wrapped_longitude
 from tidewright.nulls import clean
 from tidewright.operators import crossover, flags, grid, indicators, lookups, passes, rolling, smoothing, spline
+from tidewright.operators import polygons as polygons_of
 
 
 def _finished(rows: DataFrame, mss: DataFrame, day: Column, source: str, mss_grid: dict) -> DataFrame:
@@ -29,7 +30,7 @@ def _finished(rows: DataFrame, mss: DataFrame, day: Column, source: str, mss_gri
 
 def _with_basins(rows: DataFrame, polygons: DataFrame) -> DataFrame:
     rows = rows.withColumn("_lon180", wrapped_longitude(F.col("longitude")))
-    return lookups.point_in_polygon(rows, polygons, "_lon180", "latitude", "arrival").drop("_lon180")
+    return polygons_of.point_in_polygon(rows, polygons, "_lon180", "latitude", "arrival").drop("_lon180")
 
 
 def merged_daily(granules: DataFrame, noib: DataFrame | None, polygons: DataFrame, mss: DataFrame, mss_grid: dict) -> DataFrame:

@@ -89,9 +89,10 @@ def shapefile(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFr
 
 
 def basins(shapes: DataFrame, feature: str = "feature_id", name: str = "name") -> DataFrame:
-    """feature_id, name and ring of the outer rings, as the polygon look-up wants them."""
+    """shape, feature_id, name and ring of all rings, holes too, as the polygon look-up wants them: a row for each ring, and a
+    shape for each record of a file."""
     value = lambda key: F.try_element_at("attributes", F.lit(key))
-    return shapes.where("NOT hole").select(value(feature).cast("double").cast("int").alias("feature_id"), value(name).alias("name"), "ring")
+    return shapes.select(F.struct("file", "record").alias("shape"), value(feature).cast("double").cast("int").alias("feature_id"), value(name).alias("name"), "ring")
 
 
 def basin_names(polygons: DataFrame) -> DataFrame:

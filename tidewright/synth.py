@@ -29,14 +29,29 @@ def ground_tracks(spark: SparkSession, tracks: int = 24, points: int = 600, step
     return rows.withColumn("v", F.when(_noise(seed + 1, F.col("track"), F.col("t")) > -0.96, F.col("v")))
 
 
+def _star(x: float, y: float, spikes: int, outer: float, inner: float) -> list[tuple[float, float]]:
+    return [(x + r * math.cos(k * math.pi / spikes), y + r * math.sin(k * math.pi / spikes)) for k in range(2 * spikes) for r in ((outer, inner)[k % 2],)]
+
+
+#: A convex, a concave and an overlapping ring; a lake with a hole, an island in the hole and a second part; a star of many edges
+#: with a hole: feature_id, name and ring.
+RINGS: list[tuple[int, str, list[tuple[float, float]]]] = [
+    (1, "Square Sea (west)", [(-40.0, -30.0), (0.0, -30.0), (0.0, 10.0), (-40.0, 10.0)]),
+    (2, "Hook Sea", [(10.0, -20.0), (60.0, -20.0), (60.0, 30.0), (40.0, 30.0), (40.0, 0.0), (10.0, 0.0)]),
+    (3, "Overlap Sea", [(-10.0, 0.0), (20.0, 0.0), (20.0, 25.0), (-10.0, 25.0)]),
+    (4, "Island Lake", [(70.0, -60.0), (120.0, -60.0), (120.0, -10.0), (70.0, -10.0)]),
+    (4, "Island Lake", [(80.0, -50.0), (80.0, -20.0), (110.0, -20.0), (110.0, -50.0)]),
+    (4, "Island Lake", [(90.0, -40.0), (100.0, -40.0), (95.0, -25.0)]),
+    (4, "Island Lake", [(130.0, -50.0), (141.0, -50.0), (141.0, -40.0), (130.0, -40.0)]),
+    (5, "Star Sea", _star(-100.0, 40.0, 90, 38.0, 31.0)),
+    (5, "Star Sea", _star(-100.0, 40.0, 40, 14.0, 9.0)),
+]
+
+
 def polygons(spark: SparkSession) -> DataFrame:
-    """A convex, a concave and an overlapping ring."""
-    rings = [
-        (1, "Square Sea (west)", [(-40.0, -30.0), (0.0, -30.0), (0.0, 10.0), (-40.0, 10.0)]),
-        (2, "Hook Sea", [(10.0, -20.0), (60.0, -20.0), (60.0, 30.0), (40.0, 30.0), (40.0, 0.0), (10.0, 0.0)]),
-        (3, "Overlap Sea", [(-10.0, 0.0), (20.0, 0.0), (20.0, 25.0), (-10.0, 25.0)]),
-    ]
-    return spark.createDataFrame([(i, n, [{"x": x, "y": y} for x, y in r]) for i, n, r in rings], "feature_id int, name string, ring array<struct<x:double,y:double>>")
+    """RINGS, a row for each ring."""
+    rows = [(i, n, [{"x": x, "y": y} for x, y in r]) for i, n, r in RINGS]
+    return spark.createDataFrame(rows, "feature_id int, name string, ring array<struct<x:double,y:double>>")
 
 
 def cells(spark: SparkSession, n_lat: int = 24, n_lon: int = 48) -> DataFrame:
