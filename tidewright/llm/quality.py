@@ -156,9 +156,11 @@ def labelled(labels: DataFrame, label: str, is_train: Column) -> DataFrame:
 
 
 def training_rows(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """chosen, labels of bounded number, each with its __text."""
+    """chosen, labels of bounded number, each with its __text: one row a label, of an id that several rows have the text with
+    the least hash. So there are never more rows than labels, however often an id repeats."""
     rows = docs.select(docs[id_col].alias("doc_id"), text_of(docs, text_col).alias("__text"))
-    return rows.join(F.broadcast(chosen), "doc_id")
+    found = rows.join(F.broadcast(chosen), "doc_id").groupBy(*chosen.columns)
+    return found.agg(F.min_by("__text", F.struct(F.xxhash64("__text"), F.col("__text"))).alias("__text"))
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = MAX_TRAIN) -> QualityModel:
