@@ -28,9 +28,12 @@ EBML, EBML_VERSION, EBML_READ, EBML_ID_LENGTH, EBML_SIZE_LENGTH, DOC_TYPE, DOC_V
 SEGMENT, INFO, SCALE, DURATION, MUXER, WRITER = 0x18538067, 0x1549A966, 0x2AD7B1, 0x4489, 0x4D80, 0x5741
 TRACKS, TRACK, TRACK_NUMBER, TRACK_UID, TRACK_TYPE, CODEC, AUDIO, FREQUENCY, CHANNELS, DEPTH = 0x1654AE6B, 0xAE, 0xD7, 0x73C5, 0x83, 0x86, 0xE1, 0xB5, 0x9F, 0x6264
 CLUSTER, CLUSTER_TIME, SIMPLE_BLOCK, BLOCK_GROUP, BLOCK = 0x1F43B675, 0xE7, 0xA3, 0xA0, 0xA1
+FRAME_DURATION, BLOCK_DURATION, REFERENCE_BLOCK = 0x23E383, 0x9B, 0xFB
 CUES, CUE_POINT, CUE_TIME, CUE_TRACK_POSITIONS, CUE_TRACK, CUE_CLUSTER = 0x1C53BB6B, 0xBB, 0xB3, 0xB7, 0xF7, 0xF1
 NESTED = {EBML, SEGMENT, INFO, TRACKS, TRACK, AUDIO, CLUSTER, BLOCK_GROUP, CUES, CUE_POINT, CUE_TRACK_POSITIONS}
 NO_LACING, XIPH, FIXED, EBML_LACING = 0, 1, 2, 3
+#: What a packet table's columns hold.
+MOST_TRACK, MOST_NS = 2**31 - 1, 2**63 - 1
 
 
 def size_vint(n: int, least: int = 1) -> bytes:
@@ -72,7 +75,7 @@ def block(track: int, offset: int, frames: list[bytes], kind: int) -> bytes:
 
 
 _HEAD = element(EBML, number(EBML_VERSION, 1) + number(EBML_READ, 1) + number(EBML_ID_LENGTH, 4) + number(EBML_SIZE_LENGTH, 8) + element(DOC_TYPE, b"matroska") + number(DOC_VERSION, 4) + number(DOC_READ, 2))
-_TRACKS = element(TRACKS, element(TRACK, number(TRACK_NUMBER, 1) + number(TRACK_UID, 1) + number(TRACK_TYPE, 2) + element(CODEC, b"A_PCM/INT/LIT") + element(AUDIO, element(FREQUENCY, struct.pack(">d", RATE)) + number(CHANNELS, 1) + number(DEPTH, 8))))
+_TRACKS = element(TRACKS, element(TRACK, number(TRACK_NUMBER, 1) + number(TRACK_UID, 1) + number(TRACK_TYPE, 2) + number(FRAME_DURATION, FRAME * 10**9 // RATE) + element(CODEC, b"A_PCM/INT/LIT") + element(AUDIO, element(FREQUENCY, struct.pack(">d", RATE)) + number(CHANNELS, 1) + number(DEPTH, 8))))
 
 
 def mux(payload: bytes) -> bytes:
@@ -97,7 +100,10 @@ def mux(payload: bytes) -> bytes:
 
 @dataclass
 class Parsed:
-    """Packets as (track, timestamp ns, start, end, keyframe), cues as (ns, track, cluster start), cluster starts, tracks."""
+    """Packets as (track, timestamp ns, start, end, keyframe), cues as (ns, track, cluster start), cluster starts, tracks.
+
+    A laced frame's time is its block's and as many frame durations as there are frames before it: the block group's duration
+    shared by its frames or, without one, the track's; where neither is told, its block's time."""
 
     packets: list[tuple[int, int, int, int, bool]] = field(default_factory=list)
     cues: list[tuple[int, int, int]] = field(default_factory=list)
@@ -106,6 +112,20 @@ class Parsed:
     blocks: int = 0
     scale: int = 1_000_000
     laced: set[int] = field(default_factory=set)
+    #: Frames in file order as track, ticks of the block, place in the lace, start, end, keyframe, and ticks of one frame or None.
+    frames: list[tuple[int, int, int, int, int, bool, float | None]] = field(default_factory=list)
+
+    def timed(self) -> Parsed:
+        """Packets and cues in nanoseconds, when scale and tracks are known; numbers that no packet table holds are an error."""
+        own = {t[TRACK_NUMBER]: t[FRAME_DURATION] for t in self.tracks if TRACK_NUMBER in t and FRAME_DURATION in t}
+        for track, ticks, place, a, b, key, each in self.frames:
+            step = own.get(track, 0) if each is None else each * self.scale
+            ns = ticks * self.scale + round(place * step)
+            if not 0 <= track <= MOST_TRACK or not -MOST_NS <= ns <= MOST_NS:
+                raise ValueError(f"track {track} at {ticks} ticks is out of range")
+            self.packets.append((track, ns, a, b, key))
+        self.cues = [(ticks * self.scale, t, c) for ticks, t, c in self.cues]
+        return self
 
 
 def _vint(data: bytes, at: int, keep: bool = False) -> tuple[int, int]:
@@ -124,7 +144,7 @@ def _vint(data: bytes, at: int, keep: bool = False) -> tuple[int, int]:
     return (-1 if n == (1 << 7 * length) - 1 else n), at + length
 
 
-def _read_block(data: bytes, at: int, end: int, cluster_time: int, out: Parsed, keyframe: bool | None) -> None:
+def _read_block(data: bytes, at: int, end: int, cluster_time: int, out: Parsed) -> None:
     track, p = _vint(data, at)
     offset, flags = struct.unpack_from(">hB", data, p)
     p += 3
@@ -160,9 +180,8 @@ def _read_block(data: bytes, at: int, end: int, cluster_time: int, out: Parsed,
     if min(sizes) < 0 or sum(sizes) != end - p:
         raise ValueError(f"frames do not fit the block at byte {at}")
     out.blocks += 1
-    key = flags & 0x80 > 0 if keyframe is None else keyframe
-    for s in sizes:
-        out.packets.append((track, (cluster_time + offset) * out.scale, p, p + s, key))
+    for place, s in enumerate(sizes):
+        out.frames.append((track, cluster_time + offset, place, p, p + s, flags & 0x80 > 0, None))
         p += s
 
 
@@ -189,22 +208,27 @@ def parse(data: bytes) -> Parsed:
                 out.clusters.append(begin)
             if eid in NESTED:
                 own: dict = {}
+                before = len(out.frames)
                 reached = walk(p, stop, own, eid)
                 stop = reached if n < 0 else stop
                 if eid == TRACK:
                     out.tracks.append(own)
+                elif eid == BLOCK_GROUP:  # a group that refers to no other block is a keyframe
+                    group = out.frames[before:]
+                    each = own[BLOCK_DURATION] / len(group) if BLOCK_DURATION in own and group else None
+                    out.frames[before:] = [(*f[:5], REFERENCE_BLOCK not in own, each) for f in group]
                 elif eid == AUDIO:
                     parent.update(own)
                 elif eid == CUE_TRACK_POSITIONS:
                     parent.setdefault("at", []).append((own.get(CUE_TRACK, 0), own.get(CUE_CLUSTER, 0) + state["base"]))
                 elif eid == CUE_POINT:
-                    out.cues += [(own.get(CUE_TIME, 0) * out.scale, t, c) for t, c in own.get("at", [])]
+                    out.cues += [(own.get(CUE_TIME, 0), t, c) for t, c in own.get("at", [])]
             elif eid == SCALE:
                 out.scale = unsigned(p, stop)
             elif eid == CLUSTER_TIME:
                 state["time"] = unsigned(p, stop)
             elif eid in (SIMPLE_BLOCK, BLOCK):
-                _read_block(data, p, stop, state["time"], out, None if eid == SIMPLE_BLOCK else False)
+                _read_block(data, p, stop, state["time"], out)
             elif eid == FREQUENCY:
                 parent[eid] = struct.unpack(">d" if stop - p == 8 else ">f", data[p:stop])[0]
             elif eid == CODEC:
@@ -215,7 +239,7 @@ def parse(data: bytes) -> Parsed:
         return at
 
     walk(0, len(data), {})
-    return out
+    return out.timed()
 
 
 def payload_of(data: bytes, parsed: Parsed, track: int = 1) -> bytes:
@@ -244,7 +268,7 @@ def packet_table(files: DataFrame, id_col: str = "doc_id", media_col: str = "med
     """id, media_bytes, status, n_tracks, n_clusters, n_cues, duration_ms and packets of each file of a media column.
 
     status is 'ok', 'null' for a null file, or 'broken: ' and the fault, with no packets, for bytes that are cut off or no
-    Matroska; so one bad file does not end the job. Packets have track, ns, start, end (byte range in the file) and key, and
+    Matroska, or have numbers beyond a packet's columns; so one bad file does not end the job. Packets have track, ns, start, end (byte range in the file) and key, and
     are in the order of the file; equal files give equal rows. No rows give no rows; further columns are ignored. A file is a
     value, so it fits a row; a packet is a range, so no bytes are copied.
     """
@@ -264,7 +288,7 @@ def packet_table(files: DataFrame, id_col: str = "doc_id", media_col: str = "med
                             parsed, status = parse(data), "ok"
                             if not parsed.tracks and not parsed.clusters:
                                 status = "broken: no track and no cluster"
-                        except (ValueError, IndexError, struct.error, RecursionError) as fault:
+                        except (ValueError, IndexError, OverflowError, struct.error, RecursionError) as fault:
                             parsed, status = Parsed(), f"broken: {fault}"
                     last = max((p[1] for p in parsed.packets), default=0)
                     out.append((len(data or b""), status, len(parsed.tracks), len(parsed.clusters), len(parsed.cues), last / 1e6, _packet_rows(parsed)))
