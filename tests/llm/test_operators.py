@@ -581,18 +581,73 @@ def test_matroska_lacing(kind):
     cluster = matroska.element(matroska.CLUSTER, matroska.number(matroska.CLUSTER_TIME, 7) + matroska.element(matroska.BLOCK_GROUP, matroska.element(matroska.BLOCK, matroska.block(3, -2, frames, kind))))
     data = matroska.element(matroska.SEGMENT, matroska.element(0xEC, b"void") + cluster)
     got = matroska.parse(data)
-    assert [data[a:b] for _, _, a, b, _ in got.packets] == frames and {(p[0], p[1]) for p in got.packets} == {(3, 5_000_000)}
+    assert [data[a:b] for _, _, a, b, _ in got.packets] == frames and {(p[0], p[1], p[4]) for p in got.packets} == {(3, 5_000_000, True)}
     open_ended = b"\x18\x53\x80\x67\xff" + b"\x1f\x43\xb6\x75\xff" + cluster[6:] if kind == matroska.NO_LACING else None
     if open_ended:
         assert [open_ended[a:b] for _, _, a, b, _ in matroska.parse(open_ended).packets] == frames
 
 
+def test_matroska_groups_have_durations_and_references():
+    m = matroska
+    group = lambda *more: m.element(m.BLOCK_GROUP, m.element(m.BLOCK, m.block(3, 0, [b"a", b"bb", b"c"], m.XIPH)) + b"".join(more))
+    track = m.element(m.TRACKS, m.element(m.TRACK, m.number(m.TRACK_NUMBER, 3) + m.number(m.FRAME_DURATION, 40_000_000)))
+    body = m.number(m.CLUSTER_TIME, 100) + group() + group(m.number(m.BLOCK_DURATION, 30)) + group(m.element(m.REFERENCE_BLOCK, b"\xff"))
+    got = m.parse(m.element(m.SEGMENT, m.element(m.CLUSTER, body) + track)).packets  # the track may follow
+    assert [p[1] // 1_000_000 for p in got] == [100, 140, 180, 100, 110, 120, 100, 140, 180]
+    assert [p[4] for p in got] == [True] * 6 + [False] * 3
+
+
+def test_broken_media_never_end_the_job(spark):
+    m, rng = matroska, random.Random(8)
+    good = m.mux(rng.randbytes(9000))
+    late = m.element(m.SEGMENT, m.element(m.CLUSTER, m.number(m.CLUSTER_TIME, 2**60) + m.element(m.SIMPLE_BLOCK, m.block(1, 0, [b"x"], 0))))
+    far = m.element(m.SEGMENT, m.element(m.CLUSTER, m.number(m.CLUSTER_TIME, 1) + m.element(m.SIMPLE_BLOCK, m.block(2**40, 0, [b"x"], 0))))
+    files = [late, far]
+    for _ in range(400):
+        data = bytearray(good)
+        for _ in range(rng.randint(1, 6)):
+            data[rng.randrange(400)] = rng.randrange(256)
+        files.append(bytes(data[: rng.randint(1, len(data))] if rng.random() < 0.3 else data))
+    got = {r.id: r for r in m.packet_table(spark.createDataFrame(list(enumerate(files)), "doc_id long, media binary")).collect()}
+    assert len(got) == len(files) and all("out of range" in got[k].status and not got[k].packets for k in (0, 1))
+
+
+def test_training_rows_are_bounded_by_labels(spark):
+    docs = spark.range(50_000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    chosen = spark.createDataFrame([(1, 1.0, 5), (2, 0.0, 6)], "doc_id long, y double, order long")
+    got = quality.training_rows(docs, chosen, "doc_id", "text").collect()
+    again = quality.training_rows(docs.repartition(7), chosen, "doc_id", "text").collect()
+    assert len(got) == 1 and got == again
+
+
+def test_mixing_spreads_rows_that_repeat(spark):
+    repeated = [(7, "one two three four five", "web")] * 2000
+    others = [(n, " ".join(["w"] * (n % 9)), "web" if n % 3 else "news") for n in range(100, 1100)]
+    docs = spark.createDataFrame(repeated + others, "doc_id long, text string, source string").repartition(8)
+    got = mixing.mixed(docs).toPandas()
+    assert len(got) == 3000 and (got.taken <= 2 * got["size"]).all() and (got.doc_id == 7).sum() == 2000
+    for _, g in got.groupby(["source_size", "target"]):
+        assert abs(g.taken.sum() - g.target.iloc[0]) <= max(64, 0.02 * g.target.iloc[0])
+    narrow = mixing.written(docs.select(*[v.alias(k) for k, v in mixing._values(docs, "doc_id", "text", "source").items()]).withColumn("__id", F.monotonically_increasing_id()), "test")
+    placed = narrow.withColumn("k", F.lit(0)).withColumn("shard", F.pmod(F.shiftright("order", 3), F.lit(12)))
+    entries = placed.groupBy(*mixing.ENTRY).agg(F.count(F.lit(1)).alias("copies"))
+    per = [r["count"] for r in entries.groupBy("shard").count().collect()]  # what a shard's task sorts
+    assert max(per) <= 2 * sum(per) / len(per)
+    rows = mixing._placed(placed, entries.withColumn("_begin", F.lit(0)))
+    numbers = sorted(r._copy for r in rows.where("doc_id = 7").select("_copy").collect())
+    assert numbers == list(range(2000)) and rows.count() == 3000
+    again = mixing.mixed(docs.repartition(3)).toPandas()
+    key = ["doc_id", "size", "taken", "part_from"]
+    assert got[key].sort_values(key).values.tolist() == again[key].sort_values(key).values.tolist()
+
+
 @pytest.mark.parametrize("n", [64, 512, 4096, 4160, 131072, 400_000 // 64 * 64])
 def test_matroska_round_trip(n):
     payload = random.Random(n).randbytes(n)
     data = matroska.mux(payload)
     got = matroska.parse(data)
     assert matroska.payload_of(data, got) == payload
+    assert [t for _, t, *_ in got.packets] == [k * 64_000_000 for k in range(len(got.packets))]  # each frame at its own time
     assert {c for _, _, c in got.cues} == set(got.clusters) and len(got.tracks) == 1 and got.tracks[0][matroska.DEPTH] == 8
     with pytest.raises(ValueError):
         matroska.parse(data[:-3])

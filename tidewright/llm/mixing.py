@@ -19,13 +19,15 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import SPACE, kept_apart, table, text_of, written
+from tidewright.llm.common import SPACE, kept_apart, salted_join, table, text_of, written
 
 WEIGHTS, SHARE, REPEATS, SEED = (3.0, 1.0, 2.0), 1.5, 2, 11
 #: Tokens of a block at most; smaller where the smallest target would not fill SEATS_LEAST blocks.
 BLOCK, SEATS_LEAST = 64, 200
 #: Documents of a shard, about, and the most groups of shards of a source.
 SHARD_DOCS, GROUPS = 256, 1024
+#: What rows that repeat in full, id included, have in common: they are one entry of a shard's line, with a count.
+ENTRY = ["k", "shard", "order", "proof", "size"]
 WORD = rf"[^{SPACE}]++"
 
 
@@ -102,8 +104,27 @@ def _quotas(shards: DataFrame, block: int) -> DataFrame:
     return shards.groupBy("k", "group").applyInPandas(run, "k int, shard long, tokens long, blocks long, passes long, rest long")
 
 
+def _placed(rows: DataFrame, line: DataFrame) -> DataFrame:
+    """rows with their entry's columns and _copy, their number among the rows of the entry.
+
+    Rows of an entry with copies are numbered by the part of the stored table that they lie in and within it, so the copies of
+    a row that is a third of all rows are numbered by many tasks and never gathered; as copies are alike, their order is free.
+    """
+    keep = [c for c in line.columns if c not in ENTRY]
+    once = rows.join(line.where("copies = 1"), ENTRY).withColumn("_copy", F.lit(0).cast("long"))
+    many = line.where("copies > 1")
+    part = F.shiftright("__id", 33)  # of the table's part, by the number's making
+    copies = salted_join(rows.withColumn("_key", F.struct(*ENTRY)), many.select(F.struct(*ENTRY).alias("_key"), *keep), "_key", "__id")
+    copies = copies.withColumn("_part", part)
+    before = copies.groupBy("_key", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = before.withColumn("_before", F.sum("_n").over(Window.partitionBy("_key").orderBy("_part")) - F.col("_n")).drop("_n")
+    number = F.row_number().over(Window.partitionBy("_key", "_part").orderBy("__id")) - 1
+    copies = copies.withColumn("_at", number).join(before, ["_key", "_part"]).withColumn("_copy", (F.col("_before") + F.col("_at")).cast("long"))
+    return once.unionByName(copies.select(*once.columns))
+
+
 def taken_of(narrow: DataFrame) -> DataFrame:
-    """narrow (a written table of doc_id, source, size, order, proof and more) with source_size, target, taken and part_from."""
+    """narrow (a written table of doc_id, source, size, order, proof, __id and more) with source_size, target, taken and part_from."""
     spark = narrow.sparkSession
     sources = narrow.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n")).collect()  # a row for each source
     sources.sort(key=lambda r: (r.source is None, [ord(c) for c in r.source or ""]))
@@ -111,7 +132,8 @@ def taken_of(narrow: DataFrame) -> DataFrame:
     block = max(1, min(BLOCK, int(min([w for w in want if w > 0], default=BLOCK) // SEATS_LEAST)))
     about = spark.createDataFrame([(k, r.source, r.source_size, float(w), -(-r.n // SHARD_DOCS)) for k, (r, w) in enumerate(zip(sources, want, strict=True))], "k int, of string, source_size long, target double, shards long")
     placed = narrow.join(about, F.col("source").eqNullSafe(F.col("of"))).drop("of", "source").withColumn("shard", F.pmod(F.shiftright("order", 3), "shards"))
-    shards = written(placed.groupBy("k", "shard").agg(F.sum("size").alias("tokens")).withColumn("group", (F.col("shard") % GROUPS).cast("int")), "shards")
+    entries = written(placed.groupBy(*ENTRY).agg(F.count(F.lit(1)).alias("copies")), "entries")
+    shards = written(entries.groupBy("k", "shard").agg(F.sum(F.col("size") * F.col("copies")).alias("tokens")).withColumn("group", (F.col("shard") % GROUPS).cast("int")), "shards")
     blocks = F.ceil(F.col("tokens") / block).cast("long")
     groups = shards.groupBy("k", "group").agg(F.sum("tokens").alias("tokens"), F.sum(blocks).alias("blocks")).orderBy("k", "group").collect()  # GROUPS a source at most
     members: dict[int, list] = {}
@@ -125,10 +147,11 @@ def taken_of(narrow: DataFrame) -> DataFrame:
         got = most if want[k] >= REPEATS * sources[k].source_size else apportion([float(m.tokens) for m in own], n, most)
         seats += [(m.k, m.group, g) for m, g in zip(own, got, strict=True)]
     quota = _quotas(shards.join(spark.createDataFrame(seats, "k int, group int, seats long"), ["k", "group"]), block)
-    at = placed.join(written(quota, "quotas"), ["k", "shard"])
-    line = Window.partitionBy("k", "shard").orderBy("order", "doc_id", "proof", "size", *[c for c in narrow.columns if c == "__id"])
-    end = F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, 0))
-    at = at.withColumn("b", end).withColumn("a", F.col("b") - F.col("size"))
+    line = Window.partitionBy("k", "shard").orderBy(*ENTRY[2:])
+    ends = entries.withColumn("_end", F.sum(F.col("size") * F.col("copies")).over(line.rowsBetween(Window.unboundedPreceding, 0)))
+    ends = ends.withColumn("_begin", F.col("_end") - F.col("size") * F.col("copies")).join(written(quota, "quotas"), ["k", "shard"])
+    at = _placed(placed, written(ends, "line"))
+    at = at.withColumn("a", F.col("_begin") + F.col("_copy") * F.col("size")).withColumn("b", F.col("a") + F.col("size"))
     # The part pass takes [lo, lo + n) on the ring of tokens, from the start of a seeded block.
     at = at.withColumn("lo", F.coalesce(F.pmod(F.xxhash64(F.lit(SEED), "k", "shard"), F.when(F.col("blocks") > 0, F.col("blocks"))), F.lit(0)) * block)
     ring_end = F.col("lo") + F.col("rest") * block
@@ -144,11 +167,12 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     """One row for each document: doc_id, size, source_size, target, taken and the first word taken in the part pass (part_from,
     0 without one). taken = passes * size + words of the part pass, which may wrap round the end.
 
-    Null texts have no words; null sources are a source, the last. Documents without words take none. Rows repeated in full
-    stand side by side on the line; together they take what their places give, in a fixed order of equals. No rows give no
+    Null texts have no words; null sources are a source, the last. Documents without words take none. Rows repeated in full, id and text,
+    are one entry of the line, as long as all of them; each takes what its place there gives, and which is which is open. No rows give no
     rows; further columns are ignored. A row for each source is gathered: sources are origins, not addresses.
     """
-    narrow = written(docs.select(*[v.alias(k) for k, v in _values(docs, id_col, text_col, source_col).items()]), "sizes")
+    narrow = docs.select(*[v.alias(k) for k, v in _values(docs, id_col, text_col, source_col).items()])
+    narrow = written(narrow.withColumn("__id", F.monotonically_increasing_id()), "sizes")
     return taken_of(narrow).select("doc_id", "size", "source_size", "target", "taken", "part_from")
 
 
