@@ -4,12 +4,14 @@ import datetime
 import math
 import random
 import statistics
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidewright import synth
+from tidewright.functions import scalars
 from tidewright.nulls import clean, holds
 from tidewright.operators import crossover, flags, grid, indicators, lookups, passes, planner, polygons, rolling, setops, smoothing, spline
 
@@ -318,3 +320,21 @@ def test_rolling_median_of_chunks_in_any_zone(spark, monkeypatch):
         known = [x for k, i, _, x in rows if k == r.k and abs(i - r.i) <= 7 and x is not None]
         assert r.m == (pytest.approx(statistics.median(known)) if known else None)
     assert rolling.rolling_median(frame.limit(0), "m", F.col("x"), ["k"], ["t"], 7).count() == 0
+
+
+@pytest.mark.parametrize("flags,width", [([0, 5, 4], 3), ([1023, 1], 10), ([2**17, 3], 17), ([8, 7], 3), ([1], 0), ([0], 0)])
+def test_bits_by_the_data(spark, flags, width):
+    got = scalars.split_flags(spark.createDataFrame([(f,) for f in flags] + [(None,)], "f int"), "f").collect()
+    assert [r.bits for r in got if r.f is not None] == [[f >> k & 1 == 1 for k in range(width)] for f in flags]
+
+
+def test_differences_of_multisets(spark):
+    rng = random.Random(3)
+    rows = lambda n: [(rng.randint(0, 9) or None, rng.choice("ab")) for _ in range(n)]
+    a, b = rows(300), rows(280)
+    want = {("left", *k): n for k, n in (Counter(a) - Counter(b)).items()} | {("right", *k): n for k, n in (Counter(b) - Counter(a)).items()}
+    left, right = (spark.createDataFrame(x, "k int, v string") for x in (a, b))
+    got = Counter((r.side, r.k, r.v) for r in setops.difference(left, right).collect())
+    assert got == want and not setops.same_rows(left, right)
+    assert setops.same_rows(left, left.repartition(5).select("v", "k")) and setops.difference(left, left.repartition(5)).isEmpty()
+    assert setops.same_rows(left.limit(0), right.limit(0)) and not setops.same_rows(left, left.limit(0))

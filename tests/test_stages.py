@@ -9,6 +9,7 @@ from tidewright import schemas, synth
 from tidewright.operators import passes
 from tidewright.plans import stages
 from tidewright.sources import readers, writers
+from tidewright.operators import crossover
 from tidewright.streaming import incremental
 
 DAY = datetime.date(2020, 3, 1)
@@ -175,12 +176,41 @@ def test_metadata_rows(spark):
     assert [r.key for r in rows] == ["abstract", "Title"]
 
 
-def test_incremental_run(spark, tmp_path):
-    source, out = str(tmp_path / "in"), str(tmp_path / "out")
-    df = spark.createDataFrame([(datetime.date(2020, 1, d % 3 + 1), d) for d in range(9)], "day date, v int")
-    df.write.parquet(source)
-    for _ in range(2):
-        q = incremental.run_incremental(incremental.arrivals(spark, source, df.schema), lambda b: b.groupBy("day").agg(F.sum("v").alias("v")), out, ["day"], str(tmp_path / "cp"))
-        q.awaitTermination()
-    assert spark.read.parquet(out).agg(F.sum("v")).first()[0] == 36
-    assert incremental.affected_outputs(df, "day", 5, 4).count() == 12
+def test_incremental_run_keeps_all_batches_of_a_day(spark, tmp_path):
+    source, out, store = (str(tmp_path / n) for n in ("in", "out", "store"))
+    df = spark.createDataFrame([(datetime.date(2020, 1, d % 3 + 1), d) for d in range(9)] + [(None, 1)], "day date, v int")
+    sums = lambda rows, days: rows.groupBy("day").agg(F.sum("v").alias("v"), F.count(F.lit(1)).alias("n"))
+
+    def run():
+        stream = incremental.arrivals(spark, source, df.schema, files_per_batch=1)
+        incremental.run_incremental(stream, sums, store, out, ["day"], str(tmp_path / "cp"), "day").awaitTermination()
+        return {r.day.day: (r.v, r.n) for r in spark.read.parquet(out).collect()}
+
+    df.coalesce(1).write.mode("append").parquet(source)
+    assert run() == {1: (9, 3), 2: (12, 3), 3: (15, 3)} == run()
+    more = spark.createDataFrame([(datetime.date(2020, 1, 2), 100), (datetime.date(2020, 1, 5), 1)], df.schema)
+    more.coalesce(1).write.mode("append").parquet(source)  # day 2 comes once more
+    assert run() == {1: (9, 3), 2: (112, 4), 3: (15, 3), 5: (1, 1)}
+    for _ in range(2):  # a batch that is repeated changes nothing more
+        incremental.processed_batch(more, 1, sums, store, out, ["day"], "day", "day")
+    assert {r.day.day: r.v for r in spark.read.parquet(out).collect()} == {1: 9, 2: 112, 3: 15, 5: 1}
+    assert incremental.affected_outputs(df.where("day IS NOT NULL"), "day", 5, 4).count() == 12
+
+
+def test_incremental_crossovers_meet_late_days(spark, tmp_path):
+    begin = datetime.date(2020, 3, 1)
+    pts = synth.ground_tracks(spark, tracks=18, points=400).withColumn("day", F.date_add(F.lit(begin), F.floor(F.col("t") / 10000).cast("int")))
+    pts = pts.where("v IS NOT NULL").cache()
+    day_of = lambda x: x.withColumn("first_day", F.date_add(F.lit(begin), F.floor(F.col("time1") / 10000).cast("int")))
+    found = lambda rows, days: day_of(crossover.crossovers(rows.drop("day")))
+    paths = [str(tmp_path / n) for n in ("store", "out")]
+    days = sorted(r.day for r in pts.select("day").distinct().collect())
+    late = days[2]
+    for number, some in enumerate(([x for x in days if x != late], [late])):
+        batch = pts.where(F.col("day").isin(some))
+        incremental.processed_batch(batch, number, found, *paths, ["first_day"], "day", "first_day", after=len(days))
+    columns = ["first_day", *[c for c in found(pts, None).columns if c != "first_day"]]
+    rounded = lambda df: sorted(str([round(v, 6) if isinstance(v, float) else v for v in r]) for r in df.select(*columns).collect())
+    want = rounded(found(pts, None))
+    assert rounded(spark.read.parquet(paths[1])) == want and len(want) > 10
+    pts.unpersist()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EPOCH = "1990-01-01"
@@ -78,9 +78,25 @@ def last_daily_date(today: Column) -> Column:
     return F.date_add(last_full_monday(today), 4)
 
 
-def bits(flag: Column, n: int = 10) -> Column:
+def bits(flag: Column, n: int | Column = 10) -> Column:
     """The lower n bits as an array of booleans."""
-    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.getbit(flag, i) == 1)
+    last = n - 1 if isinstance(n, Column) else F.lit(n - 1)
+    each = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.getbit(flag, i) == 1)
+    return F.slice(each, 1, F.greatest(last + 1, F.lit(0)))
+
+
+def bit_width(df: DataFrame, flag: str) -> Column:
+    """The number of bits that the flags of df need, ceil(log2(max)), as a scalar subquery: one global aggregate of one row,
+    which Spark runs before the pass that uses it. The greatest flag itself has a bit of its own only if it is no power of two.
+    Without flags, or with none over 1, it is 0."""
+    most = F.max(F.col(flag).cast("long"))
+    width = F.when(most > 1, F.length(F.bin(most - 1))).otherwise(0)
+    return df.agg(width.cast("int").alias("width")).scalar()
+
+
+def split_flags(df: DataFrame, flag: str, name: str = "bits") -> DataFrame:
+    """df with the bits of its flags, as many as the greatest flag of all rows asks for."""
+    return df.withColumn("_width", bit_width(df, flag)).withColumn(name, bits(F.col(flag), F.col("_width"))).drop("_width")
 
 
 def any_bit(flag: Column, which: list[int]) -> Column:

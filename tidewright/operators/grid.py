@@ -129,11 +129,15 @@ def fill_gaps_of_one(df: DataFrame, keys: list[str], axis: str, value: str) -> D
 
 
 def season_at(points: DataFrame, months: DataFrame, cells: list[str], at: str, value: str, name: str) -> DataFrame:
-    """points (cells, at) with the seasonal value interpolated between the months around."""
-    both = Window.partitionBy(*cells).orderBy("at")
-    pieces = padded_season(months, cells, value).withColumn("_hi", F.lead("at").over(both)).withColumn("_hv", F.lead(value).over(both)).where("_hi IS NOT NULL").select(*cells, F.col("at").alias("_lo"), F.col(value).alias("_lv"), "_hi", "_hv")
-    joined = points.join(pieces, cells).where((F.col(at) >= F.col("_lo")) & (F.col(at) < F.col("_hi")))
-    return joined.withColumn(name, F.col("_lv") + (F.col("_hv") - F.col("_lv")) * (F.col(at) - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))).drop("_lo", "_lv", "_hi", "_hv")
+    """points (cells, at) with the seasonal value interpolated between the months around.
+
+    A cell's months are one row with an array, so a point meets one row; its place in the array is the number of months that
+    have begun. Points before the last month of the year before or after the first of the next are left out."""
+    joined = points.join(season_rows(months, cells, value), cells).withColumn("_i", F.size(F.filter("_season", lambda m: m["at"] <= F.col(at))))
+    joined = joined.where((F.col("_i") > 0) & (F.col("_i") < F.size("_season")))
+    a, b = F.get("_season", F.col("_i") - 1), F.get("_season", F.col("_i"))
+    line = a["v"] + (b["v"] - a["v"]) * (F.col(at) - a["at"]) / (b["at"] - a["at"])
+    return joined.withColumn(name, line).drop("_season", "_i")
 
 
 def regridded(grid: DataFrame, targets: DataFrame, lat0: float, lon0: float, step: float, n_lon: int) -> DataFrame:
@@ -142,10 +146,10 @@ def regridded(grid: DataFrame, targets: DataFrame, lat0: float, lon0: float, ste
     return bilinear(targets, wide, "lat", "lon", lat0, lon0, step, "value")
 
 
-def padded_season(months: DataFrame, cells: list[str], value: str) -> DataFrame:
-    """months (cells, at as share of a year, value) with the last of the year before and the first of the year after."""
-    first, last = F.min(F.struct("at", value)), F.max(F.struct("at", value))
-    ends = months.groupBy(*cells).agg(first.alias("_f"), last.alias("_l"))
-    ahead = ends.select(*cells, (F.col("_f.at") + 1).alias("at"), F.col(f"_f.{value}").alias(value))
-    behind = ends.select(*cells, (F.col("_l.at") - 1).alias("at"), F.col(f"_l.{value}").alias(value))
-    return months.select(*cells, "at", value).unionByName(ahead).unionByName(behind)
+def season_rows(months: DataFrame, cells: list[str], value: str) -> DataFrame:
+    """A row for each cell with _season: its months (at, a share of a year, and v) in order, with the last of the year before
+    and the first of the year after."""
+    line = F.sort_array(F.collect_list(F.struct(F.col("at"), F.col(value).alias("v"))))
+    moved = lambda m, by: F.array(F.struct((m["at"] + by).alias("at"), m["v"].alias("v")))
+    rows = months.groupBy(*cells).agg(line.alias("_m"))
+    return rows.select(*cells, F.concat(moved(F.element_at("_m", -1), -1), F.col("_m"), moved(F.element_at("_m", 1), 1)).alias("_season"))

@@ -79,6 +79,23 @@ def bitflag_split(spark, d):
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", *[F.col("b")[k].alias(f"b{k}") for k in range(10)])
 
 
+def _width_sql(name: str) -> str:
+    """max(f) -> ceil(log2(max)), without a logarithm."""
+    return f"{name} AS (SELECT coalesce(min(k), 0) AS n FROM (SELECT unnest(range(0, 40)) AS k) WHERE (1::BIGINT << k) >= (SELECT max(f) FROM e))"
+
+
+@query(f"""
+WITH raw AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem),
+e AS (SELECT l_orderkey, l_linenumber, l_partkey * l_linenumber * 13 % 90001 AS f FROM raw), {_width_sql("w")}
+SELECT l_orderkey, l_linenumber, f, array_to_string([CASE WHEN (f >> k) & 1 = 1 THEN '1' ELSE '0' END FOR k IN range(0, (SELECT n FROM w))], '') AS split
+FROM e""")
+def bitflag_by_data(spark, d):
+    """As many bits as the greatest flag of all rows asks for."""
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_partkey") * F.col("l_linenumber") * 13 % 90001).alias("f"))
+    text = F.array_join(F.transform("bits", lambda b: F.when(b, F.lit("1")).otherwise(F.lit("0"))), "")
+    return S.split_flags(rows, "f").select("l_orderkey", "l_linenumber", "f", text.alias("split"))
+
+
 MERGED_SQL = """m AS (
   SELECT l_suppkey, l_orderkey % 3000 AS cycle, l_partkey % 1024 AS flag, l_linenumber % 4 AS surface_type, (l_quantity - 25) / 15 AS ssha,
          l_extendedprice / 105000 * 180 - 90 AS latitude, l_partkey % 1100 AS basin_flag, l_discount > 0.09 AS median_flag FROM lineitem)"""
@@ -393,6 +410,19 @@ def relation_diff(spark, d):
     return setops.difference(o.where("status <> 'P'").select("source", "cycle"), o.where("status <> 'F'").select("source", "cycle"))
 
 
+@query(f"""
+WITH {LIST_SQL}, a AS (SELECT source, cycle, status FROM o WHERE status <> 'P' OR source <> 'x'), b AS (SELECT source, cycle, CASE WHEN cycle % 97 = 0 THEN 'F' ELSE status END AS status FROM o),
+d AS ((SELECT * FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)) UNION ALL (SELECT * FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a))),
+s AS (SELECT DISTINCT cycle FROM (SELECT cycle FROM a UNION ALL SELECT cycle FROM b))
+SELECT s.cycle, NOT EXISTS (SELECT 1 FROM d WHERE d.cycle = s.cycle) AS same FROM s""")
+def relation_same_by(spark, d):
+    """Whether two lists have the same rows of each cycle, by fingerprints."""
+    o = _listed(spark, d)
+    a = o.where("status <> 'P' OR source <> 'x'").select("source", "cycle", "status")
+    b = o.select("source", "cycle", F.when(F.col("cycle") % 97 == 0, F.lit("F")).otherwise(F.col("status")).alias("status"))
+    return setops.same_by(a, b.repartition(3), ["cycle"])
+
+
 TRACKS_SQL = "t AS (SELECT user_id AS track, min(epoch(ts) - 1704067200) AS start FROM events GROUP BY user_id)"
 PAIR_SQL = "(t2.start - t1.start) > 0 AND (t2.start - t1.start) <= 600 AND abs(t1.track - t2.track) > 1 AND t1.track % 2 <> t2.track % 2"
 
