@@ -8,12 +8,13 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidewright import synth
 from tidewright.functions import scalars
 from tidewright.nulls import clean, holds
-from tidewright.operators import crossover, flags, grid, indicators, lookups, passes, planner, polygons, rolling, setops, smoothing, spline
+from tidewright.operators import crossover, flags, grid, indicators, lookups, passes, planner, polygons, rolling, segments, setops, smoothing, spline
 
 
 def smooth_window(window, half=9):
@@ -338,3 +339,23 @@ def test_differences_of_multisets(spark):
     assert got == want and not setops.same_rows(left, right)
     assert setops.same_rows(left, left.repartition(5).select("v", "k")) and setops.difference(left, left.repartition(5)).isEmpty()
     assert setops.same_rows(left.limit(0), right.limit(0)) and not setops.same_rows(left, left.limit(0))
+
+
+@pytest.mark.parametrize("rows", [20, 150, 100_000])
+def test_segments_equal_windows_over_the_whole_series(spark, rows):
+    rng = random.Random(6)
+    data = [(rng.choice([None, 1, 1, 1, 2]), rng.choice([None, float("nan"), *range(400)]), i, rng.choice([None, rng.random()])) for i in range(1500)]
+    data += [(1, 77.0, 2000 + i, 0.5) for i in range(300)]  # one time many rows
+    df = spark.createDataFrame([(k, None if t is None else float(t), i, v) for k, t, i, v in data], "k int, t double, i int, v double")
+    series = segments.cut(df, ["k"], ["t", "i"], rows)
+    per = Counter((r.k, r._seg) for r in series.collect())
+    assert len(per) == 3 if rows > 10_000 else len(per) > 8 and max(n for (k, _), n in per.items()) <= 2 * rows + 320
+    want = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("t", "i")) - 1)
+    number = lambda x: {r.i: r.n for r in x.collect()}
+    assert number(segments.numbered(series, "n", ["k"], ["t", "i"])) == number(want)
+    value = lambda x: {r.i: r.f for r in x.collect()}
+    spread = rolling.interpolated(series, "f", "v", "i", ["k"], ["t", "i"], spread=True)
+    assert spread.columns == [*series.columns, "f"] and value(spread) == value(rolling.interpolated(df, "f", "v", "i", ["k"], ["t", "i"]))
+    median = lambda x, s: value(rolling.rolling_median(x, "f", F.col("v"), ["k"], ["t", "i"], 7, spread=s))
+    assert median(series, True) == median(df, False)
+    assert segments.cut(df.limit(0), ["k"], ["t", "i"]).count() == 0

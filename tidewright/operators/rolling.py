@@ -2,7 +2,9 @@
 
 Every window is partitioned by keys, so a series (a granule set, a day) is the unit that one task needs; none runs over all
 rows. Medians over the rows that pass a mask use the mask as a further partition key, which needs no join back. Rolling
-medians cut a series into chunks that overlap by half a frame, so that one long series still gives many tasks.
+medians cut a series into chunks that overlap by half a frame. With spread, for few and long series, a series is also
+numbered and filled in segments (segments.py), so that one key takes as many tasks as it has segments; without, for many
+short series, their windows need no further pass over the rows.
 """
 
 from __future__ import annotations
@@ -12,23 +14,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewright.nulls import holds
+from tidewright.operators import segments
+from tidewright.session import stored
 
 
 #: Rows of a chunk of a series.
 CHUNK = 20_000
 
 
-def rolling_median(df: DataFrame, name: str, value: Column, keys: list[str], order: list[str], half: int) -> DataFrame:
+def rolling_median(df: DataFrame, name: str, value: Column, keys: list[str], order: list[str], half: int, spread: bool = False) -> DataFrame:
     """df with name: the median of value over the row and half rows on each side, fewer at the ends; NULLs do not count.
 
     Rows are numbered within keys and dealt by (keys, chunk); a chunk also gets the half rows before and behind it and slides
     one ordered frame over its rows, where a window aggregate would sort each frame anew.
     """
-    numbered = df.withColumn("_v", value.cast("double")).withColumn("_at", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1)
+    schema = df.withColumn(name, F.lit(None).cast("double")).schema
+    df = df.withColumn("_v", value.cast("double"))
+    if spread:
+        own = segments.SEG in df.columns
+        numbered = segments.numbered(df if own else segments.cut(df, keys, order), "_at", keys, order)
+        numbered = numbered if own else numbered.drop(segments.SEG)
+    else:
+        numbered = df.withColumn("_at", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1)
     chunk = lambda at: F.floor(at / CHUNK).cast("int")
     near = F.array_distinct(F.array(chunk(F.col("_at")), chunk(F.greatest(F.col("_at") - half, F.lit(0))), chunk(F.col("_at") + half)))
     dealt = numbered.withColumn("_chunk", F.explode(near)).repartition(*keys, "_chunk")
-    schema = df.withColumn(name, F.lit(None).cast("double")).schema
 
     def run(table: pa.Table) -> pa.Table:
         import pandas as pd
@@ -45,21 +55,31 @@ def rolling_median(df: DataFrame, name: str, value: Column, keys: list[str], ord
     return dealt.groupBy(*keys, "_chunk").applyInArrow(run, schema)
 
 
+def _point(value: Column, position: Column) -> Column:
+    return F.when(value.isNotNull(), F.struct(position.cast("double").alias("at"), value.cast("double").alias("v")))
+
+
 def neighbours(value: Column, position: Column, keys: list[str], order: list[str]) -> tuple[Column, Column]:
     """The nearest known (at, v) at or before and at or after a row; order is total within keys.
 
     Both look back, one of them in descending order: a frame that ends at the current row grows with it, while one from the
     current row to the end is computed anew for each row.
     """
-    point = F.when(value.isNotNull(), F.struct(position.cast("double").alias("at"), value.cast("double").alias("v")))
+    point = _point(value, position)
     up, down = (Window.partitionBy(*keys).orderBy(*[f(c) for c in order]).rowsBetween(Window.unboundedPreceding, 0) for f in (F.asc, F.desc))
     return F.last(point, True).over(up), F.last(point, True).over(down)
 
 
-def interpolated(df: DataFrame, name: str, value: str, position: str, keys: list[str], order: list[str], clamp: bool = True) -> DataFrame:
+def interpolated(df: DataFrame, name: str, value: str, position: str, keys: list[str], order: list[str], clamp: bool = True, spread: bool = False) -> DataFrame:
     """df with name: value filled linearly over position; past the ends the nearest value, or NULL without clamp."""
-    before, after = neighbours(F.col(value), F.col(position), keys, order)
-    df = df.withColumn("_before", before).withColumn("_after", after)
+    columns = df.columns
+    if spread:
+        df = df if segments.SEG in columns else segments.cut(df, keys, order)
+        df = segments.known_around(df, _point(F.col(value), F.col(position)), keys, order, "_before", "_after")
+        df = df.select(*columns, "_before", "_after")
+    else:
+        before, after = neighbours(F.col(value), F.col(position), keys, order)
+        df = df.withColumn("_before", before).withColumn("_after", after)
     a, b = F.col("_before"), F.col("_after")
     inside = F.when(b.at == a.at, a.v).otherwise(a.v + (b.v - a.v) * F.try_divide(F.col(position) - a.at, b.at - a.at))
     filled = F.when(a.isNotNull() & b.isNotNull(), inside)
@@ -79,24 +99,31 @@ def median_outliers(
     half_std: int = 47,
     factor: float = 5.0,
     trim: float | None = None,
+    spread: bool = False,
 ) -> DataFrame:
     """df with median, spread and median_flag: rows further than factor spreads from the rolling median.
 
     Median and spread (root of the rolling median of squared residuals, floor at least) come from the rows that pass the
     mask, with trim only from residuals under it, and are interpolated over the row number to all rows. Without any row
-    that passes, or where the value is missing, every comparison fails and the row is flagged.
+    that passes, or where the value is missing, every comparison fails and the row is flagged. With spread the rows are
+    stored between the steps, each of which reads them twice.
     """
-    df = df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    if spread:
+        df = segments.numbered(segments.cut(df, keys, order), "_n", keys, order)
+    else:
+        df = df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    held = (lambda x: stored(x, "series")) if spread else (lambda x: x)
     ok = holds(F.col(mask) & F.col(value).isNotNull())
-    df = df.withColumn("_ok", ok)
-    df = rolling_median(df, "_med", F.col(value), [*keys, "_ok"], order, half_median).withColumn("_med", F.when(F.col("_ok"), F.col("_med")))
+    df = held(df.withColumn("_ok", ok))
+    df = rolling_median(df, "_med", F.col(value), [*keys, "_ok"], order, half_median, spread).withColumn("_med", F.when(F.col("_ok"), F.col("_med")))
     residual = F.col(value) - F.col("_med")
     use = F.col("_ok") if trim is None else holds(F.col("_ok") & (F.abs(residual) < trim))
-    df = df.withColumn("_use", use).withColumn("_sq", residual * residual)
-    df = rolling_median(df, "_std", F.col("_sq"), [*keys, "_use"], order, half_std).withColumn("_std", F.when(F.col("_use"), F.greatest(F.sqrt("_std"), F.lit(floor))))
-    df = interpolated(interpolated(df, "median", "_med", "_n", keys, order), "spread", "_std", "_n", keys, order)
+    df = held(df.withColumn("_use", use).withColumn("_sq", residual * residual))
+    df = rolling_median(df, "_std", F.col("_sq"), [*keys, "_use"], order, half_std, spread).withColumn("_std", F.when(F.col("_use"), F.greatest(F.sqrt("_std"), F.lit(floor))))
+    df = interpolated(held(df), "median", "_med", "_n", keys, order, spread=spread)
+    df = interpolated(df, "spread", "_std", "_n", keys, order, spread=spread)
     flag = ~holds(F.abs(F.col(value) - F.col("median")) <= factor * F.col("spread"))
-    return df.withColumn("median_flag", flag).drop("_n", "_ok", "_med", "_use", "_sq", "_std")
+    return df.withColumn("median_flag", flag).drop("_n", "_ok", "_med", "_use", "_sq", "_std", segments.SEG)
 
 
 def running_mean(value: Column, time: Column, keys: list[str], days: float = 28.1) -> Column:

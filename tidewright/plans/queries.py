@@ -6,7 +6,6 @@ and records, customer and supplier for places. Results are rounded on both sides
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from datetime import date
@@ -16,7 +15,8 @@ from pyspark.sql import functions as F
 
 from tidewright import synth
 from tidewright.functions import scalars as S
-from tidewright.operators import crossover, flags, grid, indicators, lookups, passes, planner, polygons, rolling, setops, smoothing, spline
+from tidewright.operators import crossover, flags, grid, indicators, lookups, passes, planner, polygons, rolling, segments, setops, smoothing, spline
+from tidewright.session import scratch_folder
 from tidewright.sources import readers, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -204,14 +204,14 @@ def decimal_years(spark, d):
 @query("SELECT event_id, round(median(value) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 7 PRECEDING AND 7 FOLLOWING), 6) AS med FROM events")
 def rolling_median_15(spark, d):
     rows = events(spark, d).select("event_id", "event_type", "ts", "value")
-    return rolling.rolling_median(rows, "med", F.col("value"), ["event_type"], ["ts", "event_id"], 7).select("event_id", r6("med").alias("med"))
+    return rolling.rolling_median(rows, "med", F.col("value"), ["event_type"], ["ts", "event_id"], 7, spread=True).select("event_id", r6("med").alias("med"))
 
 
 @query("SELECT event_id, round(greatest(sqrt(median((value - 50) * (value - 50)) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 47 PRECEDING AND 47 FOLLOWING)), 30), 6) AS spread FROM events")
 def rolling_std_95(spark, d):
     x = F.col("value") - 50
     rows = events(spark, d).select("event_id", "event_type", "ts", "value")
-    return rolling.rolling_median(rows, "sq", x * x, ["event_type"], ["ts", "event_id"], 47).select("event_id", r6(F.greatest(F.sqrt("sq"), F.lit(30.0))).alias("spread"))
+    return rolling.rolling_median(rows, "sq", x * x, ["event_type"], ["ts", "event_id"], 47, spread=True).select("event_id", r6(F.greatest(F.sqrt("sq"), F.lit(30.0))).alias("spread"))
 
 
 def _fill_sql(source: str, name: str, value: str, out: str, keys: str = "event_type", order: str = "n") -> str:
@@ -235,7 +235,7 @@ s AS (SELECT *, CASE WHEN used THEN greatest(sqrt(median((value - med) * (value
 SELECT event_id, round(median, 6) AS median, round(spread, 6) AS spread, NOT coalesce(abs(value - median) <= 3 * spread, false) AS median_flag FROM g""")
 def median_outlier_flag(spark, d):
     rows = events(spark, d).withColumn("ok", F.col("event_id") % 5 != 0)
-    out = rolling.median_outliers(rows, "value", "ok", ["event_type"], ["ts", "event_id"], 0.05, factor=3.0, trim=150.0)
+    out = rolling.median_outliers(rows, "value", "ok", ["event_type"], ["ts", "event_id"], 0.05, factor=3.0, trim=150.0, spread=True)
     return out.select("event_id", r6("median").alias("median"), r6("spread").alias("spread"), "median_flag")
 
 
@@ -244,7 +244,22 @@ WITH e AS (SELECT event_id, event_type, CASE WHEN event_id % 6 < 2 THEN value EN
 SELECT event_id, round(filled, 5) AS filled FROM f""")
 def interp_linear(spark, d):
     rows = events(spark, d).withColumn("v", F.when(F.col("event_id") % 6 < 2, F.col("value"))).withColumn("n", F.unix_micros("ts") / 1e6)
-    return rolling.interpolated(rows, "filled", "v", "n", ["event_type"], ["n", "event_id"]).select("event_id", F.round("filled", 5).alias("filled"))
+    return rolling.interpolated(rows, "filled", "v", "n", ["event_type"], ["n", "event_id"], spread=True).select("event_id", F.round("filled", 5).alias("filled"))
+
+
+@query("""
+WITH e AS (SELECT event_id, ts, CASE WHEN event_id % 7 < 3 THEN value END AS v, row_number() OVER (ORDER BY ts, event_id) AS n FROM events),
+m AS (SELECT *, median(v) OVER (ORDER BY n ROWS BETWEEN 7 PRECEDING AND 7 FOLLOWING) AS med,
+  last_value(CASE WHEN v IS NOT NULL THEN n END IGNORE NULLS) OVER (ORDER BY n) AS n0, first_value(CASE WHEN v IS NOT NULL THEN n END IGNORE NULLS) OVER (ORDER BY n ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS n1,
+  last_value(v IGNORE NULLS) OVER (ORDER BY n) AS v0, first_value(v IGNORE NULLS) OVER (ORDER BY n ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS v1 FROM e)
+SELECT event_id, n::BIGINT AS number, round(med, 6) AS med, round(CASE WHEN n0 = n1 THEN v0 WHEN n0 IS NULL THEN v1 WHEN n1 IS NULL THEN v0 ELSE v0 + (v1 - v0) * (n - n0) / (n1 - n0) END, 5) AS filled FROM m""")
+def whole_series(spark, d):
+    """Number, rolling median and fill of all events as one series of a single key."""
+    rows = events(spark, d).select("event_id", "ts", F.lit(1).alias("k"), F.when(F.col("event_id") % 7 < 3, F.col("value")).alias("v"))
+    order = ["ts", "event_id"]
+    series = segments.numbered(segments.cut(rows, ["k"], order), "number", ["k"], order).withColumn("number", F.col("number") + 1)
+    out = rolling.interpolated(rolling.rolling_median(series, "med", F.col("v"), ["k"], order, 7, spread=True), "filled", "v", "number", ["k"], order, spread=True)
+    return out.select("event_id", "number", r6("med").alias("med"), F.round("filled", 5).alias("filled"))
 
 
 def _smooth_sql() -> str:
@@ -1060,8 +1075,7 @@ def header_dates(spark, d):
 SELECT event_type AS source, strftime(ts::DATE, '%Y-%m-%d') AS obs_date, event_id, round(value, 6) AS value FROM events WHERE ts::DATE BETWEEN DATE '2024-01-05' AND DATE '2024-01-11'""")
 def written_window(spark, d):
     """The events written by source and day, some days written again, and a window of days read back by their partitions."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidewright-")
-    path = f"{base.rstrip('/')}/events-{uuid.uuid4().hex}"
+    path = f"{scratch_folder(spark)}/events-{uuid.uuid4().hex}"
     rows = events(spark, d).select(F.col("event_type").alias("source"), F.to_date("ts").alias("obs_date"), "event_id", "value")
     old = rows.where(F.col("obs_date").between(F.lit(date(2024, 1, 10)), F.lit(date(2024, 1, 12))))
     writers.write_partitions(old.withColumn("value", F.col("value") * 0), path, ["source", "obs_date"])

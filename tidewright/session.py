@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(master: str | None = None, shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
@@ -20,3 +23,23 @@ def session(master: str | None = None, shuffle_partitions: int | None = None, **
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     return builder.config(map=settings | conf).getOrCreate()
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """The shared folder for intermediate tables: spark.checkpoint.dir, or one of this machine where that is unset and driver
+    and executors are one process; a cluster must set it."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="tidewright-")
+    return base.rstrip("/")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read back, so that what follows does not compute it again and a lost executor
+    costs no more than its tasks."""
+    path = f"{scratch_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
