@@ -74,6 +74,14 @@ def _valid(kind: str) -> str:
     return "true"
 
 
+def _counter() -> Column:
+    """Whether the run core has the form of a card, IP address or phone number and fails the rule of that kind."""
+    forms = {"card": r"^[0-9](?:-?[0-9])++$", "ip": r"^[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++$", "phone": r"^\+[0-9][().0-9-]++$"}
+    long = {"card": f"length({_digits('core')}) >= 12 AND "}
+    held = {k: f"core rlike {_literal(form)} AND {long.get(k, '')} NOT transform(array(core), m -> {_valid(k)})[0]" for k, form in forms.items()}
+    return F.expr(" OR ".join(f"({x})" for x in held.values()))
+
+
 def _literal(pattern: str) -> str:
     return "r'" + pattern + "'"
 
@@ -129,7 +137,7 @@ def _bounded(x: Column) -> Column:
 
 
 def occurrences(rows: DataFrame) -> DataFrame:
-    """proof, a, b, value, seed, loose (outside of all base spans) and patterns of each candidate of each distinct text."""
+    """proof, a, b, value, seed, wrong (a counter-example), loose (outside of all base spans) and patterns of each candidate of each distinct text."""
     texts = rows.where(F.size("cands") > 0).groupBy("proof").agg(F.first("base").alias("base"), F.first("cands").alias("cands"))
     texts = written(texts, "pii-texts")
     one = texts.select("proof", F.explode("cands").alias("c")).select("proof", "c.*")
@@ -164,7 +172,8 @@ def occurrences(rows: DataFrame) -> DataFrame:
     )
     entity = F.when(~F.col("loose"), F.col("most.h").cast("string"))
     value = F.md5(F.when(F.col("strong"), F.col("core")).otherwise(F.concat_ws(" ", "label", F.coalesce(entity, "core"))).cast("binary"))
-    out = one.select("proof", "a", "b", value.alias("value"), (~F.col("loose") | random).alias("seed"), "loose", F.array_compact(patterns).alias("patterns"))
+    wrong = F.col("loose") & _counter()
+    out = one.select("proof", "a", "b", value.alias("value"), (~F.col("loose") | (random & ~wrong)).alias("seed"), wrong.alias("wrong"), "loose", F.array_compact(patterns).alias("patterns"))
     return out.where(F.size("patterns") > 0)
 
 
@@ -174,15 +183,16 @@ def believed(occ: DataFrame) -> DataFrame:
     The edges are one row for each pattern and value, and sums by pattern are taken in part before they are dealt, so a common
     pattern has no hot task.
     """
-    edges = written(occ.select("value", "seed", F.explode("patterns").alias("pattern")).groupBy("pattern", "value").agg(F.max("seed").alias("seed")), "pii-edges")
+    edges = written(occ.select("value", "seed", "wrong", F.explode("patterns").alias("pattern")).groupBy("pattern", "value").agg(F.max("seed").alias("seed"), F.max("wrong").alias("wrong")), "pii-edges")
     belief = None
     for _ in range(ROUNDS):
         known = edges.withColumn("s", F.col("seed").cast("double"))
         if belief is not None:
             known = edges.join(belief, "value", "left").withColumn("s", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("belief", F.lit(0.0))))
-        sums = known.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.sum("s").alias("s")).where(f"s >= {SUPPORT}")
-        conf = sums.select("pattern", (F.col("s") / (F.col("s") + UNKNOWN * (F.col("n") - F.col("s")) + SMOOTH)).alias("conf")).where(f"conf >= {CONFIDENT}")
-        held = edges.join(written(conf, "pii-patterns"), "pattern")
+        sums = known.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.sum("s").alias("s"), F.count_if(F.col("wrong") & ~F.col("seed")).alias("neg")).where(f"s >= {SUPPORT}")
+        rest = F.col("n") - F.col("s") - F.col("neg")
+        conf = sums.select("pattern", (F.col("s") / (F.col("s") + F.col("neg") + UNKNOWN * rest + SMOOTH)).alias("conf")).where(f"conf >= {CONFIDENT}")
+        held = edges.where("seed OR NOT wrong").join(written(conf, "pii-patterns"), "pattern")
         belief = written(held.groupBy("value").agg((1 - F.exp(F.sum(F.log(1 - F.least("conf", F.lit(1 - 1e-9)))))).alias("belief")), "pii-belief")
     return belief.where(f"belief >= {ACCEPT}")
 
@@ -199,7 +209,7 @@ def extracted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """
     rows = written(found(docs, id_col, text_col), "pii-found")
     occ = written(occurrences(rows), "pii-occurrences")
-    extra = occ.where("loose").join(believed(occ), "value").groupBy("proof").agg(F.collect_list(F.struct("a", F.lit(len(KINDS)).alias("k"), "b", F.lit(0).alias("h"))).cast(SPANS).alias("extra"))
+    extra = occ.where("loose AND NOT wrong").join(believed(occ), "value").groupBy("proof").agg(F.collect_list(F.struct("a", F.lit(len(KINDS)).alias("k"), "b", F.lit(0).alias("h"))).cast(SPANS).alias("extra"))
     names = "array(" + ", ".join(f"'{k}'" for k in (*KINDS, "ctx")) + ")"
     none = F.expr(f"cast(array() AS {SPANS})")
     # Rows without a candidate have nothing to join; a text that many rows repeat is one row of extra.
