@@ -359,3 +359,28 @@ def test_segments_equal_windows_over_the_whole_series(spark, rows):
     median = lambda x, s: value(rolling.rolling_median(x, "f", F.col("v"), ["k"], ["t", "i"], 7, spread=s))
     assert median(series, True) == median(df, False)
     assert segments.cut(df.limit(0), ["k"], ["t", "i"]).count() == 0
+
+
+def test_nearest_by_brute_force_with_dense_and_repeated_places(spark):
+    rng = np.random.default_rng(12)
+    wide = [(float(a), float(o)) for a, o in rng.uniform([-85, 0], [85, 360], (1500, 2))]
+    dense = [(10 + float(a), 20 + float(o)) for a, o in rng.normal(0, 0.4, (2500, 2))]
+    places = wide + dense + [(10.0, 20.0)] * 400  # ties of distance are settled by the key
+    src = [(i, a, o, i % 2) for i, (a, o) in enumerate(places)]
+    tgt = [(i, float(a), float(o), i % 2) for i, (a, o) in enumerate([*rng.uniform([-89, 0], [89, 360], (60, 2)), (10.1, 20.1), (10.0, 20.0), (89.9, 0.0)])]
+    s = spark.createDataFrame(src, "p int, lat double, lon double, b int")
+    t = spark.createDataFrame(tgt, "c int, lat double, lon double, b int")
+    xyz = lambda a, o: np.array([np.cos(np.radians(a)) * np.cos(np.radians(o)), np.cos(np.radians(a)) * np.sin(np.radians(o)), np.sin(np.radians(a))]) * lookups.EARTH_M
+    at = np.array([xyz(a, o) for _, a, o, _ in src])
+    for k, reach in ((40, 1.5e6), (1, 3e5), (500, 6e5)):
+        got: dict = {}
+        for r in lookups.nearest_within(t, s, "c", "p", reach, k, ["b"]).collect():
+            got.setdefault(r.c, []).append((round(r.distance, 3), r.p))
+        for c, a, o, b in tgt:
+            d = np.sqrt(((at - xyz(a, o)) ** 2).sum(axis=1))
+            want = sorted((round(float(x), 3), i) for i, x in enumerate(d) if x <= reach and i % 2 == b)[:k]
+            assert sorted(x for x, _ in got.get(c, [])) == [x for x, _ in want]
+            assert {p for x, p in got.get(c, []) if not want or x < want[-1][0]} == {p for x, p in want if x < want[-1][0]}
+    met = lookups.candidates_within(t, s, "c", 6e5, 40, ["b"]).groupBy("c").count()
+    assert met.where("c >= 60").agg(F.max("count")).first()[0] < 40 * 12  # of 1450 sources within reach
+    assert lookups.nearest_within(t, s.limit(0), "c", "p", 6e5, 5, ["b"]).count() == 0

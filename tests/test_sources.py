@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewright import schemas
 from tidewright.functions import scalars
-from tidewright.operators import flags, polygons, setops, spline
+from tidewright.operators import flags, lookups, polygons, setops, spline
 from tidewright.plans import stages
 from tidewright.sources import netcdf, readers, shapes, writers
 

@@ -78,18 +78,70 @@ def geocentric(lat: Column, lon: Column, radius: float = EARTH_M) -> tuple[Colum
     return F.cos(la) * F.cos(lo) * radius, F.cos(la) * F.sin(lo) * radius, F.sin(la) * radius
 
 
+#: Cells of a cube of the search radius along a side, halvings of a cell at most, and the part of k that a cell holds, about.
+CELLS, HALVINGS, PART = 4, 4, 8
+
+
+def _indexed(df: DataFrame, reach: float) -> DataFrame:
+    """df with _x, _y, _z on the sphere and _f, its place in the finest cells."""
+    df = df.withColumns(dict(zip(("_x", "_y", "_z"), geocentric(F.col("lat"), F.col("lon")), strict=True)))
+    finest = reach / (CELLS << HALVINGS)
+    return df.withColumn("_f", F.struct(*[F.floor(F.col(f"_{c}") / finest).alias(c) for c in "xyz"]))
+
+
+def _coarser(f: Column, by: int | Column) -> Column:
+    return F.struct(*[F.floor(f[c] / by).cast("long").alias(c) for c in "xyz"])
+
+
+def _boxes(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    box = [g(f"_{c}").alias(f"{name}{c}{n}") for c in "xyz" for n, g in ((0, F.min), (1, F.max))]
+    return df.groupBy(*keys, "_leaf").agg(F.first("_cube").alias("_cube"), F.count(F.lit(1)).alias(f"{name}n"), *box)
+
+
+def near_cells(targets: DataFrame, sources: DataFrame, reach: float, k: int, keys: list[str]) -> DataFrame:
+    """keys, _leaf (of targets) and _of (of sources): the pairs of cells that can hold one of the k nearest within reach.
+
+    Between two cells stand a least and a most distance, of their points' boxes. Cells in order of the most distance that hold k
+    points together bound the distance of the k-th; a cell whose least distance is beyond that or beyond reach holds none."""
+    own = _boxes(targets, keys, "t").drop("tn")
+    around = F.transform(F.sequence(F.lit(0), F.lit(26)), lambda i: F.struct((F.col("_cube.x") + i % 3 - 1).alias("x"), (F.col("_cube.y") + F.floor(i / 3) % 3 - 1).alias("y"), (F.col("_cube.z") + F.floor(i / 9) - 1).alias("z")))
+    seen = own.withColumn("_cube", F.explode(around))
+    held = _boxes(sources, keys, "s").withColumnRenamed("_leaf", "_of")
+    both = seen.join(held, [*keys, "_cube"])
+    gap = lambda c: F.greatest(F.lit(0.0), F.col(f"s{c}0") - F.col(f"t{c}1"), F.col(f"t{c}0") - F.col(f"s{c}1"))
+    span = lambda c: F.greatest(F.col(f"s{c}1") - F.col(f"t{c}0"), F.col(f"t{c}1") - F.col(f"s{c}0"))
+    length = lambda f: F.sqrt(sum(f(c) * f(c) for c in "xyz"))
+    both = both.select(*keys, "_leaf", "_of", "sn", (length(gap) - 1e-3).alias("_least"), (length(span) + 1e-3).alias("_most")).where(F.col("_least") <= reach)
+    w = Window.partitionBy(*keys, "_leaf")
+    both = both.withColumn("_held", F.sum("sn").over(w.orderBy("_most", "_of").rowsBetween(Window.unboundedPreceding, 0)))
+    both = both.withColumn("_bound", F.min(F.when(F.col("_held") >= k, F.col("_most"))).over(w))
+    return both.where(F.col("_least") <= F.coalesce("_bound", F.lit(reach))).select(*keys, "_leaf", "_of")
+
+
+def candidates_within(targets: DataFrame, sources: DataFrame, target_key: str, reach: float, k: int, keys: list[str]) -> DataFrame:
+    """Each target with the sources of the cells that can hold one of its k nearest, with the distance of each.
+
+    Cells are a quarter of reach wide, and narrower where the sources lie denser, so that a cell holds about k / 8 of them."""
+    base = lambda df: df.withColumn("_base", _coarser(F.col("_f"), 1 << HALVINGS)).withColumn("_cube", _coarser(F.col("_f"), CELLS << HALVINGS))
+    s, t = (base(_indexed(df, reach)) for df in (sources, targets))
+    dense = s.groupBy(*keys, "_base").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max(8, k // PART))
+    halvings = F.least(F.lit(HALVINGS), F.ceil(F.log2(F.col("_n") / max(8, k // PART)) / 2)).cast("int")
+    dense = dense.select(*keys, "_base", halvings.alias("_h"))
+    fine = lambda df: df.join(dense, [*keys, "_base"], "left").withColumn("_h", F.coalesce("_h", F.lit(0)))
+    leaf = lambda df: df.withColumn("_leaf", F.struct("_h", _coarser(F.col("_f"), F.pow(F.lit(2.0), F.lit(HALVINGS) - F.col("_h"))).alias("at")))
+    s, t = leaf(fine(s)), leaf(fine(t))
+    pairs = near_cells(t, s, reach, k, keys)
+    a = t.select(target_key, *keys, "_leaf", *[F.col(f"_{c}").alias(f"_t{c}") for c in "xyz"]).join(pairs, [*keys, "_leaf"]).drop("_leaf")
+    b = s.drop("lat", "lon", "_f", "_base", "_cube", "_h").withColumnRenamed("_leaf", "_of")
+    d2 = sum((F.col(f"_t{c}") - F.col(f"_{c}")) * (F.col(f"_t{c}") - F.col(f"_{c}")) for c in "xyz")
+    return a.join(b, [*keys, "_of"]).withColumn("distance", F.sqrt(d2)).drop("_of", *[f"_{c}" for c in "xyz"], *[f"_t{c}" for c in "xyz"])
+
+
 def nearest_within(targets: DataFrame, sources: DataFrame, target_key: str, source_key: str, reach: float, k: int, keys: list[str] = []) -> DataFrame:  # noqa: B006
     """The k nearest sources of each target within reach metres of chord, equal in keys: target_key, the sources' columns and
-    distance; of equal distances the smaller source key first. Both sides have lat and lon.
+    distance; of equal distances the smaller source key, which is unique, first. Both sides have lat and lon.
 
-    Both sides fall into cubes of that size; a target looks into the 27 around it, so the join is an equi join.
-    """
-    cube = lambda df: df.withColumns(dict(zip(("_x", "_y", "_z"), geocentric(F.col("lat"), F.col("lon")), strict=True))).withColumns({f"_b{c}": F.floor(F.col(f"_{c}") / reach) for c in "xyz"})
-    a = cube(targets).withColumnsRenamed({f"_{c}": f"_t{c}" for c in "xyz"}).select(target_key, *keys, "_tx", "_ty", "_tz", *[F.explode(F.array(*[F.col("_bx") + d for d in (-1, 0, 1)])).alias("_bx")], "_by", "_bz")
-    for c in ("_by", "_bz"):
-        a = a.withColumn(c, F.explode(F.array(*[F.col(c) + d for d in (-1, 0, 1)])))
-    joined = a.join(cube(sources).drop("lat", "lon"), [*keys, "_bx", "_by", "_bz"])
-    d2 = sum((F.col(f"_t{c}") - F.col(f"_{c}")) * (F.col(f"_t{c}") - F.col(f"_{c}")) for c in "xyz")
-    near = joined.withColumn("distance", F.sqrt(d2)).where(F.col("distance") <= reach)
+    A target meets the sources of few cells; Spark keeps the first k of each task's rows before it deals them by target."""
+    near = candidates_within(targets, sources, target_key, reach, k, keys).where(F.col("distance") <= reach)
     w = Window.partitionBy(target_key).orderBy("distance", source_key)
-    return near.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= k).drop("_k", *[f"_{c}" for c in "xyz"], *[f"_t{c}" for c in "xyz"], *[f"_b{c}" for c in "xyz"])
+    return near.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= k).drop("_k")

@@ -103,12 +103,12 @@ def finalized(daily: DataFrame, listed: DataFrame, mode: str = "pair") -> DataFr
 def weekly_grid(daily: DataFrame, cells: DataFrame, links: DataFrame, mondays: DataFrame, reach: float = grid.REACH_M, sigma: float = grid.SIGMA_M, k: int = grid.NEIGHBOURS, least: int = grid.LEAST_POINTS) -> DataFrame:
     """Grids of the given days (grid_date) from the rows of five days before to four after; a grid with too few points has no
     values. cells: cell, lat, lon, basin_id, lat_i, lon_i."""
-    rows = daily.where("ssha_smoothed IS NOT NULL").select(F.col("obs_date"), F.unix_micros("time").alias("point"), F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), F.col("ssha_smoothed").alias("v"), F.col("basin_flag").alias("basin"))
+    rows = daily.where("ssha_smoothed IS NOT NULL").select(F.col("obs_date"), F.struct("source", F.unix_micros("time").alias("time")).alias("point"), F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), F.col("ssha_smoothed").alias("v"), F.col("basin_flag").alias("basin"))
     each = rows.withColumn("grid_date", F.explode(F.sequence(F.date_sub("obs_date", 4), F.date_add("obs_date", 5)))).join(mondays.select("grid_date").distinct(), "grid_date", "left_semi")
     usable = grid.enough_points(each, ["grid_date"], "v", least).where("usable").select("grid_date")
     each = each.join(usable, "grid_date", "left_semi")
-    dates = F.array(*[F.lit(r.grid_date) for r in mondays.select("grid_date").distinct().orderBy("grid_date").collect()])  # a row a week
-    full = cells.withColumn("grid_date", F.explode(dates.cast("array<date>")))
+    dates = mondays.agg(F.array_sort(F.collect_set("grid_date"))).scalar()  # a day a week
+    full = cells.withColumn("_dates", dates).withColumn("grid_date", F.explode("_dates")).drop("_dates")
     near_to = grid.basin_pairs(full, links.distinct()).select("cell", "lat", "lon", "basin", "grid_date").join(usable, "grid_date", "left_semi")
     near_to = near_to.withColumn("target", F.struct("grid_date", "cell"))
     near = lookups.nearest_within(near_to.select("target", "lat", "lon", "basin", "grid_date"), each.select("grid_date", "point", "lat", "lon", "v", "basin"), "target", "point", reach, k, ["basin", "grid_date"])
