@@ -31,7 +31,7 @@ from tidewright.llm.common import table, text_of
 
 #: Texts and characters of a chunk, words that a worker remembers, bytes of a word from which the heap takes over, ids
 #: decoded at once.
-CHUNK_TEXTS, CHUNK_CHARS, REMEMBER, LONG, DECODE = 1_000, 1_000_000, 400_000, 512, 250_000
+CHUNK_TEXTS, CHUNK_CHARS, REMEMBER, LONG, DECODE = 1_000, 500_000, 250_000, 512, 125_000
 
 ENCODE = """
 WITH RECURSIVE state(word, toks) USING KEY (word) AS (
