@@ -145,6 +145,27 @@ def test_spline_meets_its_constraints():
     assert np.allclose(spline.fit(t, 0 * d, tr)[1], 0)
 
 
+def test_spline_sums_are_those_of_all_samples(spark):
+    rng = np.random.default_rng(8)
+    at, u, d = rng.integers(0, 5, 200), rng.uniform(0, 1, 200), rng.normal(size=200)
+    g = np.zeros((200, 20))
+    for k in range(4):
+        g[np.arange(200), 4 * at + k] = u ** (3 - k)
+    gram, right = spline.gram_blocks(at, u, d, 5)
+    assert np.allclose(gram, g.T @ g) and np.allclose(right, g.T @ d)
+    rows = spark.createDataFrame([(int(a), float(x), float(y)) for a, x, y in zip(at, u, d, strict=True)], "i int, u double, d double")
+    for r in spline.gram_sums(rows, ["i"], "u", "d").collect():
+        block = [[r.n if i + j == 6 else r[f"u{6 - i - j}"] for j in range(4)] for i in range(4)]
+        assert np.allclose(block, gram[4 * r.i : 4 * r.i + 4, 4 * r.i : 4 * r.i + 4]) and np.allclose([r.d3, r.d2, r.d1, r.d0], right[4 * r.i : 4 * r.i + 4])
+
+
+def test_spline_conditions_see_a_jump(spark):
+    rows = [("a", k, float(k), k + 1.0, 0.0, 0.0, 0.0, float(k == 1)) for k in range(3)] + [("b", k, float(k), k + 1.0, 0.0, 0.0, 0.0, 0.0) for k in range(3)]
+    poly = spark.createDataFrame(rows, "s string, interval int, lo double, hi double, c3 double, c2 double, c1 double, c0 double")
+    got = {r.s: (r.joined, r.periodic, r.rests) for r in spline.conditions(poly, ["s"]).collect()}
+    assert got == {"a": (False, True, True), "b": (True, True, True)}
+
+
 def test_spline_by_day_and_evaluation(spark):
     days = spark.createDataFrame([("a", datetime.date(2020, 1, 2)), ("a", datetime.date(2020, 1, 9))], "source string, date date")
     begin = 1577923200.0

@@ -46,6 +46,48 @@ def gap_points(times: np.ndarray, small: float = 0.75, large: float = 1.2) -> np
     return np.sort(np.concatenate([left[mid] + gap[mid] / 2, left[wide] - 0.5, left[wide] + 0.5]))
 
 
+def gram_sums(df: DataFrame, keys: list[str], share: str, value: str) -> DataFrame:
+    """The sums behind the normal equations of a cubic in each interval (keys): n, u1 to u6, the sums of the powers of the share,
+    and d0 to d3, those of the value times its powers. Their 4x4 block has u(6 - i - j) at (i, j), highest power first."""
+    u, d = F.col(share), F.col(value)
+    power = lambda k: F.lit(1.0) if k == 0 else power(k - 1) * u
+    sums = [F.sum(power(k)).alias(f"u{k}") for k in range(1, 7)] + [F.sum(d * power(k)).alias(f"d{k}") for k in range(4)]
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *sums)
+
+
+def gram_blocks(at: np.ndarray, u: np.ndarray, d: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The normal equations of n intervals from the same sums, without a matrix of all samples; at is a sample's interval."""
+    moments = np.stack([np.bincount(at, weights=u**k, minlength=n) for k in range(7)])
+    sums = np.stack([np.bincount(at, weights=d * u**k, minlength=n) for k in range(4)])
+    gram = np.zeros((4 * n, 4 * n))
+    for i in range(4):
+        for j in range(4):
+            gram[4 * np.arange(n) + i, 4 * np.arange(n) + j] = moments[6 - i - j]
+    return gram, sums[::-1].T.ravel()
+
+
+def conditions(polynomial: DataFrame, keys: list[str]) -> DataFrame:
+    """keys with joined (value, slope and curvature go on from interval to interval), periodic (from the last to the first) and
+    rests (value and slope are zero at the end): to a millionth, by what a difference moves the curve within the shorter of the two
+    intervals, as a curvature says little of an interval of a second."""
+    u = F.col("hi") - F.col("lo")
+    ends = [horner(u), (3 * F.col("c3") * u + 2 * F.col("c2")) * u + F.col("c1"), 6 * F.col("c3") * u + 2 * F.col("c2")]
+    begins = [F.col("c0"), F.col("c1"), 2 * F.col("c2")]
+    line = Window.partitionBy(*keys).orderBy("interval")
+    whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    last = F.lead("interval").over(line).isNull()
+    following = lambda c: F.coalesce(F.lead(c).over(line), F.first(c).over(whole))
+    width = F.least(u, following(u))
+    near = lambda a, b, k: F.abs(a - b) * F.pow(width, F.lit(k)) <= 1e-6
+    met = [near(e, following(b), k) for k, (e, b) in enumerate(zip(ends, begins, strict=True))]
+    rows = polynomial.select(*keys, last.alias("_last"), (met[0] & met[1] & met[2]).alias("_met"), (near(ends[0], F.lit(0.0), 0) & near(ends[1], F.lit(0.0), 1)).alias("_zero"))
+    return rows.groupBy(*keys).agg(
+        F.coalesce(F.every(F.when(~F.col("_last"), F.col("_met"))), F.lit(True)).alias("joined"),
+        F.every(F.when(F.col("_last"), F.col("_met"))).alias("periodic"),
+        F.every(F.when(F.col("_last"), F.col("_zero"))).alias("rests"),
+    )
+
+
 def fit(times: np.ndarray, values: np.ndarray, tracks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Breaks and coefficients (intervals, 4), highest power first, of the least-squares cubic in each interval, subject to
     continuity up to the second derivative, a periodic end, and zero value and slope at gap points and at the last knot."""
@@ -56,9 +98,7 @@ def fit(times: np.ndarray, values: np.ndarray, tracks: np.ndarray) -> tuple[np.n
     at = np.clip(np.searchsorted(brk, t, side="left") - 1, 0, n - 1)
     width = np.diff(brk)  # powers are those of the share of an interval, so that short intervals are solved as well as long ones
     u = (t - brk[at]) / width[at]
-    g = np.zeros((len(t), 4 * n))
-    for k in range(4):
-        g[np.arange(len(t)), 4 * at + k] = u ** (3 - k)
+    gram, right_side = gram_blocks(at, u, d, n)
     rows = []
 
     def row(i: int, u: float, order: int) -> np.ndarray:
@@ -74,8 +114,8 @@ def fit(times: np.ndarray, values: np.ndarray, tracks: np.ndarray) -> tuple[np.n
             rows += [row(i, p - brk[i], 0), row(i, p - brk[i], 1)]
     rows += [row(n - 1, brk[-1] - brk[-2], 0), row(n - 1, brk[-1] - brk[-2], 1)]
     c = np.array([r / np.abs(r).max() for r in rows])
-    kkt = np.block([[g.T @ g, c.T], [c, np.zeros((len(c), len(c)))]])
-    right = np.concatenate([g.T @ d, np.zeros(len(c))])
+    kkt = np.block([[gram, c.T], [c, np.zeros((len(c), len(c)))]])
+    right = np.concatenate([right_side, np.zeros(len(c))])
     solution = np.linalg.lstsq(kkt, right, rcond=1e-13)[0]
     return brk, solution[: 4 * n].reshape(n, 4) / width[:, None] ** np.arange(3, -1, -1)
 

@@ -501,12 +501,16 @@ SELECT any_value(round(x - 360 * floor(x / 360), 4)) AS lon, any_value(round(y,
 FROM m WHERE {_near_sql()} GROUP BY track1, track2, round(at1 + adt * s, 6), round(at1 + adt * s, 3)""")
 def orbit_crossovers(spark, d):
     """The whole crossover job: the events in turn are points of tracks that climb and fall over one sea, across longitude 0."""
+    return _orbit_crossovers(spark, d)
+
+
+def _orbit_crossovers(spark: SparkSession, d: str, before: float | None = None) -> DataFrame:
     c = F.col
     n, k = F.floor(c("event_id") / 125), c("event_id") % 125
     lon = F.pmod(n * F.lit(47.3) % 120 - 60 + k * 0.16, F.lit(360.0))
     lat = F.when(n % 2 == 0, 1).otherwise(-1) * (k * 0.16 - 10)
     pts = events(spark, d).select((n + 10001).alias("track"), (n * 1550.0 + k * 10.0).alias("t"), lon.alias("lon"), lat.alias("lat"), F.when(c("event_id") % 37 != 5, c("value") / 100).alias("v"))
-    return crossover.crossovers(pts).select(*[F.round(x, 4).alias(x) for x in ("lon", "lat", "ssh1", "ssh2")], "pass1", "pass2", F.round("time1", 3).alias("time1"))
+    return crossover.crossovers(pts, before).select(*[F.round(x, 4).alias(x) for x in ("lon", "lat", "ssh1", "ssh2")], "pass1", "pass2", F.round("time1", 3).alias("time1"))
 
 
 # --- joins --------------------------------------------------------------------------------------------------------------
@@ -696,6 +700,42 @@ def spline_fit(spark, d):
     return out.select("source", "date", "interval", r6("lo").alias("lo"), r6("hi").alias("hi"), "nint", F.round(spline.horner(mid), 5).alias("middle"), F.round("rms_res", 5).alias("rms_res"))
 
 
+@query("""
+SELECT DISTINCT event_type AS source, strftime(ts::DATE, '%Y-%m-%d') AS date, true AS joined, true AS periodic, true AS rests FROM events""")
+def spline_conditions(spark, d):
+    """Whether the spline of each source and day meets the conditions that its fit is subject to."""
+    out = spline.conditions(spline.fit_days(*spline_inputs(spark, d)), ["source", "date"])
+    return out.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+
+
+@query("""
+WITH e AS (SELECT event_type, ts::DATE AS day, hour(ts) AS hour, (epoch(ts) - epoch(date_trunc('hour', ts))) / 3600 AS u, (value - 50) / 500 AS d FROM events)
+SELECT event_type, strftime(day, '%Y-%m-%d') AS day, hour::INT AS hour, count(*) AS n, """ + ", ".join(f"round(sum({'*'.join(['u'] * k)}), 6) AS u{k}" for k in range(1, 7)) + ", " + ", ".join(f"round(sum({'*'.join(['d', *['u'] * k])}), 6) AS d{k}" for k in range(4)) + """
+FROM e GROUP BY event_type, day, hour""")
+def spline_gram(spark, d):
+    """The sums of the normal equations, of hourly intervals of each source and day."""
+    hour = F.unix_micros(F.date_trunc("hour", "ts"))
+    rows = events(spark, d).select("event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.hour("ts").alias("hour"), ((F.unix_micros("ts") - hour) / 3600e6).alias("u"), ((F.col("value") - 50) / 500).alias("d"))
+    out = spline.gram_sums(rows, ["event_type", "day", "hour"], "u", "d")
+    return out.select("event_type", "day", "hour", "n", *[r6(c).alias(c) for c in out.columns[4:]])
+
+
+@query("""
+WITH days AS (SELECT DISTINCT event_type AS source, ts::DATE AS date FROM events)
+SELECT source, strftime(date, '%Y-%m-%d') AS date, (k + 3)::INT AS "interval", k::DOUBLE AS lo, k::DOUBLE + 1 AS hi, 0.0::DOUBLE AS c0, 0 AS nint FROM days, (SELECT unnest(range(-3, 27)) AS k)""")
+def zero_polynomials(spark, d):
+    """Days whose differences are all too large have the hourly polynomial of zero."""
+    inputs, days = spline_inputs(spark, d)
+    out = spline.fit_days(inputs.withColumn("near", F.lit(False)), days)
+    return out.select("source", F.date_format("date", "yyyy-MM-dd").alias("date"), "interval", "lo", "hi", "c0", "nint")
+
+
+@query("SELECT * FROM (" + SQL["orbit_crossovers"] + ") WHERE time1 < 9000")
+def crossovers_before(spark, d):
+    """Crossovers whose first time is before an instant, as a window's output takes them."""
+    return _orbit_crossovers(spark, d, 9000.0)
+
+
 # --- grids and indicators -----------------------------------------------------------------------------------------------
 
 
@@ -1071,6 +1111,37 @@ def header_dates(spark, d):
     return writers.header_lines(template, F.lit("2024-05-06"), "DATE")
 
 
+@query("SELECT event_type AS source, event_id, round(value::FLOAT::DOUBLE, 4) AS value, 'float' AS kind FROM events")
+def float32_written(spark, d):
+    """The events written with doubles as floats, by source, and read back."""
+    path = f"{scratch_folder(spark)}/floats-{uuid.uuid4().hex}"
+    writers.write_float32(events(spark, d).select(F.col("event_type").alias("source"), "event_id", "value"), path, ["source"])
+    back = spark.read.parquet(path)
+    return back.select("source", "event_id", F.round(F.col("value").cast("double"), 4).alias("value"), F.lit(dict(back.dtypes)["value"]).alias("kind"))
+
+
+@query(f"WITH {LIST_SQL} SELECT source, cycle, true AS first, false AS again, true AS changed FROM o WHERE status = 'F'")
+def list_written_once(spark, d):
+    """A list is written, not written again with its own rows in another order, and written when a row is gone."""
+    path = f"{scratch_folder(spark)}/list-{uuid.uuid4().hex}"
+    rows = _listed(spark, d).where("status = 'F'").select("source", "cycle")
+    first = writers.write_list_if_changed(rows, path, None)
+    back = spark.read.schema(rows.schema).csv(path, header=True)
+    again = writers.write_list_if_changed(rows.repartition(3), path, back)
+    changed = writers.write_list_if_changed(rows.where("cycle % 2 = 0"), f"{path}-less", back)
+    return back.select("source", "cycle", F.lit(first).alias("first"), F.lit(again).alias("again"), F.lit(changed).alias("changed"))
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, CASE WHEN abs(l_extendedprice / 105000 * 180 - 90) <= 66 AND l_partkey % 1100 > 0 AND l_partkey % 1100 < 1000 THEN round(l_discount, 6) END AS ssha, l_tax AS ssha_smoothed FROM lineitem""")
+def legacy_masked(spark, d):
+    """Older column names brought up to date, and values kept in the band and on ocean basins alone."""
+    old = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_discount").alias("ssh"), F.col("l_tax").alias("ssh_smoothed"), (F.col("l_extendedprice") / 105000 * 180 - 90).alias("lat"), (F.col("l_partkey") % 1100).alias("basin"))
+    rows = readers.renamed_legacy(old)
+    value = F.when(indicators.in_band(F.col("lat")), indicators.ocean_only(F.col("ssha"), F.col("basin")))
+    return rows.select("l_orderkey", "l_linenumber", r6(value).alias("ssha"), "ssha_smoothed")
+
+
 @query("""
 SELECT event_type AS source, strftime(ts::DATE, '%Y-%m-%d') AS obs_date, event_id, round(value, 6) AS value FROM events WHERE ts::DATE BETWEEN DATE '2024-01-05' AND DATE '2024-01-11'""")
 def written_window(spark, d):
