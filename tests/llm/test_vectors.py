@@ -16,7 +16,7 @@ SMALL = "/root/testdata/sf0.001"
 
 
 def test_clusters_equal_sql_and_skip_distances(spark):
-    same(clusters.op11_clusters(spark, SMALL).drop("computed"), clusters.SQL, SMALL)
+    same(clusters.op11_clusters(spark, SMALL), clusters.SQL, SMALL)
     rng = np.random.default_rng(1)  # well-parted groups, where bounds leave out most distances
     centres = rng.normal(0, 8, (16, 64))
     rows = [(i, (centres[i % 16] + rng.normal(0, 0.05, 64)).tolist()) for i in range(800)]

@@ -147,7 +147,7 @@ def op11_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = shas.join(inertia, "cluster").select("cluster", "centroid_sha256", F.expr("try_cast(sum AS long)").alias("cluster_inertia"))
     done = state.join(F.broadcast(facts), "cluster")  # a row for each centroid
     total = F.lit(whole).cast("decimal(38,0)")
-    return done.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", total.try_cast("long").alias("inertia"), "centroid_sha256", "computed")
+    return done.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", total.try_cast("long").alias("inertia"), "centroid_sha256")
 
 
 _VECTORS = """
