@@ -13,7 +13,7 @@ from tidewright import schemas
 from tidewright.functions import scalars
 from tidewright.operators import flags, lookups, polygons, setops, spline
 from tidewright.plans import stages
-from tidewright.sources import netcdf, readers, shapes, writers
+from tidewright.sources import commits, netcdf, readers, shapes, writers
 
 DAY = datetime.date(2020, 3, 1)
 
@@ -270,3 +270,26 @@ def test_sources_do_not_meet_in_crossovers(spark):
     key = lambda df: sorted((r.source, r.pass1, r.pass2, round(r.lon, 6), round(r.lat, 6)) for r in df.collect())
     both = key(stages.crossover_table(daily))
     assert both == sorted(key(stages.crossover_table(daily.where("source = 'a'"))) + key(stages.crossover_table(daily.where("source = 'b'")))) and len({x[0] for x in both}) == 2
+
+
+def test_products_are_committed_together_or_not_at_all(spark, tmp_path):
+    root = str(tmp_path / "products")
+    rows = lambda f, days: spark.createDataFrame([(d * f, d) for d in days], "v int, day int")
+    seen = lambda n: sorted(tuple(r) for r in commits.committed(spark, root, n, rows(1, []).schema).collect())
+    assert seen("p2") == [] and commits.manifest(spark, root) == {}
+    assert commits.commit(root, {"p2": (rows(1, range(3)), ["day"]), "p3": (rows(10, range(3)), ["day"])}) == 1
+    first = (seen("p2"), seen("p3"))
+    assert first == ([(0, 0), (1, 1), (2, 2)], [(0, 0), (10, 1), (20, 2)])
+    broken = rows(7, range(5)).withColumn("v", F.when(F.col("day") == 4, F.raise_error(F.lit("lost")).cast("int")).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="lost"):  # p2 is written by then
+        commits.commit(root, {"p2": (rows(7, range(5)), ["day"]), "p3": (broken, ["day"])})
+    assert (seen("p2"), seen("p3")) == first
+    assert commits.swept(spark, root) >= 1 and (seen("p2"), seen("p3")) == first
+    assert commits.commit(root, {"p2": (rows(5, [2, 3]), ["day"]), "p3": (rows(5, []), ["day"])}) == 2
+    assert seen("p2") == [(0, 0), (1, 1), (10, 2), (15, 3)] and seen("p3") == first[1]
+    with pytest.raises(RuntimeError, match="another run"):
+        commits._publish(spark, root, 2, {})
+    assert seen("p3") == first[1]
+    odd = spark.createDataFrame([(1, "a b+c:d%20"), (2, None), (3, "ü/x")], "v int, s string")
+    commits.commit(root, {"odd": (odd, ["s"])})
+    assert sorted(map(str, commits.committed(spark, root, "odd", odd.schema).collect())) == sorted(map(str, odd.collect()))

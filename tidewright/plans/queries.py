@@ -17,7 +17,7 @@ from tidewright import synth
 from tidewright.functions import scalars as S
 from tidewright.operators import crossover, flags, grid, indicators, lookups, passes, planner, polygons, rolling, segments, setops, smoothing, spline
 from tidewright.session import scratch_folder
-from tidewright.sources import readers, writers
+from tidewright.sources import commits, readers, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -1111,6 +1111,19 @@ def header_dates(spark, d):
     return writers.header_lines(template, F.lit("2024-05-06"), "DATE")
 
 
+@query("""
+SELECT name, event_type AS source, strftime(ts::DATE, '%Y-%m-%d') AS obs_date, event_id, round(value * f, 6) AS value FROM events, (VALUES ('p2', 1), ('p3', 2)) AS p(name, f)""")
+def committed_products(spark, d):
+    """Two products committed together, after an earlier commit of some of their days."""
+    root = f"{scratch_folder(spark)}/products-{uuid.uuid4().hex}"
+    rows = events(spark, d).select("event_id", "value", F.col("event_type").alias("source"), F.to_date("ts").alias("obs_date"))
+    scaled = lambda x, f: (x.withColumn("value", F.col("value") * f), ["source", "obs_date"])
+    commits.commit(root, {n: scaled(rows.where(F.day("obs_date") == 9), 0) for n in ("p2", "p3")})
+    commits.commit(root, {"p2": scaled(rows, 1), "p3": scaled(rows, 2)})
+    both = [commits.committed(spark, root, n, rows.schema).withColumn("name", F.lit(n)) for n in ("p2", "p3")]
+    return both[0].unionByName(both[1]).select("name", "source", F.date_format("obs_date", "yyyy-MM-dd").alias("obs_date"), "event_id", r6("value").alias("value"))
+
+
 @query("SELECT event_type AS source, event_id, round(value::FLOAT::DOUBLE, 4) AS value, 'float' AS kind FROM events")
 def float32_written(spark, d):
     """The events written with doubles as floats, by source, and read back."""
