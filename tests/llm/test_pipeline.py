@@ -8,7 +8,7 @@ import tiktoken
 
 import corpus_pipeline
 from tests.llm.test_operators import FOLDER, brute_print
-from tidewright.llm import bpe, common
+from tidewright.llm import bpe, common, simhash
 from tidewright.llm.common import table
 
 
@@ -18,6 +18,11 @@ def test_run_leaves_only_the_stages_tables(spark, tmp_path, monkeypatch):
     assert {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()} == {f"pipeline-{name}" for name, _ in corpus_pipeline.STAGES}
 
 
+def test_results_of_others_outlive_a_run(spark):
+    lazy = simhash.drop_near_copies(table(spark, FOLDER, "documents"))
+    assert corpus_pipeline.run(spark, FOLDER).count() > 0 and lazy.count() > 0
+
+
 class Session:
     """What scratch reads of a session."""
 
