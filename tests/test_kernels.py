@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidewright import synth
 from tidewright.functions import scalars
 from tidewright.nulls import clean, holds
-from tidewright.operators import crossover, flags, grid, indicators, lookups, passes, planner, polygons, rolling, segments, setops, smoothing, spline
+from tidewright.operators import crossover, flags, grid, indicators, lookups, passes, planner, polygons, rolling, segments, setops, smoothing, spline, tiles
 
 
 def smooth_window(window, half=9):
@@ -262,6 +262,49 @@ def test_fill_and_diffuse_against_dense(spark):
     assert once.where("v IS NULL").count() < 6
 
 
+def test_tiles_equal_the_whole_grid(spark):
+    """Four times the resolution of the test above in either direction, two grids, one of them with a null key, land, a wide hole
+    that several rounds fill, cells that no grid has and one without a stencil row."""
+    n_lat, n_lon = 24, 32
+    st = [(r, c, w) for r, c, w in synth.stencil(n_lat, n_lon) if r != 100]
+    rng = np.random.default_rng(5)
+    rows = []
+    for key in (1, None):
+        for cell in range(n_lat * n_lon):
+            i, j = divmod(cell, n_lon)
+            hole = 4 <= i < 18 and 6 <= j < 27 or rng.random() < 0.1
+            land = 0 if j == 3 and i < 20 else 1001 if cell % 97 == 0 else None if cell == 55 else 1
+            if cell % 61:
+                rows.append((key, cell, None if hole else float("nan") if cell == 70 else float(rng.normal()), land, f"{key} {cell}"))
+    df = spark.createDataFrame(rows, "grid_date int, cell int, v double, basin_id int, note string")
+    by = ["note", "v"]
+    for steps, side, depth in ((7, 7, 3), (4, 50, 2)):
+        want = grid.fill_and_diffuse(df, st, steps).select(*by).toPandas().sort_values("note")
+        done = tiles.fill_and_diffuse(df, st, steps, tiles.squares(n_lon, side), depth=depth)
+        got = done.select(*by).toPandas().sort_values("note")
+        assert done.columns == df.columns and got.note.tolist() == want.note.tolist()
+        np.testing.assert_allclose(got.v, want.v, atol=1e-12)
+    assert tiles.fill_and_diffuse(df.where("1 = 0"), st, 3, tiles.squares(n_lon, 8), depth=2).count() == 0
+    loose = spark.createDataFrame([(1, None, 2.0, 1, "a"), (1, 0, 3.0, 1, "b"), (1, 1, None, 1, "c")], df.schema)
+    got = {r.note: r.v for r in tiles.fill_and_diffuse(loose, st, 0, tiles.squares(n_lon, 8), depth=2).collect()}
+    assert got == pytest.approx({"a": 2.0, "b": 3.0, "c": 3.0})
+
+
+def test_a_halo_reaches_as_far_as_the_steps(spark):
+    st = spark.createDataFrame(synth.stencil(6, 12), "row long, col long, val double")
+    got = {(r.tile, r.cell): r.ring for r in tiles.halos(st, tiles.squares(12, 3), 2).collect()}
+    at = lambda cell: (cell // 12, cell % 12)
+    want = {}
+    for tile in range(8):
+        inside = [(i, j) for i in range(6) for j in range(12) if i // 3 * 4 + j // 3 == tile]
+        for cell in range(72):
+            i, j = at(cell)
+            hops = min(abs(i - a) + min(abs(j - b), 12 - abs(j - b)) for a, b in inside)
+            if 0 < hops <= 2:
+                want[tile, cell] = hops
+    assert got == want
+
+
 def test_running_mean_shrinks_at_the_ends(spark):
     rows = [(1, datetime.datetime(2000, 1, 1) + datetime.timedelta(days=10 * k), float(k)) for k in range(10)]
     df = spark.createDataFrame(rows, "k int, t timestamp, x double")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewright import schemas, synth
-from tidewright.operators import passes
+from tidewright.operators import passes, tiles
 from tidewright.plans import stages
 from tidewright.sources import readers, writers
 from tidewright.operators import crossover
@@ -67,6 +67,9 @@ def test_from_granules_to_grids(spark, granules, mss, tmp_path):
     ocean = [(r, c, v) for r, c, v in synth.stencil(12, 24) if r % 12 and c % 12]
     anomaly = stages.anomaly_grid(grids.where("grid_date = '2020-03-02'"), ocean, 3, season, trend)
     assert anomaly.where("anomaly IS NOT NULL").count() > 200
+    tiled = stages.anomaly_grid(grids.where("grid_date = '2020-03-02'"), ocean, 3, season, trend, tiles.squares(24, 12))
+    pairs = anomaly.join(tiled.select("cell", F.col("anomaly").alias("again")), "cell")
+    assert pairs.count() == anomaly.count() and pairs.where("NOT (abs(anomaly - again) < 1e-9 OR coalesce(anomaly, again) IS NULL)").count() == 0
     targets = spark.range(72 * 4).select((F.col("id") / 72).cast("int").alias("row"), (F.col("id") % 72).cast("int").alias("col")).select("row", "col", (F.col("row") * 5.0 - 8).alias("lat"), (F.col("col") * 5.0 + 2.5).alias("lon"), F.lit(1).alias("basin_id"))
     fine = stages.quarter_degree(anomaly, cells, -82.5, 7.5, 15.0, 24, targets)
     assert fine.where("value IS NOT NULL").count() > 200

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidewright import synth
 from tidewright.functions import scalars as S
-from tidewright.operators import crossover, flags, grid, indicators, lookups, passes, planner, polygons, rolling, segments, setops, smoothing, spline
+from tidewright.operators import crossover, flags, grid, indicators, lookups, passes, planner, polygons, rolling, segments, setops, smoothing, spline, tiles
 from tidewright.session import scratch_folder
 from tidewright.sources import commits, readers, writers
 
@@ -928,6 +928,15 @@ def fill_and_diffuse(spark, d):
     return grid.fill_and_diffuse(full, sea, 4, "g").select("g", "cell", r6(F.col("v") * 1000 / 99991).alias("v"))  # sums of tenths would end in fives
 
 
+@query(_fill_and_diffuse_sql())
+def fill_and_diffuse_tiles(spark, d):
+    """The same grids in tiles of five by five cells with halos of three."""
+    full, st = _line_grid(spark, d)
+    sea = st.where("row % 12 > 0 AND col % 12 > 0")
+    done = tiles.fill_and_diffuse(full, sea, 4, tiles.squares(24, 5), "g", depth=3)
+    return done.select("g", "cell", r6(F.col("v") * 1000 / 99991).alias("v"))
+
+
 @query("""
 WITH sp AS (SELECT unnest(generate_series(DATE '1998-01-01', DATE '1999-12-31', INTERVAL 1 DAY))::DATE AS day),
 o AS (SELECT o_orderdate::DATE AS day, max(o_custkey) AS t FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL), i AS (SELECT l_shipdate::DATE AS day, max(l_partkey) AS t FROM lineitem GROUP BY ALL)

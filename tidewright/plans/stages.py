@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewright.functions.scalars import bits, decimal_year_by_seconds, track_id, wrapped_longitude
 from tidewright.nulls import clean
-from tidewright.operators import crossover, flags, grid, indicators, lookups, passes, rolling, smoothing, spline
+from tidewright.operators import crossover, flags, grid, indicators, lookups, passes, rolling, smoothing, spline, tiles
 from tidewright.operators import polygons as polygons_of
 
 
@@ -117,11 +117,12 @@ def weekly_grid(daily: DataFrame, cells: DataFrame, links: DataFrame, mondays: D
     return out.withColumnsRenamed({"lat": "latitude", "lon": "longitude", "basin_id": "basin_flag"})
 
 
-def anomaly_grid(grids: DataFrame, stencil: list[tuple[int, int, float]], steps: int, season: DataFrame, trend: DataFrame) -> DataFrame:
+def anomaly_grid(grids: DataFrame, stencil: list[tuple[int, int, float]], steps: int, season: DataFrame, trend: DataFrame, tile: tiles.Tile | None = None) -> DataFrame:
     """Filled, diffused and deseasoned grids in mm on their own cells. grids: grid_date, cell, ssha, basin_flag; season: cell, at,
-    value (cm); trend: cell, slope, offset (cm)."""
+    value (cm); trend: cell, slope, offset (cm). Each grid is one task, or with tile its tiles are, for grids of high resolution."""
     rows = grids.select("grid_date", "cell", F.col("ssha").alias("v"), F.col("basin_flag").alias("basin_id"))
-    smooth = grid.fill_and_diffuse(rows, stencil, steps).withColumn("t", decimal_year_by_seconds(F.col("grid_date").cast("timestamp"))).withColumn("share", F.col("t") - F.year("grid_date"))
+    smooth = tiles.fill_and_diffuse(rows, stencil, steps, tile) if tile else grid.fill_and_diffuse(rows, stencil, steps)
+    smooth = smooth.withColumn("t", decimal_year_by_seconds(F.col("grid_date").cast("timestamp"))).withColumn("share", F.col("t") - F.year("grid_date"))
     seasonal = grid.season_at(smooth, season, ["cell"], "share", "value", "seasonal").join(trend, "cell")
     return seasonal.select("grid_date", "cell", "basin_id", indicators.anomaly_mm(F.col("v"), F.col("seasonal"), F.col("slope"), F.col("offset"), F.col("t")).alias("anomaly"))
 

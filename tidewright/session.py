@@ -43,3 +43,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def released(*tables: DataFrame) -> None:
+    """Delete tables that `stored` gave and that nothing to come reads: each is the folder of its files."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            at = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
