@@ -7,7 +7,8 @@ import pytest
 import tiktoken
 
 import corpus_pipeline
-from tests.llm.test_operators import FOLDER, brute_print
+from tests.llm.test_models import direct_quality
+from tests.llm.test_operators import FOLDER, WORD, brute_mix, brute_print
 from tidewright.llm import bpe, common, simhash
 from tidewright.llm.common import table
 
@@ -64,7 +65,9 @@ def test_stages(spark):
         frames[name] = docs = spark.createDataFrame(stage(spark, docs, FOLDER).collect(), stage(spark, docs, FOLDER).schema)
         assert name == "bpe" or docs.columns == frames[""].columns
     before, after = frames["quality"].collect(), frames["exact_dedup"].collect()
-    assert 0.5 * frames[""].count() < len(before) < frames[""].count()
+    given = [(r.doc_id, r.text) for r in frames[""].collect()]
+    scores = direct_quality(spark, given, [(r.doc_id, r.quality) for r in table(spark, FOLDER, "labels").collect()])
+    assert sorted(r.doc_id for r in before) == sorted(i for i, t in given if scores[t or ""] >= 0.3) and len(before) < len(given)
     norm = lambda t: "".join(c for c in t or "" if c not in " \t\n\x0b\x0c\r")
     best = {}
     for r in before:
@@ -89,8 +92,15 @@ def test_stages(spark):
     assert {r.doc_id for r in near} == {root(i) for i in ids}
     mix = frames["mixing"].collect()
     assert {r.doc_id for r in mix} <= {r.doc_id for r in near}
-    total = sum(len((r.text or "").split()) for r in near)
-    assert abs(sum(len((r.text or "").split()) for r in mix) - 1.5 * total) < 0.02 * total
+    taken = {i: 0 for i in prints}
+    for r in mix:
+        taken[r.doc_id] += len(WORD.findall(r.text or ""))
+    want = {int(i): n for i, _, _, _, n in brute_mix([(r.doc_id, r.text, r.source) for r in near])}
+    assert {i: n for i, n in taken.items() if n} == {i: n for i, n in want.items() if n}
+    texts = {r.doc_id: WORD.findall(r.text or "") for r in near}
+    for r in mix:  # whole texts, or a run of words that may go on at the beginning
+        twice = texts[r.doc_id] * 2
+        assert " " + " ".join(WORD.findall(r.text or "")) + " " in " " + " ".join(twice) + " "
     path, pattern = bpe.public_vocabulary()
     own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=bpe.ranks(path), special_tokens={})
     want = sorted((r.doc_id, hashlib.sha256(np.array(own.encode_ordinary(r.text or ""), "<u4").tobytes()).hexdigest()) for r in mix)
