@@ -1,6 +1,7 @@
 """Shapefiles, NetCDF files, product writers and small functions."""
 
 import datetime
+import math
 import struct
 import sys
 import types
@@ -13,7 +14,7 @@ from tidewright import schemas
 from tidewright.functions import scalars
 from tidewright.operators import flags, lookups, polygons, setops, spline
 from tidewright.plans import stages
-from tidewright.sources import commits, netcdf, readers, shapes, writers
+from tidewright.sources import commits, netcdf, products, readers, shapes, writers
 
 DAY = datetime.date(2020, 3, 1)
 
@@ -190,6 +191,32 @@ def test_product_attributes(spark):
     assert other["comment"] == writers.NO_DATA and (other["time_coverage_start"], other["time_coverage_end"]) == ("2020-03-02T00:00:00Z", "2020-03-02T23:59:59Z")
 
 
+def test_products_keep_types_fills_and_attributes(spark, tmp_path):
+    t = datetime.datetime(2020, 3, 1, 5, 6, 7, 123457)
+    rows = [("merged", "p1", DAY, t, 1.5, 2.25, 3, 4, 0.125, None, float("nan"), 7, 0, None, [0, None]), ("merged", "p1", DAY, None, None, None, None, None, -1e300, 0.5, 0.25, None, None, 1, None)]
+    daily = spark.createDataFrame(rows, schemas.DAILY)
+    products.write_products(daily, str(tmp_path), {"ssha": {"mean_sea_surface": "a mean surface"}})
+    raw = spark.read.parquet(str(tmp_path))
+    first = raw.where("time IS NOT NULL").first()
+    assert first.time == pytest.approx(951887167.123457, abs=1e-6) and first.ssha_smoothed == first.dac == products.DOUBLE_FILL and first.median_flag == 127 and first.source_flag == [0, 127]
+    kinds = dict(raw.dtypes)
+    assert (kinds["latitude"], kinds["time"], kinds["pass"], kinds["quality_flag"], kinds["ssha"]) == ("float", "double", "int", "tinyint", "double")
+    back = products.read_products(spark, str(tmp_path))
+    got = {r.ssha: r for r in back.select(*daily.columns).collect()}
+    for want in daily.collect():
+        for k, v in want.asDict().items():
+            assert got[want.ssha][k] == (None if isinstance(v, float) and math.isnan(v) else v), k
+    listed = {(r.variable, r.key): r.value for r in products.variable_attributes(raw).collect()}
+    assert listed["ssha", "mean_sea_surface"] == "a mean surface" and listed["time", "units"] == products.SINCE_1990 and listed["quality_flag", "flag_values"] == "[0, 1]"
+    assert listed["cycle", "_FillValue"] == "2147483647" and ("latitude", "_FillValue") not in listed and not any(v == "source" for v, _ in listed)
+    keys = [r.key for r in products.variable_attributes(raw).where("variable = 'ssha'").collect()]
+    assert keys == sorted(keys, key=str.lower) and len(keys) == 10
+    assert products.decoded(products.encoded(daily.where("1 = 0"))).count() == 0
+    wrong = spark.createDataFrame([(300,)], "quality_flag int")
+    with pytest.raises(Exception, match="CAST_OVERFLOW"):
+        products.encoded(wrong).collect()
+
+
 def test_indicator_files_and_their_archive(spark, tmp_path):
     series = spark.createDataFrame([(1993.5, 1.0, 2.0, 3.0, 4.0, 5.0), (1993.1, 0.5, 2.5, 3.5, 4.5, 5.5)], schemas.INDICATORS)
     places = writers.write_indicators(series, str(tmp_path), DAY)

@@ -17,7 +17,7 @@ from tidewright import synth
 from tidewright.functions import scalars as S
 from tidewright.operators import crossover, flags, grid, indicators, lookups, passes, planner, polygons, rolling, segments, setops, smoothing, spline, tiles
 from tidewright.session import scratch_folder
-from tidewright.sources import commits, readers, writers
+from tidewright.sources import commits, products, readers, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -1089,6 +1089,22 @@ def track_distance(spark, d):
     return readers.with_track(rows).select("c_custkey", cycle.alias("cycle"), number.alias("pass"), r6(km).alias("km"))
 
 
+@query("""
+SELECT event_id, round((epoch_us(ts::TIMESTAMP) - 631152000000000) / 1000000.0, 6) AS time, (value / 3)::FLOAT::DOUBLE AS latitude,
+  CASE WHEN event_id % 5 = 0 THEN 2147483647 ELSE user_id END AS pass, CASE WHEN event_type = 'error' OR event_id % 7 = 0 THEN 1.7976931348623157e308 ELSE value END AS ssha,
+  CASE WHEN event_id % 3 = 2 THEN 127 ELSE event_id % 3 END AS quality_flag, CASE WHEN event_id % 3 = 2 THEN '127,1' ELSE concat_ws(',', event_id % 3, 1) END AS source_flag,
+  event_type = 'error' OR event_id % 7 = 0 AS unknown FROM events""")
+def product_encoding(spark, d):
+    """Variables in the types and with the fill values of a product, and which heights are unknown once it is read again."""
+    c = F.col
+    flag = F.when(c("event_id") % 3 < 2, c("event_id") % 3)
+    height = F.when(c("event_type") == "error", F.lit(float("nan"))).when(c("event_id") % 7 != 0, c("value"))
+    daily = events(spark, d).select("event_id", c("ts").alias("time"), (c("value") / 3).alias("latitude"), F.when(c("event_id") % 5 != 0, c("user_id")).alias("pass"), height.alias("ssha"), flag.alias("quality_flag"), F.array(flag, F.lit(1)).alias("source_flag"))
+    product = products.encoded(daily)
+    known = products.decoded(product.select("*", F.struct("time", "latitude", "pass", "ssha", "quality_flag", "source_flag").alias("as_written")))
+    return known.select("event_id", r6("as_written.time").alias("time"), c("as_written.latitude").cast("double").alias("latitude"), c("as_written.pass").cast("long").alias("pass"), "as_written.ssha", c("as_written.quality_flag").cast("long").alias("quality_flag"), F.array_join("as_written.source_flag", ",").alias("source_flag"), c("ssha").isNull().alias("unknown"))
+
+
 @query("""
 SELECT o_orderkey, epoch_us(make_date(floor(t)::INT, 1, 1)::TIMESTAMP) // 1000000 + floor((t - floor(t)) * 31557600)::BIGINT AS second, strftime(strptime(n, '%Y%m%d'), '%Y-%m-%d') AS named, round(since, 3) AS since
 FROM (SELECT o_orderkey, 1992 + (o_orderkey % 7000) / 1000.0::DOUBLE + 0.00001 AS t, strftime(o_orderdate, '%Y%m%d') AS n, (epoch(o_orderdate::TIMESTAMP) - epoch(TIMESTAMP '1990-01-01'))::DOUBLE AS since FROM orders)""")
