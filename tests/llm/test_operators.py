@@ -1,5 +1,6 @@
 """Corpus operators: edge cases with defined results, and brute force on small fixtures."""
 
+import gzip
 import hashlib
 import random
 import re
@@ -814,3 +815,30 @@ def test_warc_files(spark, tmp_path):
     assert len({r.shard for r in found}) == 2 and [(r.ordinal, r.status) for r in found if r.status != "same"] == [(1, "changed")] and len(found) == 10
     with pytest.raises(ValueError):
         list(warc.records_in(body[:-1]))
+
+
+def test_compressed_warc_files(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "u", words(random.Random(i), 400 * i)) for i in range(6)], "page_id long, url string, html string")
+    bodies = [r.b.encode() for r in pages.orderBy("page_id").select(warc.record(F.col("page_id"), F.col("url"), F.col("html")).alias("b")).collect()]
+    bodies.append(b"WARC/1.1\r\nContent-Length: 900000\r\n\r\n" + bytes(900_000) + b"\r\n\r\n")  # inflated in many parts
+    members = [gzip.compress(b, mtime=0) for b in bodies]
+    data = b"".join(members)
+    found = list(warc.members_in(data))
+    assert [(n, h) for _, n, h in found] == [(len(m), hashlib.sha256(m).hexdigest()) for m in members]
+    assert [o for o, _, _ in found] == [0, *np.cumsum([len(m) for m in members])[:-1].tolist()]
+    spoilt = bytearray(data)
+    for k in (1, 4):
+        spoilt[found[k][0] + found[k][1] // 2] ^= 8
+    assert [x[:2] for x in warc.members_in(bytes(spoilt))] == [x[:2] for x in found]
+    for folder, content in (("a", data), ("b", bytes(spoilt[:-9]))):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "x.warc.gz").write_bytes(content)
+        (tmp_path / folder / "same.warc.gz").write_bytes(data)
+    rows_ = warc.audit(*(warc.file_manifest(spark, str(tmp_path / n)) for n in "ab")).collect()
+    assert len(rows_) == 14 and len({r.shard for r in rows_}) == 2
+    assert sorted((r.ordinal, r.status) for r in rows_ if r.status != "same") == [(1, "changed"), (4, "changed"), (6, "changed")]
+    # Two spoilt records in a row are one, as nothing tells where the first ends.
+    spoilt[found[5][0]] = 0
+    assert [x[:2] for x in warc.members_in(bytes(spoilt))][4:] == [(found[4][0], found[4][1] + found[5][1]), found[6][:2]]
+    assert not list(warc.members_in(b"")) and [x[:2] for x in warc.members_in(b"no archive")] == [(0, 10)]
+    assert [x[:2] for x in warc.members_in(data[:-1])] == [*(x[:2] for x in found[:-1]), (found[-1][0], found[-1][1] - 1)]

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -140,6 +141,8 @@ def audit(left: DataFrame, right: DataFrame, levels: int | None = None) -> DataF
     return rows.join(roots, "shard", "left").select(*columns, "root", "status", "other_offset")
 
 
+#: How a gzip member begins, and how many bytes are inflated at a time.
+GZIP, PART = b"\x1f\x8b\x08", 1 << 16
 _LENGTH = re.compile(rb"\r\nContent-Length: *(\d+)", re.IGNORECASE)
 
 
@@ -158,14 +161,46 @@ def records_in(data: bytes) -> Iterator[tuple[int, int, str]]:
         at = end
 
 
+def _member_end(data: bytes, at: int) -> int | None:
+    """Where the gzip member at a place ends; None unless it is whole, its check sum right and its content a record."""
+    inflate, place, begun = zlib.decompressobj(31), at, b""
+    try:
+        while not inflate.eof:
+            part = inflate.unconsumed_tail or data[place : place + PART]
+            place += 0 if inflate.unconsumed_tail else len(part)
+            out = inflate.decompress(part, PART)
+            if not part and not out and not inflate.eof:
+                return None
+            begun = begun if len(begun) >= 5 else begun + out[:5]
+    except zlib.error:
+        return None
+    return place - len(inflate.unused_data) if begun.startswith(b"WARC/") else None
+
+
+def members_in(data: bytes) -> Iterator[tuple[int, int, str]]:
+    """Offset, length and sha256 of each record of a compressed WARC file, whose records are gzip members of their own, as stored.
+
+    A member that does not inflate goes on to the next that does, or to the end of the file, so a spoilt record is one record of
+    the manifest, which the audit then tells from its replica, and those behind it keep their places."""
+    at = 0
+    while at < len(data):
+        end, start = _member_end(data, at), at
+        while end is None:
+            start = data.find(GZIP, start + 1)
+            end = len(data) if start < 0 else start if _member_end(data, start) else None
+        yield at, end - at, hashlib.sha256(data[at:end]).hexdigest()
+        at = end
+
+
 def file_manifest(spark: SparkSession, path: str) -> DataFrame:
     """A manifest of the WARC files in a folder, a shard for each file, told by its path below the folder; a file must fit a
-    task's memory. page_id is null."""
+    task's memory. page_id is null. Files that end in .gz are read member by member, see `members_in`; of others a record that
+    does not hold together is an error."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, data in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                rows = list(records_in(data.as_py()))
+                rows = list((members_in if name.endswith(".gz") else records_in)(data.as_py()))
                 yield pa.RecordBatch.from_pydict({"file": [name] * len(rows), "ordinal": list(range(len(rows))), "rec_offset": [r[0] for r in rows], "length": [r[1] for r in rows], "record_sha256": [r[2] for r in rows]}, schema=kind)
 
     kind = pa.schema([("file", pa.string()), ("ordinal", pa.int64()), ("rec_offset", pa.int64()), ("length", pa.int64()), ("record_sha256", pa.string())])
