@@ -1090,7 +1090,7 @@ def track_distance(spark, d):
 
 
 @query("""
-SELECT event_id, round((epoch_us(ts::TIMESTAMP) - 631152000000000) / 1000000.0, 6) AS time, (value / 3)::FLOAT::DOUBLE AS latitude,
+SELECT event_id, (epoch_us(ts::TIMESTAMP) - 631152000000000)::DOUBLE / 1e6 AS time, (value / 3)::FLOAT::DOUBLE AS latitude,
   CASE WHEN event_id % 5 = 0 THEN 2147483647 ELSE user_id END AS pass, CASE WHEN event_type = 'error' OR event_id % 7 = 0 THEN 1.7976931348623157e308 ELSE value END AS ssha,
   CASE WHEN event_id % 3 = 2 THEN 127 ELSE event_id % 3 END AS quality_flag, CASE WHEN event_id % 3 = 2 THEN '127,1' ELSE concat_ws(',', event_id % 3, 1) END AS source_flag,
   event_type = 'error' OR event_id % 7 = 0 AS unknown FROM events""")
@@ -1102,7 +1102,7 @@ def product_encoding(spark, d):
     daily = events(spark, d).select("event_id", c("ts").alias("time"), (c("value") / 3).alias("latitude"), F.when(c("event_id") % 5 != 0, c("user_id")).alias("pass"), height.alias("ssha"), flag.alias("quality_flag"), F.array(flag, F.lit(1)).alias("source_flag"))
     product = products.encoded(daily)
     known = products.decoded(product.select("*", F.struct("time", "latitude", "pass", "ssha", "quality_flag", "source_flag").alias("as_written")))
-    return known.select("event_id", r6("as_written.time").alias("time"), c("as_written.latitude").cast("double").alias("latitude"), c("as_written.pass").cast("long").alias("pass"), "as_written.ssha", c("as_written.quality_flag").cast("long").alias("quality_flag"), F.array_join("as_written.source_flag", ",").alias("source_flag"), c("ssha").isNull().alias("unknown"))
+    return known.select("event_id", c("as_written.time").alias("time"), c("as_written.latitude").cast("double").alias("latitude"), c("as_written.pass").cast("long").alias("pass"), "as_written.ssha", c("as_written.quality_flag").cast("long").alias("quality_flag"), F.array_join("as_written.source_flag", ",").alias("source_flag"), c("ssha").isNull().alias("unknown"))
 
 
 @query("""
