@@ -15,6 +15,7 @@ from tidewright import synth
 from tidewright.functions import scalars
 from tidewright.nulls import clean, holds
 from tidewright.operators import crossover, flags, grid, indicators, lookups, passes, planner, polygons, rolling, segments, setops, smoothing, spline, tiles
+from tidewright.plans.queries import QUERIES
 
 
 def smooth_window(window, half=9):
@@ -104,6 +105,18 @@ def test_crossing_over_the_date_line(spark):
     assert len(got) == 1 and got[0].x % 360 == pytest.approx(0.125)
 
 
+def test_lines_cross_twice_within_a_millisecond_and_crossings_are_not_dealt_again(spark, tmp_path):
+    at = lambda s: datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=s)
+    flat = [(at(0.0), 1, 5.0), (at(3600.0), 1, 5.0)]
+    saw = [(at(s), 4, v) for s, v in ((10.0, 0.0), (20.0, 4.999), (20.001, 5.001), (20.002, 4.999), (30.0, 0.0))]
+    rows = [(k, ts.isoformat(), user, v) for k, (ts, user, v) in enumerate([*flat, *saw, *saw])]  # repeated points too
+    table = spark.createDataFrame(rows, "event_id long, ts string, user_id long, value double").selectExpr("event_id", "cast(ts AS timestamp_ntz) AS ts", "user_id", "'a' AS event_type", "value", "'' AS props")
+    table.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    got = QUERIES["crossover_points"](spark, str(tmp_path))
+    assert [(r.track1, r.track2, r.x, r.y) for r in got.collect()] == [(1, 4, 0.0056, 5.0)] * 2
+    assert "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]  # only of the starts
+
+
 def test_crossovers_of_the_synthetic_orbit_agree_on_the_field(spark):
     got = crossover.crossovers(synth.ground_tracks(spark, tracks=8, points=1500, step_s=2)).toPandas()
     assert len(got) > 5
