@@ -158,6 +158,18 @@ def test_spline_meets_its_constraints():
     assert np.allclose(spline.fit(t, 0 * d, tr)[1], 0)
 
 
+def test_spline_meets_its_conditions_whatever_the_number_of_samples():
+    rng = np.random.default_rng(4)
+    t = np.sort(rng.uniform(0, 24, 1200))
+    times = np.concatenate([t + k / 3600 for k in range(60)])  # passes begin and end within a second of each other
+    d = np.tile(rng.uniform(-0.3, 0.3, 1200), 60)
+    brk, c = spline.fit(times, d, np.floor(times / 2).astype(int))
+    w, after = np.diff(brk), np.roll(c, -1, axis=0)
+    least = np.minimum(w, np.roll(w, -1))
+    for k, (end, begin) in enumerate([(((c[:, 0] * w + c[:, 1]) * w + c[:, 2]) * w + c[:, 3], after[:, 3]), ((3 * c[:, 0] * w + 2 * c[:, 1]) * w + c[:, 2], after[:, 2]), (6 * c[:, 0] * w + 2 * c[:, 1], 2 * after[:, 1])]):
+        assert (np.abs(end - begin) * least**k).max() < 1e-11
+
+
 def test_spline_sums_are_those_of_all_samples(spark):
     rng = np.random.default_rng(8)
     at, u, d = rng.integers(0, 5, 200), rng.uniform(0, 1, 200), rng.normal(size=200)
