@@ -11,11 +11,12 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tests.compare import same
 from tidewright import synth
 from tidewright.functions import scalars
 from tidewright.nulls import clean, holds
 from tidewright.operators import crossover, flags, grid, indicators, lookups, passes, planner, polygons, rolling, segments, setops, smoothing, spline, tiles
-from tidewright.plans.queries import QUERIES
+from tidewright.plans.queries import QUERIES, SQL
 
 
 def smooth_window(window, half=9):
@@ -213,6 +214,10 @@ def test_missing_correction_is_an_error(spark):
     assert sorted(r.ssha for r in spline.corrected(daily, both, ["source", "time"]).collect()) == [0.5, 1.5]
 
 
+def test_places_at_the_ends_of_the_grid(spark):
+    same(QUERIES["bilinear_lookup"](spark, "/root/testdata/sf0.1"), SQL["bilinear_lookup"], "/root/testdata/sf0.1")  # 10650 * 11.7 is a multiple of 355
+
+
 def test_lookup_without_entry_is_an_error(spark):
     df = spark.createDataFrame([("1",), ("2",)], "id string")
     with pytest.raises(Exception, match="no entry for id 2"):
