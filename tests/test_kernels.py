@@ -18,6 +18,8 @@ from tidewright.nulls import clean, holds
 from tidewright.operators import crossover, flags, grid, indicators, lookups, passes, planner, polygons, rolling, segments, setops, smoothing, spline, tiles
 from tidewright.plans.queries import QUERIES, SQL
 
+FOLDER = "/root/testdata/sf0.001"
+
 
 def smooth_window(window, half=9):
     """One window of the smoother, from its description."""
@@ -224,6 +226,19 @@ def test_lookup_without_entry_is_an_error(spark):
         lookups.looked_up(df, spark.createDataFrame([("1", 5)], "id string, pass int"), "id").collect()
 
 
+def test_nearest_of_points_in_one_place(spark, tmp_path):
+    """Points of one place are apart by rounding alone, 17 of them where 8 count."""
+    keys = [k for k in range(90_000) if k % 5200 % 130 == 49]
+    spark.createDataFrame([(k, 0, float(k % 997)) for k in keys], "c_custkey long, c_nationkey int, c_acctbal double").coalesce(1).write.parquet(f"{tmp_path}/c")
+    spark.createDataFrame([(k, 0) for k in range(0, 6000, 3)], "s_suppkey long, s_nationkey int").coalesce(1).write.parquet(f"{tmp_path}/s")
+    folder = tmp_path / "tables"
+    folder.mkdir()
+    for part, name in (("c", "customer"), ("s", "supplier")):
+        next((tmp_path / part).glob("*.parquet")).rename(folder / f"{name}.parquet")
+    (folder / "nation.parquet").symlink_to(f"{FOLDER}/nation.parquet")
+    same(QUERIES["knn_gauss_grid"](spark, str(folder)), SQL["knn_gauss_grid"], str(folder))
+
+
 def test_polygons_against_a_loop(spark):
     rng = np.random.default_rng(2)
     corners = [p for _, _, r in synth.RINGS for p in r[:12]]  # on corners and on sides too

@@ -75,7 +75,7 @@ def edges(ring: Column) -> Column:
 
 def geocentric(lat: Column, lon: Column, radius: float = EARTH_M) -> tuple[Column, Column, Column]:
     la, lo = lat * (math.pi / 180), lon * (math.pi / 180)
-    return F.cos(la) * F.cos(lo) * radius, F.cos(la) * F.sin(lo) * radius, F.sin(la) * radius
+    return radius * F.cos(la) * F.cos(lo), radius * F.cos(la) * F.sin(lo), radius * F.sin(la)
 
 
 #: Cells of a cube of the search radius along a side, halvings of a cell at most, and the part of k that a cell holds, about.
